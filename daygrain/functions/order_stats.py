@@ -11,25 +11,33 @@ balance only, the result is exact whatever they are.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daygrain.functions.storage import reliable
+
 HOT_ROWS = 1_000_000  # groups up to this many values use one percentile buffer
 MAX_HOT = 200_000  # upper bound on the number of groups treated as hot
 SLICES = 1024  # power of two
 
 
-def hot_groups(sizes: DataFrame, n: str, hot_rows: int, max_hot: int) -> DataFrame:
-    """Rows of ``sizes`` above the limit, with ``_limit``.
+def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int) -> DataFrame | None:
+    """Groups above the row limit as (keys, ``_size``, ``_limit``), or None: the size check.
 
-    The limit grows with the total, so fewer than ``max_hot`` rows can pass it:
-    that is the proof behind broadcasting the result.
+    One counting job that reads only the key columns. The limit grows with the table,
+    so fewer than ``max_hot`` groups can pass it, which bounds every later broadcast
+    of the result; the few rows are checkpointed so that plans using them stay short.
     """
-    total = sizes.agg(F.sum(n).alias("_total")).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), total / F.lit(float(max_hot)))
-    return sizes.withColumn("_limit", limit).where(F.col(n) > F.col("_limit"))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
+    shape = sizes.agg(F.sum("_size").alias("total"), F.max("_size").alias("largest")).first()
+    limit = max(float(hot_rows), (shape["total"] or 0) / max_hot)
+    if (shape["largest"] or 0) <= limit:
+        return None
+    return reliable(sizes.where(F.col("_size") > limit).withColumn("_limit", F.lit(limit)))
 
 
 def with_slice(df: DataFrame, value: str, borders: DataFrame, slices: int = SLICES) -> DataFrame:
@@ -59,11 +67,8 @@ def slice_borders(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Broadcast join that also matches null keys. ``right`` must have a proven size bound."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
-    condition = None
-    for key in keys:
-        same = left[key].eqNullSafe(renamed[f"_r_{key}"])
-        condition = same if condition is None else condition & same
-    return left.join(F.broadcast(renamed), condition, how)
+    same = [left[key].eqNullSafe(renamed[f"_r_{key}"]) for key in keys]
+    return left.join(F.broadcast(renamed), reduce(and_, same), how)
 
 
 def ranked_values(
@@ -146,24 +151,22 @@ def exact_percentiles(
     group = list(keys) or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(0))
     rows = rows.withColumn("_v", F.col(value).cast("double"))
-    sizes = rows.groupBy(*group).agg(F.count("_v").alias("_size"))
-    hot = hot_groups(sizes, "_size", hot_rows, max_hot).select(*group)
+    hot = find_hot(rows, group, hot_rows, max_hot)
 
-    plain = _match(rows, hot, group, "left_anti").groupBy(*group).agg(
+    ordinary = rows if hot is None else _match(rows, hot, group, "left_anti")
+    result = ordinary.groupBy(*group).agg(
         *aggs, *[F.percentile("_v", float(p)).alias(name) for name, p in probs.items()]
     )
-    hot_part = _match(rows, hot, group, "left_semi")
-    sliced = _sliced_percentiles(hot_part, group, "_v", probs, slices)
-    if aggs:
-        other = hot_part.groupBy(*group).agg(*aggs)
-        names = [c for c in other.columns if c not in group]
+    if hot is not None:
+        hot_part = _match(rows, hot, group, "left_semi")
+        sliced = _sliced_percentiles(hot_part, group, "_v", probs, slices)
+        # one row per hot group, matched with null keys equal
+        others = hot_part.groupBy(*group).agg(F.count("*").alias("_size"), *aggs)
+        names = [c for c in others.columns if c not in group and c != "_size"]
         pairs = sliced.select(*[F.col(k).alias(f"_r_{k}") for k in group], *probs)
-        condition = None
-        for key in group:
-            same = other[key].eqNullSafe(pairs[f"_r_{key}"])
-            condition = same if condition is None else condition & same
-        sliced = other.join(pairs, condition, "left").select(*group, *names, *probs)
-    result = plain.unionByName(sliced)
+        same = [others[key].eqNullSafe(pairs[f"_r_{key}"]) for key in group]
+        sliced = others.join(pairs, reduce(and_, same), "left").select(*group, *names, *probs)
+        result = result.unionByName(sliced)
     return result if keys else result.drop("_all")
 
 

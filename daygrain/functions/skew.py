@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.functions.order_stats import hot_groups
+from daygrain.functions.order_stats import find_hot
 
 HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
@@ -33,30 +33,31 @@ def salted_lookup(
     A key above the row limit is cut into ``ceil(rows / limit)`` pieces and its single
     lookup row repeated once per piece, so at most ``2 * max_hot`` rows are added.
     Other keys join unchanged and Spark picks broadcast or shuffle from the sizes it
-    measures. Base rows with a null key cannot match; they are spread evenly.
+    measures. Base rows with a null key cannot match; many of them are spread as well.
     """
     keys = list(keys)
+    hot = find_hot(base, keys, hot_rows, max_hot)
+    extra = [c for c in lookup.columns if c not in keys]
+    if hot is None:
+        return base.join(lookup, keys, "left").select(*base.columns, *extra)
+    pieces = hot.select(*keys, F.ceil(F.col("_size") / F.col("_limit")).cast("long").alias("_pieces"))
     rows_hash = F.abs(F.xxhash64(*base.columns) % F.lit(1_000_003)) + F.spark_partition_id()
-    sizes = base.where(~_any_null(keys)).groupBy(*keys).agg(F.count("*").alias("_size"))
-    hot = hot_groups(sizes, "_size", hot_rows, max_hot).select(
-        *keys, F.ceil(F.col("_size") / F.col("_limit")).cast("long").alias("_pieces")
-    )
-    marked = base.join(F.broadcast(hot), keys, "left")
-    salted_base = marked.withColumn(
-        "_salt",
-        F.when(_any_null(keys), F.pmod(rows_hash, F.lit(NULL_SPREAD)))
-        .when(F.col("_pieces").isNull(), F.lit(0))
-        .otherwise(F.pmod(rows_hash, F.col("_pieces")))
-        .cast("long"),
-    ).drop("_pieces")
-    salted_lookup_rows = (
-        lookup.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)))
+    salted_base = (
+        base.join(F.broadcast(pieces), keys, "left")
+        .withColumn(
+            "_salt",
+            F.when(_any_null(keys), F.pmod(rows_hash, F.lit(NULL_SPREAD)))
+            .when(F.col("_pieces").isNull(), F.lit(0))
+            .otherwise(F.pmod(rows_hash, F.col("_pieces")))
+            .cast("long"),
+        )
         .drop("_pieces")
     )
-    extra = [c for c in lookup.columns if c not in keys]
-    joined = salted_base.join(salted_lookup_rows, [*keys, "_salt"], "left")
-    return joined.select(*base.columns, *extra)
+    repeats = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    repeated = (
+        lookup.join(F.broadcast(pieces), keys, "left").withColumn("_salt", F.explode(repeats)).drop("_pieces")
+    )
+    return salted_base.join(repeated, [*keys, "_salt"], "left").select(*base.columns, *extra)
 
 
 def spread_lookup(

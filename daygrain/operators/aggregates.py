@@ -152,12 +152,12 @@ def daily_context(context: DataFrame, keys: Sequence[str], names: Names = GENERI
 
 def add_ratios(df: DataFrame) -> DataFrame:
     """The derived columns of the entity-day table."""
-    df = df if "total_violations" in df.columns else df.withColumn("total_violations", F.lit(0).cast("long"))
+    events = F.col("total_violations") if "total_violations" in df.columns else F.lit(0)
     return df.withColumns(
         {
             "has_fatality": flag_any("fatalities"),
             "severe_rate": safe_ratio("severe", "accidents"),
-            "violations_per_1000_volume": safe_ratio("total_violations", "daily_volume", 1000.0),
+            "violations_per_1000_volume": safe_ratio(events, "daily_volume", 1000.0),
         }
     )
 

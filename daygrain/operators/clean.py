@@ -59,7 +59,8 @@ def fill_median_clip(
         median = exact_percentile_of_table(df, col, {"_median": 0.5}, **limits)
     else:
         median = df.agg(F.percentile_approx(col, 0.5, accuracy).alias("_median"))
-    return df.withColumn(col, clip(F.coalesce(F.col(col), median.scalar()), lo, hi))
+    filled = df.withColumn(col, F.coalesce(F.col(col), median.scalar()))
+    return filled.withColumn(col, clip(col, lo, hi))
 
 
 def default_fill(df: DataFrame, str_cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
