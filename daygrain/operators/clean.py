@@ -167,12 +167,15 @@ def clean_registry(df: DataFrame, names: Names = GENERIC) -> DataFrame:
     return dedupe_keys(df, [names.entity], names.registry_order)
 
 
+CLEANERS = {
+    "registry": clean_registry,
+    "measure": clean_measure,
+    "typed": clean_typed,
+    "incident": clean_incident,
+    "context": clean_context,
+}
+
+
 def clean_sources(sources: Mapping[str, DataFrame], names: Names = GENERIC) -> dict[str, DataFrame]:
-    """Clean the five sources; tables are keyed registry, measure, typed, incident, context."""
-    return {
-        "registry": clean_registry(sources["registry"], names),
-        "measure": clean_measure(sources["measure"], names),
-        "typed": clean_typed(sources["typed"], names),
-        "incident": clean_incident(sources["incident"], names),
-        "context": clean_context(sources["context"], names),
-    }
+    """Clean the five sources: registry, measure, typed, incident and context."""
+    return {name: clean(sources[name], names) for name, clean in CLEANERS.items()}

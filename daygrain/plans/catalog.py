@@ -478,7 +478,7 @@ def top_k_per_group(t):
 
 @query
 def best_scenario(t):
-    scores = scenario.scenario_scores(t.entity_day, fixed_scorer)
+    scores = scenario.scenario_scores(t.stored_day, fixed_scorer)
     best = ranking.best_scenario(scenario.scenario_summary(scores))
     return best.select("scenario", "avg_risk_reduction", "high_risk_road_days_reduced")
 
@@ -611,7 +611,7 @@ def _parts(train, test, *by):
 
 @query
 def temporal_split(t):
-    train, test = model.temporal_split(t.entity_day)
+    train, test = model.temporal_split(t.stored_day)
     return _parts(train, test).agg(
         F.count("*").alias("rows"),
         F.sum("has_fatality").alias("positives"),
@@ -622,13 +622,13 @@ def temporal_split(t):
 
 @query
 def stratified_split(t):
-    train, test = model.stratified_split(t.entity_day)
+    train, test = model.stratified_split(t.stored_day)
     return _parts(train, test, "has_fatality").agg(F.count("*").alias("rows"))
 
 
 @query
 def rare_class_split(t):
-    days = t.entity_day
+    days = t.stored_day
     newest = days.agg(F.max(F.struct("date", "entity_id"))).scalar()
     rare = days.withColumn("rare", (F.struct("date", "entity_id") == newest).cast("int"))
     train, test = model.rare_class_split(rare, "rare")
@@ -637,9 +637,9 @@ def rare_class_split(t):
 
 @query
 def encode_features(t):
-    fitted = model.encode_features(t.entity_day).fit(t.entity_day)
+    fitted = model.encode_features(t.stored_day).fit(t.stored_day)
     values = vector_to_array("_features")
-    return fitted.transform(t.entity_day).select(
+    return fitted.transform(t.stored_day).select(
         "entity_id",
         "date",
         values[2].alias("p95_scaled"),
@@ -650,30 +650,30 @@ def encode_features(t):
 
 @query
 def class_weights(t):
-    return model.class_weights(t.entity_day)
+    return model.class_weights(t.stored_day)
 
 
 @query
 def train_risk_model(t):
-    train, _, _ = model.split_train_test(t.entity_day)
-    return model.model_coefficients(model.train_risk_model(train), t.entity_day)
+    train, _, _ = model.split_train_test(t.stored_day)
+    return model.model_coefficients(model.train_risk_model(train), t.stored_day)
 
 
 @query
 def score_risk(t):
-    train, test, _ = model.split_train_test(t.entity_day)
+    train, test, _ = model.split_train_test(t.stored_day)
     return model.score_risk(model.train_risk_model(train), test).select(*GENERIC.grain, model.RISK)
 
 
 @query
 def top_features(t):
-    train, _, _ = model.split_train_test(t.entity_day)
-    return model.top_features(model.train_risk_model(train), t.entity_day)
+    train, _, _ = model.split_train_test(t.stored_day)
+    return model.top_features(model.train_risk_model(train), t.stored_day)
 
 
 @query
 def risk_report(t):
-    return run_risk_model(t.entity_day).metrics
+    return run_risk_model(t.stored_day).metrics
 
 
 @query
@@ -698,13 +698,13 @@ def auc_by_region(t):
 
 @query
 def group_metrics(t):
-    scored = with_score(t.entity_day).withColumn("predicted_label", (F.col("score") >= 0.4).cast("int"))
+    scored = with_score(t.stored_day).withColumn("predicted_label", (F.col("score") >= 0.4).cast("int"))
     return model.group_metrics(scored, ["region", "kind"], score="score")
 
 
 @query
 def holdout_scores(t):
-    _, test = model.temporal_split(t.entity_day)
+    _, test = model.temporal_split(t.stored_day)
     return model.holdout_scores(with_score(test), 0.4, score="score")
 
 
@@ -721,55 +721,55 @@ def scenario_packages(t):
 
 @query
 def normalize_bounds(t):
-    bounds = t.entity_day.agg(F.avg("p95_speed").alias("mid"), F.max("p95_speed").alias("top"))
-    attached = joins.scalar_broadcast(t.entity_day.select("entity_id", "date", "p95_speed"), bounds)
+    bounds = t.stored_day.agg(F.avg("p95_speed").alias("mid"), F.max("p95_speed").alias("top"))
+    attached = joins.scalar_broadcast(t.stored_day.select("entity_id", "date", "p95_speed"), bounds)
     return attached.select("entity_id", "date", fn.normalize_bounds("p95_speed", "mid", "top").alias("scaled"))
 
 
 @query
 def pressure_score(t):
-    bounds = agg.quantile_bounds(t.entity_day, list(scenario.PRESSURE_WEIGHTS))
-    return scenario.pressure_score(t.entity_day, bounds).select("entity_id", "date", "pressure")
+    bounds = agg.quantile_bounds(t.stored_day, list(scenario.PRESSURE_WEIGHTS))
+    return scenario.pressure_score(t.stored_day, bounds).select("entity_id", "date", "pressure")
 
 
 @query
 def blended_risk(t):
-    bounds = agg.quantile_bounds(t.entity_day, list(scenario.PRESSURE_WEIGHTS))
-    scored = scenario.blended(t.entity_day, fixed_scorer, bounds, "risk")
+    bounds = agg.quantile_bounds(t.stored_day, list(scenario.PRESSURE_WEIGHTS))
+    scored = scenario.blended(t.stored_day, fixed_scorer, bounds, "risk")
     return scored.select("entity_id", "date", "risk")
 
 
 @query
 def high_risk_threshold(t):
-    return scenario.high_risk_threshold(with_score(t.entity_day), "score")
+    return scenario.high_risk_threshold(with_score(t.stored_day), "score")
 
 
 @query
 def scenario_scores(t):
-    return scenario.scenario_scores(t.entity_day, fixed_scorer)
+    return scenario.scenario_scores(t.stored_day, fixed_scorer)
 
 
 @query
 def scenario_summary(t):
-    return scenario.scenario_summary(scenario.scenario_scores(t.entity_day, fixed_scorer))
+    return scenario.scenario_summary(scenario.scenario_scores(t.stored_day, fixed_scorer))
 
 
 @query
 def scenario_opportunities(t):
-    scores = rounded(scenario.scenario_scores(t.entity_day, fixed_scorer), 9)
+    scores = rounded(scenario.scenario_scores(t.stored_day, fixed_scorer), 9)
     return scenario.scenario_opportunities(scores)
 
 
 @query
 def scenario_region_impact(t):
-    return scenario.scenario_region_impact(scenario.scenario_scores(t.entity_day, fixed_scorer))
+    return scenario.scenario_region_impact(scenario.scenario_scores(t.stored_day, fixed_scorer))
 
 
 @query
 def scenario_summary_trained(t):
-    train, _, _ = model.split_train_test(t.entity_day)
+    train, _, _ = model.split_train_test(t.stored_day)
     fitted = model.train_risk_model(train)
-    return run_scenarios(t.entity_day, scenario.model_scorer(fitted)).summary
+    return run_scenarios(t.stored_day, scenario.model_scorer(fitted)).summary
 
 
 # star schema, measures -----------------------------------------------------------------------

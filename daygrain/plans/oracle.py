@@ -535,7 +535,6 @@ def _lineage_of(table: str) -> str:
 
 
 TYPED_HASH = hash_of(["typed_id", "entity_id", "event_type"])
-MEASURE_HASH = "record_hash_of_measure"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -576,9 +575,9 @@ def oracle_sql() -> dict[str, str]:
         " UNION ALL ".join(
             f"SELECT '{t}' AS dataset, count(*) AS rows, {len(TABLE_COLUMNS[t])} AS columns, "
             + (
-                "'' AS source_systems, '' AS batch_ids, 0.0 "
+                "'' AS source_systems, '' AS batch_ids, CAST(0.0 AS DOUBLE) "
                 if t == "entity_day"
-                else f"'{t}_feed' AS source_systems, '{BATCH}' AS batch_ids, 1.0 "
+                else f"'{t}_feed' AS source_systems, '{BATCH}' AS batch_ids, CAST(1.0 AS DOUBLE) "
             )
             + f"AS record_hash_coverage FROM {SOURCE_OF[t]}"
             for t in ("registry", "incident", "typed", "measure", "entity_day")
@@ -848,7 +847,7 @@ def oracle_sql() -> dict[str, str]:
     levels = " + ".join(f"count(DISTINCT {c})" for c in ("region", "city", "kind", "weather_mode"))
     out["encode_features"] = sql(
         f"SELECT entity_id, date, {r('(p95_speed - avg(p95_speed) OVER ()) / stddev_samp(p95_speed) OVER ()')} AS p95_scaled, "
-        f"(SELECT {NUMERIC_FEATURES} + {levels} FROM entity_day) AS width, 4.0 AS ones FROM entity_day"
+        f"(SELECT {NUMERIC_FEATURES} + {levels} FROM entity_day) AS width, CAST(4.0 AS DOUBLE) AS ones FROM entity_day"
     )
     out["class_weights"] = sql(
         "SELECT has_fatality AS label, count(*) AS n, "
@@ -903,8 +902,9 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(f"{r(c)} AS {c}" for c in (*means, "high_risk_reduction_rate"))
         + ", baseline_high_risk_road_days, high_risk_road_days_reduced FROM summary"
     )
+    nine = ", ".join(f"{r(r(c, 9))} AS {c}" for c in ("baseline_risk", "scenario_risk", "risk_delta"))
     out["scenario_opportunities"] = sql(
-        f"SELECT {keys}, {pair}, moved_below_threshold FROM (SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY "
+        f"SELECT {keys}, {nine}, moved_below_threshold FROM (SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY "
         f"{r('risk_delta', 9)} DESC, {r('baseline_risk', 9)} DESC, entity_id, date) AS place FROM scores "
         "WHERE scenario <> 'Baseline') WHERE place <= 20"
     )

@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrain.functions.storage import reliable
 from daygrain.names import GENERIC
 from daygrain.operators.aggregates import build_entity_day, enrich_incident
-from daygrain.operators.clean import clean_sources
+from daygrain.operators.clean import CLEANERS
 from daygrain.operators.lineage import add_lineage, record_hash
-from daygrain.operators.ranking import union_all
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 MEASURE_TYPES = ("view", "click", "purchase")
 BATCH, EXTRACTED = "B20240201T000000Z", "2024-02-01T00:00:00+00:00"
 
 
+SOURCES = ("registry", "measure", "typed", "incident", "context")
+
+
+class OnDemand(Mapping):
+    """Tables built when first asked for, so a query pays only for what it reads."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 class SampleTables:
     """Lazy views over one data folder. Nothing runs until a result is used."""
 
@@ -110,33 +133,26 @@ class SampleTables:
         )
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return {
-            "registry": self.registry_raw,
-            "measure": self.measure_raw,
-            "typed": self.typed_raw,
-            "incident": self.incident_raw,
-            "context": self.context_raw,
-        }
+    def raw(self) -> Mapping[str, DataFrame]:
+        return OnDemand({name: partial(getattr, self, f"{name}_raw") for name in SOURCES})
+
+    def _stage(self, name: str) -> DataFrame:
+        df = self.raw[name]
+        hashed = [c for c, t in df.dtypes if t in ("string", "int", "bigint")]
+        return record_hash(add_lineage(df, f"{name}_feed", BATCH, EXTRACTED), hashed)
 
     @cached_property
-    def staged(self) -> dict[str, DataFrame]:
+    def staged(self) -> Mapping[str, DataFrame]:
         """Raw tables with lineage; the hash covers the columns both engines print alike."""
-        return {
-            name: record_hash(
-                add_lineage(df, f"{name}_feed", BATCH, EXTRACTED),
-                [c for c, t in df.dtypes if t in ("string", "int", "bigint")],
-            )
-            for name, df in self.raw.items()
-        }
+        return OnDemand({name: partial(self._stage, name) for name in SOURCES})
+
+    def _clean(self, name: str) -> DataFrame:
+        df = CLEANERS[name](self.staged[name], GENERIC)
+        return df.withColumn("ts", F.col("ts").cast("timestamp_ntz")) if "ts" in df.columns else df
 
     @cached_property
-    def clean(self) -> dict[str, DataFrame]:
-        tables = clean_sources(self.staged, GENERIC)
-        return {
-            name: df.withColumn("ts", F.col("ts").cast("timestamp_ntz")) if "ts" in df.columns else df
-            for name, df in tables.items()
-        }
+    def clean(self) -> Mapping[str, DataFrame]:
+        return OnDemand({name: partial(self._clean, name) for name in SOURCES})
 
     @cached_property
     def incident(self) -> DataFrame:
@@ -148,16 +164,23 @@ class SampleTables:
         return build_entity_day(self.clean, GENERIC)
 
     @cached_property
-    def governed(self) -> dict[str, DataFrame]:
-        """The tables that quality rules and profiles look at."""
-        return {
-            "registry": self.clean["registry"],
-            "incident": self.incident,
-            "typed": self.clean["typed"],
-            "measure": self.clean["measure"],
-            "entity_day": self.entity_day,
-        }
+    def stored_incident(self) -> DataFrame:
+        """Checkpointed: for work that reads the table several times."""
+        return reliable(self.incident)
 
     @cached_property
-    def all_times(self) -> DataFrame:
-        return union_all([self.clean[t].select("ts") for t in ("incident", "typed", "measure")])
+    def stored_day(self) -> DataFrame:
+        return reliable(self.entity_day)
+
+    @cached_property
+    def governed(self) -> Mapping[str, DataFrame]:
+        """The tables that quality rules and profiles look at."""
+        return OnDemand(
+            {
+                "registry": lambda: self.clean["registry"],
+                "incident": lambda: self.stored_incident,
+                "typed": lambda: self.clean["typed"],
+                "measure": lambda: self.clean["measure"],
+                "entity_day": lambda: self.stored_day,
+            }
+        )
