@@ -1,11 +1,11 @@
 """Exact order statistics that stay balanced when one group holds most of the rows.
 
 ``percentile`` keeps every distinct value of a group in one buffer. That is fine
-for ordinary groups, so those use it. A group above a row limit is instead cut
-into value slices: equal values collapse into counts first (the shuffle key
-includes the value), slice totals locate the slice that holds the wanted rank, and
-only that slice is ordered. Slice borders come from a quantile sketch; they steer
-balance only, the result is exact whatever they are.
+for ordinary groups, so those use it. A group above a row limit is instead cut into value
+slices while it is scanned: slice totals (combined before the shuffle) locate the slice
+that holds the wanted rank, and only rows of that slice are shuffled and ordered.
+Slice borders come from a quantile sketch; they steer balance only, the result is
+exact whatever they are.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ from daygrain.functions.storage import reliable
 
 HOT_ROWS = 1_000_000  # groups up to this many values use one percentile buffer
 MAX_HOT = 200_000  # upper bound on the number of groups treated as hot
-SLICES = 1024  # power of two
+SLICES = 1024
+SKETCH_SIZE = 1024
+MERGE_PARTS = 256
 
 
 def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int) -> DataFrame | None:
@@ -40,28 +42,41 @@ def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int)
     return reliable(sizes.where(F.col("_size") > limit).withColumn("_limit", F.lit(limit)))
 
 
-def with_slice(df: DataFrame, value: str, borders: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Add ``_slice``: the number of borders below the value, found by binary search."""
-    if slices < 2 or slices & (slices - 1):
-        raise ValueError("slices must be a power of two")
-    steps, half = [], slices // 2
-    while half:
-        steps.append(F.lit(half))
-        half //= 2
-    search = F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda at, step: F.when(
-            F.try_element_at(F.col("_borders"), at + step) < F.col(value), at + step
-        ).otherwise(at),
+def slice_borders(df: DataFrame, value: str, slices: int = SLICES) -> list[float]:
+    """Borders of about equally filled value slices: at most ``slices - 1`` numbers.
+
+    Quantile sketches are merged in two steps, so no task receives one from every scan
+    task. The borders are fixed here, once, because a sketch may differ between runs
+    and every use of the slices must see the same ones.
+    """
+    cuts = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("_part")
+    row = (
+        df.where(F.col(value).isNotNull())
+        .select(F.col(value).cast("double").alias("_b"), part)
+        .groupBy("_part")
+        .agg(F.kll_sketch_agg_double("_b", F.lit(SKETCH_SIZE)).alias("_sketch"))
+        .agg(F.kll_merge_agg_double("_sketch", F.lit(SKETCH_SIZE)).alias("_sketch"), F.count("*").alias("_parts"))
+        .select(F.when(F.col("_parts") > 0, F.kll_sketch_get_quantile_double("_sketch", cuts)).alias("_borders"))
+        .first()
     )
-    return df.withColumn("_borders", borders.scalar()).withColumn("_slice", search).drop("_borders")
+    return sorted(set(row["_borders"] or ()))
 
 
-def slice_borders(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
-    """One row, one array: borders of about equally filled value slices over all rows."""
-    cuts = [i / slices for i in range(1, slices)]
-    return df.agg(F.percentile_approx(value, cuts, 4 * slices).alias("_borders"))
+def with_slice(df: DataFrame, value: str, borders: Sequence[float]) -> DataFrame:
+    """Add ``_slice``: the number of borders below the value, by binary search in steps."""
+    out = df.withColumn("_slice", F.lit(0))
+    if not borders:
+        return out
+    listed = F.array(*[F.lit(float(b)) for b in borders])
+    out = out.withColumn("_borders", listed)
+    step = 1 << (len(borders).bit_length() - 1)
+    while step:
+        ahead = F.col("_slice") + F.lit(step)
+        below = F.try_element_at(F.col("_borders"), ahead) < F.col(value)
+        out = out.withColumn("_slice", F.when(below, ahead).otherwise(F.col("_slice")))
+        step //= 2
+    return out.drop("_borders")
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -76,43 +91,40 @@ def ranked_values(
 ) -> DataFrame:
     """Values at given 0-based ranks per group; the rank columns may use ``_n`` (group rows)."""
     keys = list(keys)
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    cells = with_slice(counts, value, slice_borders(counts, value, slices), slices)
+    present = rows.where(F.col(value).isNotNull()).select(*keys, value)
+    sliced = with_slice(present, value, slice_borders(present, value, slices))
     by_slice = W.partitionBy(*keys).orderBy("_slice")
     located = (
-        cells.groupBy(*keys, "_slice")
-        .agg(F.sum("_c").alias("_cell"))
+        sliced.groupBy(*keys, "_slice")
+        .agg(F.count("*").alias("_cell"))
         .withColumn("_n", F.sum("_cell").over(W.partitionBy(*keys)))
         .withColumn("_end", F.sum("_cell").over(by_slice))
         .withColumn("_start", F.col("_end") - F.col("_cell"))
         .withColumns({f"_rank_{name}": rank.cast("long") for name, rank in ranks.items()})
     )
+    rank_cols = [f"_rank_{name}" for name in ranks]
     holds = F.lit(False)
-    for name in ranks:
-        rank = F.col(f"_rank_{name}")
-        holds = holds | ((rank >= F.col("_start")) & (rank < F.col("_end")))
+    for col in rank_cols:
+        holds = holds | ((F.col(col) >= F.col("_start")) & (F.col(col) < F.col("_end")))
+    # at most one slice per group and rank, and the number of hot groups is bounded
     wanted = located.where(holds).select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys],
-        F.col("_slice").alias("_r_slice"),
-        "_start",
-        "_n",
-        *[f"_rank_{name}" for name in ranks],
+        *[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_slice").alias("_r_slice"), "_start", "_n", *rank_cols
     )
-    condition = cells["_slice"] == wanted["_r_slice"]
-    for key in keys:
-        condition = condition & cells[key].eqNullSafe(wanted[f"_r_{key}"])
+    same = [sliced[key].eqNullSafe(wanted[f"_r_{key}"]) for key in keys]
+    condition = reduce(and_, same, sliced["_slice"] == wanted["_r_slice"])
     in_cell = W.partitionBy(*keys, "_slice").orderBy(value)
-    placed = cells.join(wanted, condition, "inner").withColumn(
-        "_upto", F.col("_start") + F.sum("_c").over(in_cell)
+    placed = (
+        sliced.join(F.broadcast(wanted), condition, "inner")
+        .groupBy(*keys, "_slice", value)
+        .agg(F.count("*").alias("_c"), *[F.max(c).alias(c) for c in ("_start", "_n", *rank_cols)])
+        .withColumn("_upto", F.col("_start") + F.sum("_c").over(in_cell))
     )
     first = F.col("_upto") - F.col("_c")
     return placed.groupBy(*keys).agg(
         F.max("_n").alias("_n"),
         *[
-            F.max(
-                F.when((F.col(f"_rank_{name}") >= first) & (F.col(f"_rank_{name}") < F.col("_upto")), F.col(value))
-            ).alias(name)
-            for name in ranks
+            F.max(F.when((F.col(col) >= first) & (F.col(col) < F.col("_upto")), F.col(value))).alias(name)
+            for name, col in zip(ranks, rank_cols, strict=True)
         ],
     )
 

@@ -287,7 +287,7 @@ def auc_of_counts(counts: DataFrame, group: Sequence[str], slices: int = AUC_SLI
     """
     keys = list(group) or ["_all"]
     rows = counts if group else counts.withColumn("_all", F.lit(0))
-    cells = with_slice(rows, "_score", slice_borders(rows, "_score", slices), slices)
+    cells = with_slice(rows, "_score", slice_borders(rows, "_score", slices))
     below = W.partitionBy(*keys, "_slice").orderBy("_score").rowsBetween(W.unboundedPreceding, -1)
     inner = cells.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
     wins = F.col("_pos") * (F.col("_below") + 0.5 * F.col("_neg").cast("double"))
