@@ -103,10 +103,12 @@ def fk_violation_rate(fact: DataFrame, dim: DataFrame, key: str, dim_key: str |
     )
 
 
-def fk_violations(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+def fk_violations(
+    fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None, **limits: int
+) -> DataFrame:
     """The fact rows behind ``fk_violation_rate``."""
-    known = dim.select(F.col(dim_key or key).alias(key)).distinct()
-    return fact.join(known, key, "left_anti")
+    known = dim.select(F.col(dim_key or key).alias(key)).distinct().withColumn("_known", F.lit(1))
+    return salted_lookup(fact, known, [key], **limits).where(F.col("_known").isNull()).drop("_known")
 
 
 def scalar_broadcast(df: DataFrame, one_row: DataFrame) -> DataFrame:

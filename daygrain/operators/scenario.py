@@ -74,32 +74,39 @@ def apply_scenarios(
     return df.select(*kept, F.inline(rows)).select(*df.columns, "scenario")
 
 
-def bounds_struct(bounds: DataFrame) -> Column:
-    """``quantile_bounds`` rows as a scalar map feature -> (lower, upper)."""
-    pairs = F.map_from_entries(
-        F.collect_list(F.struct("feature", F.struct("lower", "upper")))
-    )
-    return bounds.agg(pairs.alias("b")).scalar()
-
-
 def pressure_score(
     df: DataFrame,
     bounds: DataFrame,
     weights: Mapping[str, float] = PRESSURE_WEIGHTS,
     col: str = "pressure",
 ) -> DataFrame:
-    """Weighted mean of the features scaled between their bounds, over the features present."""
-    available = {c: w for c, w in weights.items() if c in df.columns}
-    if not available:
-        return df.withColumn(col, F.lit(0.0))
-    scalar = bounds_struct(bounds.where(F.col("feature").isin(list(available))))
-    attached = df.withColumn("_bounds", scalar)
-    total = sum(available.values())
+    """Weighted mean of the features scaled between their bounds, over the features present.
+
+    ``bounds`` has one row per weighted feature; its numbers go into the plan as
+    constants, so scoring is a single pass without a join or shuffle.
+    """
+    return df.withColumn(col, pressure_column(df.columns, bound_values(bounds, weights), weights))
+
+
+def bound_values(
+    bounds: DataFrame, weights: Mapping[str, float] = PRESSURE_WEIGHTS
+) -> dict[str, tuple[float, float]]:
+    """The bounds of the weighted features as numbers (one small row each)."""
+    rows = bounds.where(F.col("feature").isin(list(weights))).collect()
+    return {r["feature"]: (r["lower"], r["upper"]) for r in rows if r["lower"] is not None}
+
+
+def pressure_column(
+    columns: Sequence[str],
+    values: Mapping[str, tuple[float, float]],
+    weights: Mapping[str, float] = PRESSURE_WEIGHTS,
+) -> Column:
+    available = {c: w for c, w in weights.items() if c in columns}
     score = F.lit(0.0)
     for feature, weight in available.items():
-        limits = F.col("_bounds")[feature]
-        score = score + normalize_bounds(feature, limits["lower"], limits["upper"]) * F.lit(weight)
-    return attached.withColumn(col, score / F.lit(total)).drop("_bounds")
+        lo, hi = values.get(feature, (0.0, 0.0))
+        score = score + normalize_bounds(feature, F.lit(lo), F.lit(hi)) * F.lit(weight)
+    return score / F.lit(sum(available.values())) if available else score
 
 
 def blended_risk(model_risk: str = "model_risk", pressure: str = "pressure") -> Column:
@@ -122,9 +129,11 @@ def model_scorer(model: PipelineModel) -> Scorer:
     return lambda df: score_risk(model, df, "model_risk")
 
 
-def blended(df: DataFrame, scorer: Scorer, bounds: DataFrame, col: str) -> DataFrame:
+def blended(
+    df: DataFrame, scorer: Scorer, values: Mapping[str, tuple[float, float]], col: str
+) -> DataFrame:
     """Append the blended risk of the rows as they are."""
-    scored = pressure_score(scorer(df), bounds)
+    scored = scorer(df).withColumn("pressure", pressure_column(df.columns, values))
     return scored.withColumn(col, blended_risk()).select(*df.columns, col)
 
 
@@ -138,16 +147,15 @@ def scenario_scores(
 ) -> DataFrame:
     """Per row and scenario: baseline and scenario risk, their difference, and threshold flags.
 
-    All scenarios are scored in one pass against the baseline's bounds and threshold.
+    The bounds and the threshold (17 numbers) come first; then all scenarios are scored
+    in one pass over the table, without a shuffle.
     """
-    bounds = quantile_bounds(entity_day, list(PRESSURE_WEIGHTS), **limits)
-    base = blended(entity_day, scorer, bounds, "baseline_risk")
-    threshold = high_risk_threshold(base, "baseline_risk", floor, **limits).scalar()
-    flagged = base.withColumn("_threshold", threshold).withColumn(
-        "baseline_high_risk", (F.col("baseline_risk") >= F.col("_threshold")).cast("int")
-    )
-    scored = blended(apply_scenarios(flagged, packages), scorer, bounds, "scenario_risk")
-    below = (F.col("scenario_risk") < F.col("_threshold")).cast("int")
+    values = bound_values(quantile_bounds(entity_day, list(PRESSURE_WEIGHTS), **limits))
+    base = blended(entity_day, scorer, values, "baseline_risk")
+    threshold = F.lit(high_risk_threshold(base, "baseline_risk", floor, **limits).first()["threshold"])
+    flagged = base.withColumn("baseline_high_risk", (F.col("baseline_risk") >= threshold).cast("int"))
+    scored = blended(apply_scenarios(flagged, packages), scorer, values, "scenario_risk")
+    below = (F.col("scenario_risk") < threshold).cast("int")
     return scored.select(
         *names.grain,
         names.region,

@@ -448,7 +448,7 @@ def signal_correlation_report(t):
 
 @query
 def quantile_bounds(t):
-    return agg.quantile_bounds(t.entity_day, list(scenario.PRESSURE_WEIGHTS))
+    return agg.quantile_bounds(t.stored_day, list(scenario.PRESSURE_WEIGHTS))
 
 
 @query
@@ -735,7 +735,7 @@ def pressure_score(t):
 @query
 def blended_risk(t):
     bounds = agg.quantile_bounds(t.stored_day, list(scenario.PRESSURE_WEIGHTS))
-    scored = scenario.blended(t.stored_day, fixed_scorer, bounds, "risk")
+    scored = scenario.blended(t.stored_day, fixed_scorer, scenario.bound_values(bounds), "risk")
     return scored.select("entity_id", "date", "risk")
 
 
