@@ -15,7 +15,7 @@ from daygrain.operators import aggregates as agg
 from daygrain.operators import clean, joins, lineage, model, profile, quality, ranking, scenario, star
 from daygrain.plans.risk import run_risk_model, run_scenarios
 from daygrain.sources import layers
-from daygrain.sources.readers import read_source
+from daygrain.sources.readers import read_source as read_table
 from daygrain.sources.sample_tables import BATCH, EVENTS_SCHEMA, EXTRACTED, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +65,8 @@ def fixed_scorer(df: DataFrame) -> DataFrame:
 
 
 @query
-def read_source_parquet(t):
-    return read_source(t.spark, f"{t.sf_dir}/events.parquet", EVENTS_SCHEMA, "parquet").drop("props")
+def read_source(t):
+    return read_table(t.spark, f"{t.sf_dir}/events.parquet", EVENTS_SCHEMA, "parquet").drop("props")
 
 
 @query
@@ -94,6 +94,30 @@ def run_layers(t):
     return layers.curate(t.spark, staged, f"{path}/curated", GENERIC)["entity_day"]
 
 
+@query
+def write_results(t):
+    path = shared_dir(t.spark, "results")
+    scores = scenario.scenario_scores(t.stored_day, fixed_scorer)
+    results = {
+        "scenario_summary": scenario.scenario_summary(scores),
+        "scenario_region_impact": scenario.scenario_region_impact(scores),
+        "hotspots": agg.hotspots_by_count(t.incident),
+    }
+    layers.write_results(results, path, "csv")
+    back = {name: t.spark.read.csv(f"{path}/{name}", header=True) for name in results}
+    return ranking.union_all(
+        [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in back.items()]
+    )
+
+
+@query
+def save_model(t):
+    train, test, _ = model.split_train_test(t.stored_day)
+    path = shared_dir(t.spark, "model")
+    layers.save_model(model.train_risk_model(train), path)
+    return model.score_risk(layers.load_model(path), test).select(*GENERIC.grain, model.RISK)
+
+
 # lineage -------------------------------------------------------------------------------------
 
 

@@ -542,7 +542,7 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
 
     # sources, layers
-    out["read_source_parquet"] = f"SELECT event_id, ts, user_id, event_type, {r('value')} AS value FROM events"
+    out["read_source"] = f"SELECT event_id, ts, user_id, event_type, {r('value')} AS value FROM events"
     out["load_sources"] = sql(
         " UNION ALL ".join(
             f"SELECT '{name}_feed' AS source_system, {LINEAGE_SQL}, count(*) AS rows FROM {table}"
@@ -559,6 +559,12 @@ def oracle_sql() -> dict[str, str]:
         "SELECT date, event_type, count(*) AS rows, CAST(sum(amount) AS BIGINT) AS amount FROM typed "
         "GROUP BY date, event_type"
     )
+    out["write_results"] = sql(
+        "SELECT 'scenario_summary' AS name, count(*) AS rows FROM summary UNION ALL "
+        "SELECT 'scenario_region_impact', count(*) FROM (SELECT DISTINCT scenario, region FROM scores "
+        "WHERE scenario <> 'Baseline') UNION ALL SELECT 'hotspots', least(10, count(*)) FROM hot",
+        hot=HOT,
+    )
     out["run_layers"] = sql(f"SELECT {ed} FROM entity_day")
 
     # lineage

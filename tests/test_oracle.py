@@ -10,7 +10,7 @@ import compare
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SQL = contract.oracle_sql()
 QUERIES = contract.queries()
-MODEL_ONLY = {"risk_report", "scenario_summary_trained", "score_risk", "top_features", "train_risk_model"}
+MODEL_ONLY = {"risk_report", "save_model", "scenario_summary_trained", "score_risk", "top_features", "train_risk_model"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no sample data")
 
