@@ -32,7 +32,7 @@ def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int)
 
     One counting job that reads only the key columns. The limit grows with the table,
     so fewer than ``max_hot`` groups can pass it, which bounds every later broadcast
-    of the result; the few rows are checkpointed so that plans using them stay short.
+    of the result; the few rows are stored so that plans using them stay short.
     """
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
     shape = sizes.agg(F.sum("_size").alias("total"), F.max("_size").alias("largest")).first()

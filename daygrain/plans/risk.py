@@ -31,8 +31,8 @@ def run_risk_model(
 ) -> RiskRun:
     """Split, train, pick the threshold on train, evaluate on the holdout.
 
-    The scored holdout is checkpointed: every figure below restarts from it instead
-    of scoring again.
+    The scored holdout is stored: every figure below restarts from it instead of
+    scoring again.
     """
     train, test, split = M.split_train_test(entity_day, target, seed=seed, names=names)
     model = M.train_risk_model(train, target, names)

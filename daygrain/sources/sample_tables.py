@@ -165,7 +165,7 @@ class SampleTables:
 
     @cached_property
     def stored_incident(self) -> DataFrame:
-        """Checkpointed: for work that reads the table several times."""
+        """Stored: for work that reads the table several times."""
         return reliable(self.incident)
 
     @cached_property
