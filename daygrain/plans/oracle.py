@@ -804,7 +804,7 @@ def oracle_sql() -> dict[str, str]:
     )
     out["lineage_columns"] = sql(
         "SELECT 'present' AS name, 'PASS' AS status, 'OK' AS notes, count(*) AS hashed_rows FROM incident UNION ALL "
-        "SELECT 'absent', 'FAIL', 'Missing traceability columns: [''record_hash'']', count(*) FROM incident"
+        "SELECT 'absent', 'FAIL', 'Missing lineage columns: [''record_hash'']', count(*) FROM incident"
     )
     out["duplicate_key_rate"] = (
         f"SELECT {r('CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS DOUBLE) / count(*)')} "
