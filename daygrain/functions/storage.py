@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The folder from the session. Only a local session without one gets its own."""
+    """The folder that the session names; where it names none, a folder in its warehouse.
+
+    Executors share both. The session's settings are read and never changed.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="daygrain-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return base.rstrip("/") if base else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under the checkpoint folder."""
-    return f"{checkpoint_base(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _written.append(f"{checkpoint_base(spark)}/{purpose}-{uuid.uuid4().hex}")
+    return _written[-1]
 
 
 def reliable(df: DataFrame) -> DataFrame:
@@ -35,3 +34,17 @@ def reliable(df: DataFrame) -> DataFrame:
     path = shared_dir(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """At the end of a run: delete what this process stored; tables that read it are of no use then."""
+    paths, _written[:] = list(_written), []
+    for path in paths:
+        remove(spark, path)
+    return len(paths)

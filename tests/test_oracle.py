@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
+from daygrain.plans import catalog, oracle
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+SQL = oracle.oracle_sql()
+QUERIES = catalog.QUERIES
 MODEL_ONLY = {"risk_report", "save_model", "scenario_summary_trained", "score_risk", "top_features", "train_risk_model"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no sample data")
