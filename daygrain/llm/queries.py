@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.llm.near_text import near_duplicates
+from daygrain.llm.suffixes import remove_repeats
 from daygrain.llm.tables import Stored
 
 
@@ -17,6 +18,17 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Stored(spark), width=3, num=85, den=100)
 
 
-QUERIES = {"op5_minhash": op5_minhash}
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return remove_repeats(_table(spark, sf_dir, "documents"), Stored(spark), length=400).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+QUERIES = {"op5_minhash": op5_minhash, "op9_suffix_array": op9_suffix_array}
 
 ORACLE: dict[str, str] = {}
