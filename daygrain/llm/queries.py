@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrain.llm.mixing import PHASES, WEIGHTS, mix
 from daygrain.llm.near_text import near_duplicates
+from daygrain.llm.packing import pack, token_pieces
 from daygrain.llm.suffixes import remove_repeats
 from daygrain.llm.tables import Stored
 
@@ -29,6 +31,88 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_minhash": op5_minhash, "op9_suffix_array": op9_suffix_array}
+def op7_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """``vocabulary``: file of a byte-level vocabulary; the public 50k one unless given."""
+    if vocabulary is None:
+        import public_tokenizers
 
-ORACLE: dict[str, str] = {}
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), vocabulary)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(digests, Stored(spark)).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"), Stored(spark)).select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.floor(F.get("positions", F.lit(0)) * 1_000_000).alias("first_ppm"),
+    )
+
+
+QUERIES = {
+    "op5_minhash": op5_minhash,
+    "op7_packing": op7_packing,
+    "op9_suffix_array": op9_suffix_array,
+    "op10_mixing": op10_mixing,
+}
+
+OP10_SQL = """
+WITH sized AS (
+    SELECT doc_id, source, coalesce(md5(doc_id::VARCHAR), '') AS k,
+           coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+    FROM documents),
+by_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (
+    SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT AS turn,
+           (turn + 1)::BIGINT AS w, source_size * 3 AS most
+    FROM by_source),
+-- the fuller a source is for its weight, the sooner it stops at its limit
+lined AS (
+    SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,
+           coalesce(sum(most) OVER o, 0) AS most_before, coalesce(sum(w) OVER o, 0) AS w_before
+    FROM weighed
+    WINDOW o AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stopped AS (SELECT *, most * (all_w - w_before) <= w * (total - most_before) AS full_ FROM lined),
+unit AS (
+    SELECT (max(total) - coalesce(sum(most) FILTER (WHERE full_), 0))::DOUBLE
+           / nullif(sum(w) FILTER (WHERE NOT full_), 0)::DOUBLE AS u
+    FROM stopped),
+targets AS (
+    SELECT source, source_size, turn, CASE WHEN full_ THEN most::DOUBLE ELSE u * w END AS target FROM stopped, unit),
+laid AS (
+    SELECT s.doc_id, s.size, t.source_size, t.turn, t.target,
+           sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS b
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+counted AS (
+    SELECT *, CASE WHEN source_size > 0
+        THEN greatest(ceil((2.0::DOUBLE * target - 2 * b - size) / (2 * source_size)::DOUBLE), 0)::BIGINT ELSE 0 END AS copies,
+        b::DOUBLE / target AS share
+    FROM laid)
+SELECT doc_id, size, source_size, target, copies * size AS taken,
+       CASE WHEN copies > 0 THEN floor(1000000 * {position})::BIGINT END AS first_ppm
+FROM counted
+"""
+
+
+def _position_sql() -> str:
+    """The inverted demand of the default phases, per place in the weight cycle."""
+    cases = []
+    for turn in range(len(WEIGHTS)):
+        total, done, start, steps = sum((e - s) * m[turn] for s, e, m in _spans()), 0.0, 0.0, []
+        for start, end, strengths in _spans():
+            part = (end - start) * strengths[turn] / total
+            low = done / total
+            steps.append(f"WHEN share < {low + part!r}::DOUBLE THEN {start!r}::DOUBLE + (share - {low!r}::DOUBLE) / {part!r}::DOUBLE * {end - start!r}::DOUBLE")
+            done += (end - start) * strengths[turn]
+        cases.append(f"WHEN turn = {turn} THEN CASE {' '.join(steps)} ELSE 1.0 END")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _spans() -> list[tuple[float, float, tuple[float, ...]]]:
+    return [(PHASES[k - 1][0] if k else 0.0, end, m) for k, (end, m) in enumerate(PHASES)]
+
+
+ORACLE = {"op10_mixing": OP10_SQL.replace("{position}", _position_sql())}

@@ -61,3 +61,20 @@ def ranged(df: DataFrame, keys: Sequence[str | Column], stored: Stored, parts: i
     return stored.put(
         dealt.withColumns({"_part": F.shiftright(place, 33), "_at": place.bitwiseAND(F.lit((1 << 33) - 1))})
     )
+
+
+def numbered(df: DataFrame, keys: Sequence[str | Column], stored: Stored, rows_each: int = 500_000) -> DataFrame:
+    """The rows, stored, with ``_n``: their place from 0 in the order of ``keys``, without one task for all.
+
+    Places are counted within sorted ranges; the ranges' first places, one row a range, are broadcast.
+    """
+    rows = stored.put(df)
+    sorted_ = ranged(rows, keys, stored, parts_for(df.sparkSession, rows.count(), rows_each))
+    stored.drop(rows)
+    first, at = [], 0
+    for part, size in sorted(sorted_.groupBy("_part").count().collect()):
+        first.append((part, at))
+        at += size
+    starts = F.broadcast(df.sparkSession.createDataFrame(first, "_part long, _first long"))
+    out = sorted_.join(starts, "_part").withColumn("_n", F.col("_first") + F.col("_at"))
+    return out.drop("_part", "_at", "_first")
