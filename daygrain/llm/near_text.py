@@ -258,7 +258,7 @@ def near_duplicates(
     roots = components(first, stored)
     labelled = met.where("size > 2").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
     by_label = labelled.groupBy("bucket", "label").agg(F.count("*").alias("c"))
-    mixed = (
+    mixed = stored.put(  # stored, so that the join below can split a bucket with many members
         by_label.groupBy("bucket")
         .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"), F.count("*").alias("labels"))
         .where("labels > 1")
