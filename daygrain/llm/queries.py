@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrain.llm.content import main_text
+from daygrain.llm.langid import held_out, identify, train
+from daygrain.llm.lines import MAX_SHARE, MIN_SITES, remove_shared_lines
 from daygrain.llm.mixing import PHASES, WEIGHTS, mix
 from daygrain.llm.near_text import near_duplicates
 from daygrain.llm.packing import pack, token_pieces
@@ -16,10 +19,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    trees = train(docs.where(~held_out()), Stored(spark))
+    return identify(docs.select("doc_id", "text"), trees).select(
+        "row.doc_id", held_out("row.doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte"
+    )
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Stored(spark), width=3, num=85, den=100)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return remove_shared_lines(docs, Stored(spark)).select("row.*", "lines_removed")
+
+
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return remove_repeats(_table(spark, sf_dir, "documents"), Stored(spark), length=400).select(
@@ -31,6 +47,12 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.array_join("blocks", " ")
+    return main_text(pages).select("row.*", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """``vocabulary``: file of a byte-level vocabulary; the public 50k one unless given."""
     if vocabulary is None:
@@ -52,8 +74,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_language": op4_language,
     "op5_minhash": op5_minhash,
+    "op6_content": op6_content,
     "op7_packing": op7_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_suffix_array": op9_suffix_array,
     "op10_mixing": op10_mixing,
 }
@@ -115,4 +140,26 @@ def _spans() -> list[tuple[float, float, tuple[float, ...]]]:
     return [(PHASES[k - 1][0] if k else 0.0, end, m) for k, (end, m) in enumerate(PHASES)]
 
 
-ORACLE = {"op10_mixing": OP10_SQL.replace("{position}", _position_sql())}
+OP8_SQL = f"""
+WITH lines AS (
+    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM documents),
+shared AS (
+    SELECT trim(line, ' ' || chr(9) || chr(13)) AS t FROM lines
+    WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''
+    GROUP BY 1 HAVING count(DISTINCT source) >= {MIN_SITES}),
+listed AS (SELECT coalesce(list(t), []) AS gone FROM shared),
+cut AS (
+    SELECT doc_id, source, text, string_split(text, chr(10)) AS parts,
+           [x FOR x IN string_split(text, chr(10)) IF NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))] AS kept
+    FROM documents, listed),
+sized AS (
+    SELECT *, array_to_string(kept, chr(10)) AS new,
+           length(text) - length(array_to_string(kept, chr(10))) > {MAX_SHARE} * length(text) AS heavy
+    FROM cut)
+SELECT doc_id, source, CASE WHEN heavy THEN text ELSE coalesce(new, text) END AS text,
+       CASE WHEN heavy THEN 0 ELSE coalesce(len(parts) - len(kept), 0) END AS lines_removed
+FROM sized
+"""
+
+
+ORACLE = {"op8_line_dedup": OP8_SQL, "op10_mixing": OP10_SQL.replace("{position}", _position_sql())}
