@@ -356,7 +356,8 @@ def remove_repeats(
             lambda it: _anchor_rows(it, length), "k1 long, k2 long, pos long, anchor long, around long"
         )
     )
-    often = marks.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    # stored, so that the join can split an anchor that a third of the texts have
+    often = stored.put(marks.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").drop("c"))
     met = stored.put(marks.join(often, "anchor").dropDuplicates(["k1", "k2", "pos"]))
     stored.drop(marks)
     kinds = stored.put(
