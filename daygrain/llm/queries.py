@@ -10,6 +10,7 @@ from daygrain.llm.langid import held_out, identify, train
 from daygrain.llm.lines import MAX_SHARE, MIN_SITES, remove_shared_lines
 from daygrain.llm.mixing import PHASES, WEIGHTS, mix
 from daygrain.llm.near_text import near_duplicates
+from daygrain.llm.near_vectors import near_vectors
 from daygrain.llm.packing import pack, token_pieces
 from daygrain.llm.suffixes import remove_repeats
 from daygrain.llm.tables import Stored
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), Stored(spark), least=0.9)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     trees = train(docs.where(~held_out()), Stored(spark))
@@ -74,6 +79,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op4_language": op4_language,
     "op5_minhash": op5_minhash,
     "op6_content": op6_content,
