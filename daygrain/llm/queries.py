@@ -11,6 +11,7 @@ from daygrain.llm.lines import MAX_SHARE, MIN_SITES, remove_shared_lines
 from daygrain.llm.mixing import PHASES, WEIGHTS, mix
 from daygrain.llm.near_text import near_duplicates
 from daygrain.llm.near_vectors import near_vectors
+from daygrain.llm.neighbours import nearest
 from daygrain.llm.packing import pack, token_pieces
 from daygrain.llm.suffixes import remove_repeats
 from daygrain.llm.tables import Stored
@@ -20,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), Stored(spark), k=20)
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), Stored(spark), least=0.9)
 
@@ -79,6 +85,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_language": op4_language,
     "op5_minhash": op5_minhash,
