@@ -28,12 +28,12 @@ from daygrain.llm import vectors as V
 from daygrain.llm.tables import Stored
 
 DEGREE = 32  # neighbours of a node
-TREES, LEAF = 6, 384
-HEAR = 14  # new and old neighbours, and nodes pointing here, that a node hears of: four times as many at most
+TREES, LEAF, LEAF_LINKS = 12, 1024, 10  # first links: trees, rows of a leaf, links a leaf gives a node
+HEAR = 16  # new and old neighbours, and nodes pointing here, that a node hears of: four times as many at most
 OFFER = 6  # links that one comparison offers a node
-ROUNDS, SETTLED = 6, 0.02  # rounds at most; share of changed links below which a round was the last
+ROUNDS, SETTLED = 6, 0.002  # rounds at most; share of changed links below which a round was the last
 PIVOTS = 1024
-BEAM, OPEN, STEPS = 96, 24, 4
+BEAM, OPEN, STEPS = 128, 32, 6
 _GRAPH = "id long, other long, score float, fresh boolean"
 
 
@@ -135,7 +135,7 @@ def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = D
     sizes = leaves.groupBy("tree", "leaf").count().withColumn("parts", F.ceil(F.col("count") / (2 * LEAF))).drop("count")
     cells = leaves.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), "parts"))
     keys = ["tree", "leaf", "part"]
-    first = cells.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _leaf_links(it, degree), _GRAPH)
+    first = cells.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _leaf_links(it, LEAF_LINKS), _GRAPH)
     graph = stored.put(_merged(first, degree))
     for _ in range(ROUNDS):
         luck = F.xxhash64("id", "other", F.lit(31))
