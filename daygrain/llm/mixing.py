@@ -22,7 +22,8 @@ WEIGHTS = (1, 2, 3)
 LIMIT = 3
 #: (end of the phase, strength of sources of weight 1, 2, 3): light sources early, heavy ones late.
 PHASES = ((0.25, (3.0, 1.0, 1.0)), (0.75, (1.0, 1.0, 1.0)), (1.0, (1.0, 1.0, 3.0)))
-ROWS_EACH = 20_000
+BUCKET_ROWS = 2_000  # of a bucket of the hash, on average over all sources
+PART_ROWS = 20_000  # of a range of the sorted mix
 
 
 def _position(share: Column, turn: Column, phases: Sequence[tuple[float, Sequence[float]]], cycle: int) -> Column:
@@ -112,7 +113,7 @@ def mix(
         )
     )
     rows, digits = sizes.count(), 1
-    while 16**digits * ROWS_EACH < rows:
+    while 16**digits * BUCKET_ROWS < rows:
         digits += 1
     bucketed = sizes.withColumns(
         {"_s": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull(), "_bucket": F.substring("_key", 1, digits)}
@@ -155,6 +156,6 @@ def curriculum(docs: DataFrame, stored: Stored, id_col: str = "doc_id", **option
     inner = docs.withColumns({"_row": F.struct(*[F.col(c) for c in docs.columns])})
     mixed = mix(inner, stored, id_col=id_col, keep=["_row"], **options)
     turns = stored.put(mixed.select("_row", F.posexplode("positions").alias("_pass", "_position")))
-    parts = parts_for(docs.sparkSession, turns.count(), ROWS_EACH)
+    parts = parts_for(docs.sparkSession, turns.count(), PART_ROWS)
     keys = ["_position", F.xxhash64(f"_row.{id_col}"), "_pass"]
     return turns.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("_row.*")
