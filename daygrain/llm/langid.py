@@ -28,6 +28,7 @@ ORDER = 4
 LEAST = 2
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 400_000  # of each language; the bound of what the driver collects
 UNKNOWN = "und"
+MAX_BITS = 12.0  # of a byte: longer codes mean that most bytes are new to every language
 PAD = 10  # every text is preceded by ORDER line feeds
 
 
@@ -229,6 +230,12 @@ def identify(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame
     return rows.mapInArrow(lambda it: _scores(it, held.value), schema)
 
 
+def in_learned_language(docs: DataFrame, trees: Trees, text_col: str = "text", max_bits: float = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` in a learned language: not ``und``, and no code of ``max_bits`` a byte or more."""
+    told = identify(docs, trees, text_col)
+    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") < max_bits)).select("row.*")
+
+
 def held_out(id_col: str = "doc_id"):
     """Whether CRC-32 of the id as text leaves 1 when divided by 3; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daygrain.llm.tables import Stored, numbered, parts_for
+from daygrain.llm.tables import Stored, numbered, parts_for, row_keys, small
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -148,14 +148,31 @@ def mix(
     )
 
 
-def curriculum(docs: DataFrame, stored: Stored, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents of the mix, each as often as taken, range-sorted by training position.
+def curriculum(
+    docs: DataFrame, stored: Stored, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The documents of the mix, each as often as taken, range-sorted by training position; ``options`` as for ``mix``.
 
-    All columns of ``docs`` are kept, none added. Documents of no words are in no demand and are left out.
+    All columns of ``docs`` are kept, none added. A document of no words comes along where it stands, unless its whole
+    source has none: such a source is in no demand. The mix is made of ids and sizes; texts are moved twice, to
+    their positions and into their order.
     """
-    inner = docs.withColumns({"_row": F.struct(*[F.col(c) for c in docs.columns])})
-    mixed = mix(inner, stored, id_col=id_col, keep=["_row"], **options)
-    turns = stored.put(mixed.select("_row", F.posexplode("positions").alias("_pass", "_position")))
-    parts = parts_for(docs.sparkSession, turns.count(), PART_ROWS)
-    keys = ["_position", F.xxhash64(f"_row.{id_col}"), "_pass"]
-    return turns.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("_row.*")
+    key = ["k1", "k2"]
+    names = {"doc_id": id_col, "source": source_col, "text": text_col}
+    slim = docs.select(*[F.col(c).alias(n) for n, c in names.items()], *[h.alias(k) for k, h in row_keys(docs).items()])
+    mixed = mix(slim, stored, keep=key, **options).where("copies > 0")
+    places = stored.put(
+        mixed.groupBy(*key).agg(F.flatten(F.collect_list("positions")).alias("positions"), F.count("*").alias("c"))
+    )
+    total, repeated = places.agg(F.sum(F.size("positions")), F.count_if(F.col("c") > 1)).first()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[h.alias(k) for k, h in row_keys(docs).items()]
+    )
+    if repeated:  # equal rows are one, which stands at the positions of all
+        twice = small(places.where("c > 1").select(*key), repeated)
+        once = rows.join(twice, key, "left_semi").dropDuplicates(key)
+        rows = rows.join(twice, key, "left_anti").unionByName(once)
+    turns = rows.join(places, key).select("row", *key, F.posexplode("positions").alias("pass", "position"))
+    parts = parts_for(docs.sparkSession, int(total or 0), PART_ROWS)
+    order = ["position", *key, "pass"]
+    return turns.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("row.*")

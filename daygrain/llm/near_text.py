@@ -138,12 +138,13 @@ def _features(batches: Iterator[pa.RecordBatch], width: int, coords: int, bands:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[i:j],
+                    batch.column(2)[i:j],
                     pa.array(counts),
                     pa.array(_digests(values, counts, 1).astype(np.int64)),
                     pa.array(_digests(values, counts, 2).astype(np.int64)),
                     B.long_lists(key.reshape(-1), np.full(j - i, bands)),
                 ],
-                names=["doc_id", "n_shingles", "set_1", "set_2", "bands"],
+                names=["doc_id", "text_hash", "n_shingles", "set_1", "set_2", "bands"],
             )
 
 
@@ -208,7 +209,7 @@ def near_duplicates(
     den: int = 100,
     coords: int = COORDS,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per document: ``doc_id``, ``text_hash`` (XXH64 of its text), ``n_shingles``, ``component_id``, ``kept``.
 
     Documents are linked when ``den * |intersection| >= num * |union|`` of their sets of ``width``-word
     shingles. ``component_id`` is the smallest id reachable by links, ``kept`` tells whether that is the
@@ -220,11 +221,13 @@ def near_duplicates(
     task holds one chunk of rows, or one block pair of 256 sets.
     """
     bands, _ = band_shape(num / den, coords)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(text_col).alias("text_hash")
+    )
     feats = stored.put(
         texts.mapInArrow(
             lambda it: _features(it, width, coords, bands),
-            "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>",
+            "doc_id long, text_hash long, n_shingles long, set_1 long, set_2 long, bands array<long>",
         )
     )
     usable = feats.where("n_shingles > 0 and doc_id is not null")
@@ -233,7 +236,7 @@ def near_duplicates(
     members = stored.put(
         usable.join(repeated, same, "left")
         .withColumn("node", F.coalesce("rep", "doc_id"))
-        .select("doc_id", "n_shingles", "node", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands"))
+        .select("doc_id", "text_hash", "n_shingles", "node", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands"))
     )
     banded = members.where("bands is not null").select("node", F.explode("bands").alias("bucket"))
     shared = (
@@ -293,9 +296,38 @@ def near_duplicates(
     )
     rooted = components(first.unionByName(second), stored)
     found = members.join(small(rooted), "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "node").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("component_id")
     )
     rest = feats.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")
     )
     return found.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(
+    docs: DataFrame, stored: Stored, id_col: str = "doc_id", text_col: str = "text", **options: int
+) -> DataFrame:
+    """The rows of ``docs`` without all but one of each group of near-duplicates; ``options`` as above.
+
+    The document with the smallest id stays; of rows that repeat that id, one. Rows without words or id stay.
+    """
+    groups = stored.put(near_duplicates(docs, stored, id_col, text_col, **options))
+    kept = groups.where("kept and doc_id is not null and n_shingles > 0")
+    repeated = stored.put(
+        kept.groupBy("doc_id").agg(F.min("text_hash").alias("stays"), F.count("*").alias("c")).where("c > 1")
+    )
+    gone = groups.where(~F.col("kept")).select("doc_id", "text_hash")
+    n = repeated.count()
+    if n:
+        others = kept.join(repeated, "doc_id").where("text_hash <> stays")
+        gone = gone.unionByName(others.select("doc_id", "text_hash"))
+    named = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+    )
+    rows = named.join(small(stored.put(gone.distinct())), ["doc_id", "text_hash"], "left_anti")
+    if n:
+        twice = small(repeated.select("doc_id", F.col("stays").alias("text_hash")), n)
+        once = rows.join(twice, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+        rows = rows.join(twice, ["doc_id", "text_hash"], "left_anti").unionByName(once)
+    return rows.select("row.*")

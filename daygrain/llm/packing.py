@@ -147,6 +147,13 @@ class WordTable:
         return self.pool[out], np.diff(total[edges])
 
 
+def public_vocabulary() -> str:
+    """Where the installed package of public tokenizers has its byte-level vocabulary of 50,257 ids."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 _tables: dict[str, WordTable] = {}
 
 

@@ -45,6 +45,13 @@ def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
 
 
+def row_keys(df: DataFrame) -> dict[str, Column]:
+    """Two hashes of a whole row, map columns aside, by which rows that were reduced to a few columns are found again."""
+    kinds = dict(df.dtypes)
+    columns = [F.col(f"`{c}`") for c in df.columns if "map<" not in kinds[c]]
+    return {"k1": F.xxhash64(*columns), "k2": F.xxhash64(F.lit(2), *columns)}
+
+
 def parts_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     """Number of partitions so that each holds about ``rows_each`` rows, a few per shuffle partition at least."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each))
