@@ -60,11 +60,11 @@ class Element:
         if tag in CONTENT_TAGS:
             rank, inside = rank + 3, True
         elif tag in BOILERPLATE_TAGS and not (tag == "header" and inside):
-            rank -= 6
+            rank = min(rank, 0.0) - 6
         if names:
             names = names.lower()
             if BOILERPLATE_WORDS.search(names):
-                rank -= 6
+                rank = min(rank, 0.0) - 6
             elif CONTENT_WORDS.search(names) and not inside:
                 rank += 2
         self.inside_content, self.rank = inside, max(-9.0, min(rank, 5.0))
