@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.storage import reliable
 
-HOT_ROWS = 1_000_000  # groups up to this many values use one percentile buffer
+HOT_ROWS = 250_000  # groups up to this many values use one percentile buffer
 MAX_HOT = 200_000  # upper bound on the number of groups treated as hot
 SLICES = 1024
 SKETCH_SIZE = 1024
@@ -142,7 +142,9 @@ def _sliced_percentiles(
     for name, p in probs.items():
         place = (F.col("_n") - 1) * F.lit(float(p))
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((low + (high - low) * (place - F.floor(place))).alias(name))
+        # both ends weighed, as in ``percentile``: the two ways agree to the last bit
+        between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
+        out.append(F.when(low == high, low).otherwise(between).alias(name))
     return found.select(*keys, *out)
 
 

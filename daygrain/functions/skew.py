@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.order_stats import find_hot
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 1_000_000  # rows of a key that one task may join
 MAX_HOT = 10_000
 NULL_SPREAD = 4096
 
@@ -41,7 +41,8 @@ def salted_lookup(
     if hot is None:
         return base.join(lookup, keys, "left").select(*base.columns, *extra)
     pieces = hot.select(*keys, F.ceil(F.col("_size") / F.col("_limit")).cast("long").alias("_pieces"))
-    rows_hash = F.abs(F.xxhash64(*base.columns) % F.lit(1_000_003)) + F.spark_partition_id()
+    hashable = [c for c, kind in base.dtypes if "map<" not in kind]
+    rows_hash = F.abs(F.xxhash64(*hashable) % F.lit(1_000_003)) + F.spark_partition_id()
     salted_base = (
         base.join(F.broadcast(pieces), keys, "left")
         .withColumn(

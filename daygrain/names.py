@@ -32,6 +32,7 @@ class Names:
     typed_id: str = "typed_id"
     event_type: str = "event_type"
     amount: str = "amount"
+    typed_extra: tuple[str, ...] = ()
     types: tuple[str, ...] | None = ("click", "error", "purchase", "signup", "view")
     # incidents
     incident: str = "incident_id"
@@ -62,6 +63,15 @@ class Names:
         return [self.entity, self.day]
 
 
+#: The roles that the columns of each source have.
+SOURCE_ROLES = {
+    "registry": ("entity", "region", "city", "kind"),
+    "measure": ("sensor", "ts", "entity", "volume", "speed"),
+    "typed": ("typed_id", "ts", "entity", "event_type", "amount"),
+    "incident": ("incident", "ts", "entity", "vehicles", "injuries", "fatalities", "severity", "lighting"),
+    "context": ("ts", "region", "city", "mode", "visibility", "precip", "temp"),
+}
+
 GENERIC = Names()
 
 # The column names and event types of the five road-safety CSV files.
@@ -74,6 +84,7 @@ ROADS = Names(
     typed_id="violation_id",
     event_type="violation_type",
     amount="fine_amount",
+    typed_extra=("driver_age_band",),
     types=("PhoneUse", "RedLight", "Seatbelt", "Speeding", "UnsafeLaneChange"),
     vehicles="vehicles_involved",
     mode="weather",

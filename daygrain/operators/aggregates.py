@@ -16,7 +16,6 @@ from daygrain.operators.clean import default_fill, min_support
 from daygrain.operators.joins import context_lookup, integrate_entity_day, lookup_missing
 from daygrain.operators.ranking import top_k
 
-MAX_TYPES = 10_000
 # Candidate signals of the diagnostic list (8, top 6) and the report list (8, top 5).
 DIAGNOSTIC_SIGNALS = (
     "daily_volume",
@@ -39,6 +38,26 @@ REPORT_SIGNALS = (
     "fog_hours",
 )
 
+#: Definitions of the entity-day columns, over the columns that fill these roles.
+DERIVED = {
+    "daily_volume": "sum({volume})",
+    "mean_speed": "avg({speed})",
+    "p95_speed": "percentile({speed}, 0.95)",
+    "sensor_events": "count({sensor})",
+    "total_violations": "count({typed_id})",
+    "accidents": "count({incident})",
+    "severe": f"count({{severity}} in {', '.join(SEVERE)})",
+    "weather_mode": "most frequent {mode}",
+    "low_visibility_hours": f"count({{visibility}} < {LOW_VISIBILITY})",
+    "rain_hours": "count({mode} = Rain)",
+    "fog_hours": "count({mode} = Fog)",
+    "max_precip_mm": "max({precip})",
+    "avg_temp_c": "avg({temp})",
+    "has_fatality": "sum({fatalities}) > 0",
+    "severe_rate": "severe / accidents",
+    "violations_per_1000_volume": "1000 * total_violations / daily_volume",
+}
+
 
 def severe_count(severity: str, severe: Sequence[str] = SEVERE) -> Column:
     return F.count_if(in_set(severity, severe))
@@ -73,26 +92,29 @@ def daily_exposure(
 
 
 def event_types(typed: DataFrame, type_col: str) -> list[str]:
-    """Sorted distinct types. They become columns, so more than ``MAX_TYPES`` is an error."""
-    found = typed.select(type_col).dropna().distinct().orderBy(type_col).limit(MAX_TYPES + 1).collect()
-    if len(found) > MAX_TYPES:
-        raise ValueError(f"{type_col} has more than {MAX_TYPES} distinct values")
-    return [row[0] for row in found]
+    """Sorted distinct types. Each becomes a column, so their number is bounded by what a table can have."""
+    return [row[0] for row in typed.select(type_col).dropna().distinct().orderBy(type_col).collect()]
 
 
 def typed_pivot(
-    typed: DataFrame, keys: Sequence[str], type_col: str, id_col: str, values: Sequence[str] | None = None
+    typed: DataFrame,
+    keys: Sequence[str],
+    type_col: str,
+    id_col: str,
+    values: Sequence[str] | None = None,
+    all_types: str | None = None,
 ) -> DataFrame:
     """Count of events per type, one column per type, 0 where there is none.
 
     Conditional counts in one aggregate: one shuffle of partial counts. ``values``
-    avoids the job that looks the types up.
+    avoids the job that looks the types up. ``all_types`` names a column with the count
+    over every type that occurs, listed in ``values`` or not.
     """
     types = sorted(values if values is not None else event_types(typed, type_col))
-    if not types:
-        return typed.select(*keys).distinct()
     counts = [F.count(F.when(F.col(type_col) == t, F.col(id_col))).alias(t) for t in types]
-    return typed.groupBy(*keys).agg(*counts)
+    if all_types:
+        counts.append(F.count(F.when(F.col(type_col).isNotNull(), F.col(id_col))).alias(all_types))
+    return typed.groupBy(*keys).agg(*counts) if counts else typed.select(*keys).distinct()
 
 
 def row_total(df: DataFrame, cols: Sequence[str], name: str = "total_violations") -> DataFrame:
@@ -172,10 +194,11 @@ def build_entity_day(tables: Mapping[str, DataFrame], names: Names = GENERIC, **
     context = tables["context"].withColumn(names.day, F.to_date(names.ts))
     typed = tables["typed"]
     types = sorted(names.types if names.types is not None else event_types(typed, names.event_type))
-    counts = typed_pivot(typed, names.grain, names.event_type, names.typed_id, types)
+    # the total covers types outside the list as well
+    counts = typed_pivot(typed, names.grain, names.event_type, names.typed_id, types, "total_violations")
     joined = integrate_entity_day(
         daily_exposure(tables["measure"], names.grain, names.volume, names.speed, names.sensor, **limits),
-        row_total(counts, types) if types else counts,
+        counts,
         daily_incident(tables["incident"], names.grain, names),
         tables["registry"],
         daily_context(context, [names.region, names.city, names.day], names),
@@ -189,7 +212,7 @@ def build_entity_day(tables: Mapping[str, DataFrame], names: Names = GENERIC, **
         "p95_speed",
         "sensor_events",
         *types,
-        *(["total_violations"] if types else []),
+        "total_violations",
         "accidents",
         "injuries",
         "fatalities",

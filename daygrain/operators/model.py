@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.order_stats import ranked_values, slice_borders, with_slice
 from daygrain.functions.scalars import bin_column, safe_ratio
+from daygrain.functions.storage import reliable
 from daygrain.names import GENERIC, Names
 
 TARGET = "has_fatality"
@@ -68,20 +69,32 @@ def temporal_split(
 def _split_by_hash(
     df: DataFrame, target: str, keys: Sequence[str], seed: int, wanted: dict[int, int]
 ) -> tuple[DataFrame, DataFrame]:
-    """The ``wanted`` number of rows per class with the smallest key hash is the test set.
+    """The ``wanted`` number of rows per class with the smallest hash is the test set.
 
     The border hash per class is an exact order statistic, so no class is ever
-    sorted in one task.
+    sorted in one task. The hash is of the keys first and of the whole row, so that rows which
+    share a key are told apart; of equal rows at the border as many as needed are taken.
     """
-    hashed = df.withColumn("_y", F.col(target).cast("int")).withColumn("_h", F.xxhash64(*keys, F.lit(seed)))
+    others = [c for c, kind in df.dtypes if "map<" not in kind and c not in keys]
+    hashed = reliable(
+        df.withColumn("_y", F.col(target).cast("int")).withColumn("_h", F.xxhash64(*keys, F.lit(seed), *others))
+    )
     last = F.lit(-1)
     for label, n in wanted.items():
         last = F.when(F.col("_y") == label, F.lit(n - 1)).otherwise(last)
-    borders = ranked_values(hashed.select("_y", "_h"), ["_y"], "_h", {"_border": last})
-    both = hashed.join(F.broadcast(borders.select("_y", "_border")), "_y", "left")
-    is_test = F.coalesce(F.col("_h") <= F.col("_border"), F.lit(False))
-    extra = ("_y", "_h", "_border")
-    return both.where(~is_test).drop(*extra), both.where(is_test).drop(*extra)
+    borders = ranked_values(hashed.select("_y", "_h"), ["_y"], "_h", {"_border": last}).select("_y", "_border")
+    both = hashed.join(F.broadcast(borders), "_y", "left")
+    below = both.groupBy("_y").agg(F.count_if(F.col("_h") < F.col("_border")).alias("_below"))
+    size = F.lit(0)
+    for label, n in wanted.items():
+        size = F.when(F.col("_y") == label, F.lit(n)).otherwise(size)
+    at_border = W.partitionBy("_y", "_h").orderBy("_h")
+    placed = both.where(F.col("_h") == F.col("_border")).withColumn("_place", F.row_number().over(at_border))
+    placed = reliable(placed.join(F.broadcast(below), "_y").withColumn("_test", F.col("_below") + F.col("_place") <= size))
+    above = both.where(F.coalesce(F.col("_h") > F.col("_border"), F.lit(True)))
+    train = above.select(*df.columns).unionByName(placed.where(~F.col("_test")).select(*df.columns))
+    test = both.where(F.col("_h") < F.col("_border")).select(*df.columns)
+    return train, test.unionByName(placed.where("_test").select(*df.columns))
 
 
 def stratified_split(
@@ -138,19 +151,29 @@ def split_train_test(
     return *rare_class_split(df, target, test_size, seed, keys), RARE
 
 
-def encode_features(df: DataFrame, target: str = TARGET, names: Names = GENERIC) -> Pipeline:
-    """Standardised numbers and one-hot categories; a category unseen in training is all zeros."""
+def _population(rows: int) -> float:
+    """Sample deviation divided by population deviation."""
+    return (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
+
+
+def encode_features(
+    df: DataFrame, target: str = TARGET, names: Names = GENERIC, rows: int | None = None
+) -> Pipeline:
+    """Numbers standardised by population deviation, one-hot categories; a category unseen in training is all zeros."""
     features = feature_columns(df, target, names)
     if not features:
         raise ValueError("no usable feature columns")
     types = dict(df.dtypes)
+    rows = df.count() if rows is None else rows
     text = [c for c in features if types[c] == "string"]
     numeric = [c for c in features if c not in text]
     stages, inputs = [], []
     if numeric:
         stages += [
             VectorAssembler(inputCols=numeric, outputCol="_numeric"),
-            StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True, withStd=True),
+            StandardScaler(inputCol="_numeric", outputCol="_by_sample", withMean=True, withStd=True),
+            # the scaler divides by the sample deviation
+            ElementwiseProduct(inputCol="_by_sample", outputCol="_scaled", scalingVec=[_population(rows)] * len(numeric)),
         ]
         inputs.append("_scaled")
     if text:
@@ -167,8 +190,8 @@ def encode_features(df: DataFrame, target: str = TARGET, names: Names = GENERIC)
 
 
 def class_weights(df: DataFrame, target: str = TARGET) -> DataFrame:
-    """One row per class: balanced weight n / (classes * class rows)."""
-    counts = df.groupBy(F.col(target).cast("int").alias("label")).agg(F.count("*").alias("n"))
+    """One row per class: balanced weight n / (classes * class rows). Rows without target are in no class."""
+    counts = df.where(F.col(target).isNotNull()).groupBy(F.col(target).cast("int").alias("label")).agg(F.count("*").alias("n"))
     shape = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("*").alias("classes")).alias("s")).scalar()
     return counts.withColumn("weight", shape["rows"] / (shape["classes"] * F.col("n"))).select("label", "n", "weight")
 
@@ -181,10 +204,11 @@ def train_risk_model(
     The weights sum to the row count, so an unscaled penalty of 1 is ``regParam = 1 / n``.
     """
     weights = class_weights(train, target)  # one row per class
-    n = train.count()
-    labelled = train.withColumn("label", F.col(target).cast("int")).join(
-        F.broadcast(weights.select("label", F.col("weight").alias("_weight"))), "label"
-    )
+    weight = F.broadcast(weights.select("label", F.col("weight").alias("_weight")))
+    columns = dict.fromkeys([*feature_columns(train, target, names), target])
+    # stored once: the scaler, the indexer and the regression each read it; rows without target drop out
+    labelled = reliable(train.select(*columns).withColumn("label", F.col(target).cast("int")).join(weight, "label"))
+    n = labelled.count()
     regression = LogisticRegression(
         featuresCol="_features",
         labelCol="label",
@@ -194,7 +218,7 @@ def train_risk_model(
         standardization=False,
         maxIter=max_iter,
     )
-    stages = encode_features(train, target, names).getStages()
+    stages = encode_features(train, target, names, n).getStages()
     return Pipeline(stages=[*stages, regression]).fit(labelled)
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions.scalars import ColumnOrName, as_column
-from daygrain.names import GENERIC, Names
+from daygrain.names import GENERIC, LINEAGE, SOURCE_ROLES, Names
+from daygrain.operators.aggregates import DERIVED
 from daygrain.operators.ranking import union_all
 
 DEFAULT_DESCRIPTION = "Field without a description"
@@ -26,40 +28,19 @@ INTERNAL_PATTERNS = (
 
 
 def column_descriptions(names: Names = GENERIC) -> dict[str, str]:
-    return {
-        names.entity: "Key of the registered entity",
-        names.incident: "Key of the incident",
-        names.typed_id: "Key of the typed event",
-        names.sensor: "Sensor that took the reading",
-        names.ts: "Time of the event in UTC",
-        names.day: "Calendar day of the entity-day grain",
-        names.region: "Region of the entity",
-        names.city: "City of the entity",
-        names.kind: "Kind of the entity",
-        names.mode: "Condition in the hour of the incident",
-        "weather_mode": "Commonest condition of the day",
-        names.visibility: "Visibility in kilometres",
-        names.precip: "Precipitation in millimetres",
-        names.temp: "Temperature in degrees Celsius",
-        names.volume: "Volume of one reading",
-        "daily_volume": "Volume summed per entity and day",
-        names.speed: "Speed of one reading",
-        "mean_speed": "Mean speed per entity and day",
-        "p95_speed": "95th percentile of speed per entity and day",
-        "violations_per_1000_volume": "Typed events per 1000 units of volume",
-        "total_violations": "Typed events per entity and day",
-        "accidents": "Incidents per entity and day",
-        names.injuries: "Number of injured",
-        names.fatalities: "Number of dead",
-        names.severity: "Severity of the incident",
-        "severe": "Severe and fatal incidents per entity and day",
-        "severe_rate": "Severe incidents divided by incidents",
-        "has_fatality": "1 if anyone died on the entity-day",
-        "source_system": "System the row came from",
-        "ingest_batch_id": "Batch the row came with",
-        "extracted_at_utc": "Time of extraction",
-        "record_hash": "Content hash of the row",
-    }
+    """What each column is, told from its role in the sources or from its definition."""
+    grain = ", ".join(names.grain)
+    out = {}
+    for table, roles in SOURCE_ROLES.items():
+        for role in roles:
+            column = getattr(names, role)
+            out[column] = f"{out[column]}, {table}" if column in out else f"{role.replace('_', ' ')} of {table}"
+    out |= {c: f"{c.replace('_', ' ')} of registry" for c in names.measures}
+    out |= {c: f"lineage: {c.replace('_', ' ')}" for c in (*LINEAGE, "extracted_at_utc")}
+    roles = {f.name: getattr(names, f.name) for f in fields(names)}
+    out |= {c: f"{text.format(**roles)} by {grain}" for c, text in DERIVED.items()}
+    out[names.day] = f"day of {names.ts}"
+    return out
 
 
 def _null_rates(df: DataFrame) -> DataFrame:

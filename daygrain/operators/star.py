@@ -54,7 +54,9 @@ def fact_incident(incident: DataFrame, names: Names = GENERIC) -> DataFrame:
 
 
 def fact_typed_event(typed: DataFrame, names: Names = GENERIC, extra: Sequence[str] = ()) -> DataFrame:
-    cols = [names.typed_id, names.ts, names.entity, names.event_type, names.amount, *extra]
+    """``extra`` columns come along, and those that ``names`` lists for the source, where present."""
+    listed = [c for c in names.typed_extra if c in typed.columns and c not in extra]
+    cols = [names.typed_id, names.ts, names.entity, names.event_type, names.amount, *listed, *extra]
     return _fact(typed, cols, names)
 
 

@@ -69,6 +69,16 @@ def read_source(t):
     return read_table(t.spark, f"{t.sf_dir}/events.parquet", EVENTS_SCHEMA, "parquet").drop("props")
 
 
+@query
+def read_source_csv_numbers(t):
+    """Whole numbers that a CSV has as ``3.0``, as of a column with gaps, keep their value."""
+    counts = ("vehicles", "injuries", "fatalities")
+    folder = shared_dir(t.spark, "csv")
+    written = t.raw["incident"].select("incident_id", *[F.col(c).cast("double").cast("string").alias(c) for c in counts])
+    written.write.option("header", True).csv(folder)
+    return read_table(t.spark, folder, "incident_id bigint, vehicles int, injuries int, fatalities int")
+
+
 @query
 def load_sources(t):
     counts = [
@@ -374,6 +384,15 @@ def row_total(t):
     return agg.row_total(counts, TYPES).select("entity_id", "date", "total_violations")
 
 
+@query
+def row_total_unlisted_type(t):
+    """One type is renamed to a value outside the list; the total keeps its events."""
+    kind = F.when(F.col("event_type") == "view", "unheard of").otherwise(F.col("event_type"))
+    typed = t.clean["typed"].withColumn("event_type", kind)
+    counts = agg.typed_pivot(typed, GENERIC.grain, "event_type", "typed_id", TYPES, "total_violations")
+    return counts.select("entity_id", "date", "total_violations")
+
+
 @query
 def daily_incident(t):
     return agg.daily_incident(t.clean["incident"])
@@ -610,13 +629,13 @@ def classify_rule(t):
 
 @query
 def run_contract(t):
-    return quality.run_contract(t.governed, quality.standard_contracts(GENERIC, KINDS)).drop("notes")
+    return quality.run_contract(t.governed, quality.standard_contracts(GENERIC, KINDS))
 
 
 @query
 def run_quality(t):
     contracts = quality.standard_contracts(GENERIC, KINDS)
-    return quality.run_quality(t.governed, contracts, AS_OF).drop("notes")
+    return quality.run_quality(t.governed, contracts, AS_OF)
 
 
 @query
@@ -663,12 +682,14 @@ def rare_class_split(t):
 def encode_features(t):
     fitted = model.encode_features(t.stored_day).fit(t.stored_day)
     values = vector_to_array("_features")
+    types = dict(t.stored_day.dtypes)
+    numeric = sum(types[c] != "string" for c in model.feature_columns(t.stored_day))
     return fitted.transform(t.stored_day).select(
         "entity_id",
         "date",
         values[2].alias("p95_scaled"),
         F.size(values).cast("long").alias("width"),
-        F.aggregate(F.slice(values, 18, 100_000), F.lit(0.0), lambda a, x: a + x).alias("ones"),
+        F.aggregate(F.slice(values, F.lit(numeric + 1), F.size(values)), F.lit(0.0), lambda a, x: a + x).alias("ones"),
     )
 
 
@@ -867,7 +888,7 @@ def measures_extended(t):
 
 @query
 def data_dictionary(t):
-    return profile.data_dictionary({n: t.governed[n] for n in ("registry", "incident", "entity_day")})
+    return profile.data_dictionary(t.governed)
 
 
 @query
@@ -877,5 +898,5 @@ def column_samples(t):
 
 @query
 def sensitivity_class(t):
-    listed = profile.data_dictionary({"incident": t.incident, "measure": t.clean["measure"]})
+    listed = profile.data_dictionary(t.governed)
     return listed.select("dataset", "column", "null_rate", profile.sensitivity_class("column").alias("sensitivity"))

@@ -292,13 +292,14 @@ def rules_sql(rules: list[Rule]) -> str:
 
     rows = " UNION ALL ".join(
         f"SELECT {i} AS position, '{n}' AS name, {value(m)} AS metric, {value(t)} AS threshold, "
-        f"{value(p)} AS pass_limit, {value(w)} AS warn_limit"
+        f"{value(p)} AS pass_limit, {value(w)} AS warn_limit, "
+        f"'{'OK' if p is None else f'PASS up to {p:g}, WARN up to {w:g}'}' AS notes"
         for i, (n, m, t, p, w) in enumerate(rules)
     )
     return (
         "SELECT position, name, CASE WHEN pass_limit IS NULL THEN 'PASS' WHEN metric IS NULL THEN 'FAIL' "
         "WHEN metric <= pass_limit THEN 'PASS' WHEN metric <= warn_limit THEN 'WARN' ELSE 'FAIL' END AS status, "
-        f"{r('metric')} AS metric, {r('threshold')} AS threshold FROM ({rows})"
+        f"{r('metric')} AS metric, {r('threshold')} AS threshold, notes FROM ({rows})"
     )
 
 
@@ -713,6 +714,8 @@ def oracle_sql() -> dict[str, str]:
         + " FROM lineitem GROUP BY 1, 2"
     )
     out["row_total"] = sql("SELECT entity_id, date, total_violations FROM typed_day")
+    out["row_total_unlisted_type"] = sql("SELECT entity_id, date, count(*) AS total_violations FROM typed GROUP BY ALL")
+    out["read_source_csv_numbers"] = sql("SELECT incident_id, vehicles, injuries, fatalities FROM incident_raw")
     out["daily_incident"] = sql("SELECT * FROM incident_day")
     out["daily_context"] = sql(
         "SELECT region, city, date, weather_mode, low_visibility_hours, rain_hours, fog_hours, "
@@ -800,11 +803,11 @@ def oracle_sql() -> dict[str, str]:
     # quality
     out["required_columns"] = sql(
         "SELECT 'present' AS name, 'PASS' AS status, 'OK' AS notes, count(*) AS rows FROM incident UNION ALL "
-        "SELECT 'absent', 'FAIL', 'Missing columns: [''weight'']', count(*) FROM incident"
+        "SELECT 'absent', 'FAIL', 'missing: weight', count(*) FROM incident"
     )
     out["lineage_columns"] = sql(
         "SELECT 'present' AS name, 'PASS' AS status, 'OK' AS notes, count(*) AS hashed_rows FROM incident UNION ALL "
-        "SELECT 'absent', 'FAIL', 'Missing lineage columns: [''record_hash'']', count(*) FROM incident"
+        "SELECT 'absent', 'FAIL', 'missing: record_hash', count(*) FROM incident"
     )
     out["duplicate_key_rate"] = (
         f"SELECT {r('CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS DOUBLE) / count(*)')} "
@@ -852,7 +855,7 @@ def oracle_sql() -> dict[str, str]:
     )
     levels = " + ".join(f"count(DISTINCT {c})" for c in ("region", "city", "kind", "weather_mode"))
     out["encode_features"] = sql(
-        f"SELECT entity_id, date, {r('(p95_speed - avg(p95_speed) OVER ()) / stddev_samp(p95_speed) OVER ()')} AS p95_scaled, "
+        f"SELECT entity_id, date, {r('(p95_speed - avg(p95_speed) OVER ()) / stddev_pop(p95_speed) OVER ()')} AS p95_scaled, "
         f"(SELECT {NUMERIC_FEATURES} + {levels} FROM entity_day) AS width, CAST(4.0 AS DOUBLE) AS ones FROM entity_day"
     )
     out["class_weights"] = sql(
@@ -971,7 +974,7 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # profiling
-    out["data_dictionary"] = sql(dictionary_sql(["registry", "incident", "entity_day"]))
+    out["data_dictionary"] = sql(dictionary_sql(list(TABLE_COLUMNS)))
     out["column_samples"] = sql(
         samples_sql(
             "full_incident",
@@ -982,6 +985,6 @@ def oracle_sql() -> dict[str, str]:
     out["sensitivity_class"] = sql(
         'SELECT dataset, "column", null_rate, CASE WHEN regexp_matches(lower("column"), '
         f"'{patterns}') THEN 'INTERNAL' ELSE 'PUBLIC' END AS sensitivity FROM listed",
-        listed=dictionary_sql(["incident", "measure"]),
+        listed=dictionary_sql(list(TABLE_COLUMNS)),
     )
     return out
