@@ -11,7 +11,7 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15 | 5
 INVERSE = pow(BASE, -1, 1 << 64)
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

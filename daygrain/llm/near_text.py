@@ -30,7 +30,7 @@ from daygrain.llm.tables import Stored, small
 
 COORDS = 120
 MISS = 1e-6  # chance that a pair at the limit shares no band
-BLOCK = 128  # members in a block of a bucket
+BLOCK = 64  # members in a block of a bucket
 SLAB = 4096  # shingles compared at once
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 WORD_CODES = B.byte_codes(5, lower=True)
@@ -218,7 +218,7 @@ def near_duplicates(
     by their own texts, each as a document of that id. Columns besides id and text are not read.
 
     The bands are set so that a pair at the limit is missed with a chance of ``MISS`` at most. Memory: a
-    task holds one chunk of rows, or one block pair of 256 sets.
+    task holds one chunk of rows, or one block pair of 128 sets.
     """
     bands, _ = band_shape(num / den, coords)
     texts = docs.select(
