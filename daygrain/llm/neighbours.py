@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,7 +34,8 @@ OFFER = 6  # links that one comparison offers a node
 ROUNDS, SETTLED = 6, 0.002  # rounds at most; share of changed links below which a round was the last
 PIVOTS = 1024
 BEAM, OPEN, STEPS = 128, 32, 6
-_GRAPH = "id long, other long, score float, fresh boolean"
+_GRAPH = "id long, other long, score float"
+_LINKS = "array<struct<score: float, other: bigint, fresh: boolean>>"
 
 
 def _encode(batches: Iterator[pa.RecordBatch], longest: float, scale: float) -> Iterator[pa.RecordBatch]:
@@ -70,8 +71,8 @@ def _best(score: np.ndarray, k: int) -> np.ndarray:
 def _links(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     a, b, s = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
     return pa.RecordBatch.from_arrays(
-        [pa.array(a), pa.array(b), pa.array(s.astype(np.float32)), pa.array(np.ones(len(a), bool))],
-        names=["id", "other", "score", "fresh"],
+        [pa.array(a), pa.array(b), pa.array(s.astype(np.float32))],
+        names=["id", "other", "score"],
     )
 
 
@@ -93,7 +94,7 @@ def _leaf_links(batches: Iterator[pa.RecordBatch], degree: int) -> Iterator[pa.R
 
 
 def _joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All that a node heard of, compared with each other unless both are old."""
+    """All that a node heard of, compared with each other unless both are old. What it heard twice counts once."""
 
     def solve(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
         ids, worst, fresh = (table[k].to_numpy() for k in ("other", "worst", "fresh"))
@@ -102,32 +103,48 @@ def _joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, e in zip(first, np.append(first[1:], len(ids)), strict=True):
             if e - s < 2 or not fresh[s:e].any():
                 continue
-            score = vec[s:e] @ vec[s:e].T
-            one, new = ids[s:e], fresh[s:e]
-            score[(one[:, None] == one[None, :]) | ~(new[:, None] | new[None, :])] = -np.inf
+            # rows are sorted by id, fresh ones last
+            one, lasts = ids[s:e], np.append(ids[s + 1 : e] != ids[s : e - 1], True)
+            one, new, x, limit = one[lasts], fresh[s:e][lasts], vec[s:e][lasts], worst[s:e][lasts]
+            score = x @ x.T
+            score[~(new[:, None] | new[None, :])] = -np.inf
+            np.fill_diagonal(score, -np.inf)
             best = _best(score, OFFER)
             value = np.take_along_axis(score, best, 1)
-            i, j = np.nonzero(value > worst[s:e, None])
+            i, j = np.nonzero(value > limit[:, None])
             out.append((one[i], one[best[i, j]], value[i, j]))
         return _links(out)
 
     yield from V.whole_groups(batches, ["at"], solve)
 
 
-def _merged(links: DataFrame, degree: int) -> DataFrame:
-    """The best ``degree`` links of each node; a link that was there before is not fresh.
+def _told(fresh: bool) -> Column:
+    """Some of a node's neighbours, by luck: of the new ones, or of the others."""
+    chosen = F.filter("links", lambda x: x["fresh"] if fresh else ~x["fresh"])
+    lucky = F.transform(chosen, lambda x: F.struct(F.xxhash64("id", x["other"]).alias("luck"), x["other"].alias("other")))
+    return F.transform(F.slice(F.sort_array(lucky), 1, HEAR), lambda x: x["other"])
+
 
-    Each task passes on a bounded number of a node's links.
+def _merged(nodes: DataFrame, links: DataFrame, degree: int) -> DataFrame:
+    """``nodes`` (id, vec, links) with the best ``degree`` of their links and those offered (id, other, score).
+
+    Each task passes on a bounded number of a node's links. A link that was there before is not fresh anew.
     """
-    nearest = W.partitionBy("id").orderBy(F.desc("score"), "other", "fresh")
-    few = links.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= 4 * degree)
-    once = few.groupBy("id", "other").agg(F.max("score").alias("score"), F.bool_and("fresh").alias("fresh"))
     nearest = W.partitionBy("id").orderBy(F.desc("score"), "other")
-    return once.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= degree).drop("_r")
+    few = links.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= 4 * degree)
+    offered = few.groupBy("id").agg(F.collect_set(F.struct("score", "other", F.lit(True).alias("fresh"))).alias("offers"))
+    both = F.concat("links", F.coalesce("offers", F.expr(f"cast(array() as {_LINKS})")))
+    ordered = nodes.join(offered, "id", "left").select("id", "vec", F.sort_array(both, asc=False).alias("ordered"))
+    # scores are whole numbers, so a link offered again stands next to itself, the one that is not fresh last
+    last = F.filter("ordered", lambda x, i: F.coalesce(F.get("ordered", i + 1)["other"] != x["other"], F.lit(True)))
+    return ordered.select("id", "vec", F.slice(last, 1, degree).alias("links"))
 
 
 def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = DEGREE) -> DataFrame:
-    """(id, other, score, fresh): about the ``degree`` nearest of each node. ``nodes``: (id, vec), stored."""
+    """(id, vec, links): each node of ``nodes`` (id, vec) with about its ``degree`` nearest, nearest first.
+
+    A round has five exchanges: what nodes hear back, the vectors they hear of (two), the comparisons and the offers.
+    """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     depth = max(1, int(np.ceil(np.log2(max(2, rows / LEAF)))))
@@ -136,41 +153,67 @@ def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = D
     cells = leaves.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), "parts"))
     keys = ["tree", "leaf", "part"]
     first = cells.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _leaf_links(it, LEAF_LINKS), _GRAPH)
-    graph = stored.put(_merged(first, degree))
+    bare = nodes.withColumn("links", F.expr(f"cast(array() as {_LINKS})"))
+    graph = stored.put(_merged(bare, first, degree))
     for _ in range(ROUNDS):
-        luck = F.xxhash64("id", "other", F.lit(31))
-        told = graph.withColumn("_k", F.row_number().over(W.partitionBy("id", "fresh").orderBy(luck))).where(F.col("_k") <= HEAR)
-        told = stored.put(told.select("id", "other", "fresh"))
-        back = told.select(F.col("other").alias("id"), F.col("id").alias("other"), "fresh")
-        back = back.withColumn("_k", F.row_number().over(W.partitionBy("id", "fresh").orderBy(luck))).where(F.col("_k") <= HEAR)
-        heard = told.unionByName(back.drop("_k")).groupBy("id", "other").agg(F.bool_or("fresh").alias("fresh"))
-        worst = graph.groupBy("id").agg(F.when(F.count("*") >= degree, F.min("score")).otherwise(F.lit(float("-inf"))).alias("worst"))
-        known = nodes.join(worst, "id", "left").select(F.col("id").alias("other"), "vec", F.coalesce("worst", F.lit(float("-inf"))).cast("float").alias("worst"))
-        groups = heard.select(F.col("id").alias("at"), "other", "fresh").join(known, "other")
-        offers = groups.repartition(parts, "at").sortWithinPartitions("at").mapInArrow(_joins, _GRAPH)
-        used = told.select("id", "other", F.lit(True).alias("_told"))
-        older = graph.join(used, ["id", "other"], "left").select("id", "other", "score", (F.col("fresh") & F.col("_told").isNull()).alias("fresh"))
-        graph_before, graph = graph, stored.put(_merged(older.unionByName(offers), degree))
-        stored.drop(graph_before)
-        stored.drop(told)
+        told = graph.select("id", _told(True).alias("new"), _told(False).alias("old"), "vec", "links")
+        forth = told.select("id", F.explode(F.concat(
+            F.transform("new", lambda x: F.struct(x.alias("other"), F.lit(True).alias("fresh"))),
+            F.transform("old", lambda x: F.struct(x.alias("other"), F.lit(False).alias("fresh"))),
+        )).alias("x")).select(F.col("id").alias("at"), "x.other", "x.fresh")
+        back = forth.select(F.col("other").alias("at"), F.col("at").alias("other"), "fresh")
+        place = F.row_number().over(W.partitionBy("at", "fresh").orderBy(F.xxhash64("at", "other", F.lit(31))))
+        back = back.withColumn("_k", place).where(F.col("_k") <= HEAR).drop("_k")
+        worst = F.when(F.size("links") >= degree, F.element_at("links", -1)["score"])
+        known = graph.select(F.col("id").alias("other"), "vec", F.coalesce(worst, F.lit(float("-inf")).cast("float")).alias("worst"))
+        offers = (
+            forth.unionByName(back)
+            .join(known, "other")
+            .repartition(parts, "at")
+            .sortWithinPartitions("at", "other", "fresh")
+            .mapInArrow(_joins, _GRAPH)
+        )
+        told_new = F.transform("links", lambda x: F.struct(
+            x["score"].alias("score"), x["other"].alias("other"), (x["fresh"] & ~F.array_contains("new", x["other"])).alias("fresh")
+        ))
+        before, graph = graph, stored.put(_merged(told.select("id", "vec", told_new.alias("links")), offers, degree))
+        stored.drop(before)
         spark._jvm.System.gc()  # lets Spark delete the round's shuffle files
-        changed, links = graph.agg(F.count_if("fresh"), F.count("*")).first()
+        changed, links = graph.agg(F.sum(F.size(F.filter("links", lambda x: x["fresh"]))), F.sum(F.size("links"))).first()
         if changed <= SETTLED * links:
             break
     return graph
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scores of the nodes each query meets; the query's own vector comes first in its group."""
+def _steps(batches: Iterator[pa.RecordBatch], beam: int) -> Iterator[pa.RecordBatch]:
+    """The nearest nodes a query has met, and which of them it opens next.
+
+    A query's group holds its own vector first, then by node what it met: with a score if it was met before, else a vector.
+    """
 
     def solve(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
         query, node = table["query"].to_numpy(), table["node"].to_numpy()
+        score = table["score"].to_numpy(zero_copy_only=False).astype(np.float32)
+        opened = table["opened"].to_numpy(zero_copy_only=False).astype(bool)
         vec = V.bytes_matrix(V.plain(table, "vec"), np.int8).astype(np.float32)
         owner = np.repeat(first, np.diff(np.append(first, len(query))))
-        score = np.einsum("ij,ij->i", vec, vec[owner])
+        score = np.where(np.isnan(score), np.einsum("ij,ij->i", vec, vec[owner]), score)
+        # of equal nodes the first counts: opened ones are sorted before
         rest = np.ones(len(query), bool)
         rest[first] = False
-        return pa.RecordBatch.from_arrays([pa.array(x[rest]) for x in (query, node, score)], names=["query", "node", "score"])
+        rest[1:] &= (query[1:] != query[:-1]) | (node[1:] != node[:-1])
+        at = np.flatnonzero(rest)
+        at = at[np.lexsort((node[at], -score[at], query[at]))]
+        rank = np.arange(len(at)) - np.searchsorted(query[at], query[at])
+        at = at[rank < beam]
+        closed = np.flatnonzero(~opened[at])
+        turn = np.arange(len(closed)) - np.searchsorted(query[at][closed], query[at][closed])
+        opens = np.zeros(len(at), bool)
+        opens[closed[turn < OPEN]] = True
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (query[at], node[at], score[at], opened[at] | opens, opens)],
+            names=["query", "node", "score", "opened", "opens"],
+        )
 
     yield from V.whole_groups(batches, ["query"], solve)
 
@@ -180,12 +223,8 @@ def _pivot_starts(batches: Iterator[pa.RecordBatch], ids: np.ndarray, vec: np.nd
         score = V.bytes_matrix(batch.column(1), np.int8).astype(np.float32) @ vec.T
         best = _best(score, k)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(batch.column(0).to_numpy(), best.shape[1])),
-                pa.array(ids[best].reshape(-1)),
-                pa.array(np.take_along_axis(score, best, 1).reshape(-1)),
-            ],
-            names=["query", "node", "score"],
+            [pa.array(np.repeat(batch.column(0).to_numpy(), best.shape[1])), pa.array(ids[best].reshape(-1))],
+            names=["query", "node"],
         )
 
 
@@ -253,44 +292,35 @@ def nearest(
     pivot_rows = nodes.orderBy(F.xxhash64("id", F.lit(37)), "id").limit(PIVOTS).collect()
     pivot_ids = np.array([r["id"] for r in pivot_rows], np.int64)
     pivot_vec = np.stack([np.frombuffer(r["vec"], np.int8) for r in pivot_rows]).astype(np.float32)
-    starts = coded.mapInArrow(lambda it: _pivot_starts(it, pivot_ids, pivot_vec, OPEN), "query long, node long, score float")
+    starts = coded.mapInArrow(lambda it: _pivot_starts(it, pivot_ids, pivot_vec, OPEN), "query long, node long")
     own = asked.select(F.col("id").alias("query"), "k1", "k2").join(firsts.select("node", "k1", "k2"), ["k1", "k2"]).select("query", "node")
-    state = stored.put(
-        starts.select("query", "node", "score", F.lit(False).alias("opened"))
-        .unionByName(own.select("query", "node", F.lit(float("inf")).cast("float").alias("score"), F.lit(False).alias("opened")))
-        .groupBy("query", "node")
-        .agg(F.max("score").alias("score"), F.bool_or("opened").alias("opened"))
-    )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = graph.select(F.col("id").alias("node"), "other")
-    for _ in range(steps):
-        turn = F.row_number().over(W.partitionBy("query").orderBy("opened", F.desc("score"), "node"))
-        turned = state.withColumn("_r", turn).withColumn("opens", ~F.col("opened") & (F.col("_r") <= OPEN)).drop("_r")
-        turned = stored.put(turned)
+    score, unopened = F.lit(None).cast("float").alias("score"), F.lit(False).alias("opened")
+    heads = coded.select("query", F.lit(-(1 << 63)).cast("long").alias("node"), score, unopened, "vec")
+    blank = F.lit(bytes(dim + 1)).alias("vec")
+    met, state = starts.unionByName(own).distinct(), None
+    for _ in range(steps + 1):
+        rows_ = heads.unionByName(
+            met.join(graph.select(F.col("id").alias("node"), "vec"), "node").select("query", "node", score, unopened, "vec")
+        )
+        if state is not None:
+            rows_ = rows_.unionByName(state.select("query", "node", "score", "opened", blank))
+        stepped = (
+            rows_.repartition(parts, "query")
+            .sortWithinPartitions("query", "node", F.col("opened").desc(), F.col("score").desc_nulls_last())
+            .mapInArrow(lambda it: _steps(it, beam), "query long, node long, score float, opened boolean, opens boolean")
+        )
+        before, state = state, stored.put(stepped)
+        if before is not None:
+            stored.drop(before)
+        spark._jvm.System.gc()
         met = (
-            turned.where("opens")
+            state.where("opens")
             .select("query", "node")
-            .join(links, "node")
-            .select("query", F.col("other").alias("node"))
+            .join(graph.select(F.col("id").alias("node"), "links.other"), "node")
+            .select("query", F.explode("other").alias("node"))
             .distinct()
-            .join(turned.select("query", "node"), ["query", "node"], "left_anti")
-        )
-        carried = met.join(nodes.withColumnRenamed("id", "node"), "node").select("query", "node", "vec")
-        heads = coded.select("query", F.lit(-(1 << 63)).cast("long").alias("node"), "vec")
-        scored = (
-            carried.unionByName(heads)
-            .repartition(parts, "query")
-            .sortWithinPartitions("query", "node")
-            .mapInArrow(_scored, "query long, node long, score float")
-        )
-        both = turned.select("query", "node", "score", (F.col("opened") | F.col("opens")).alias("opened")).unionByName(
-            scored.select("query", "node", "score", F.lit(False).alias("opened"))
         )
-        near = W.partitionBy("query").orderBy(F.desc("score"), "node")
-        before, state = state, stored.put(both.withColumn("_r", F.row_number().over(near)).where(F.col("_r") <= beam + 1).drop("_r"))
-        stored.drop(before)
-        stored.drop(turned)
-        spark._jvm.System.gc()
     pairs = state.select("query", "node").join(originals, "node").withColumnRenamed("vec", "other")
     exact = (
         pairs.join(asked.select(F.col("id").alias("query"), "vec"), "query")
