@@ -184,3 +184,19 @@ def test_rejoining_the_registry_changes_nothing(curated):
     again = agg.enrich_incident(curated, ROADS)
     assert again.count() == curated["incident"].count()
     assert again.where(F.col("region").isNull()).count() == 0
+
+
+def test_whole_numbers_written_with_a_fraction(spark, tmp_path):
+    from daygrain.operators.clean import clean_incident
+    from daygrain.sources.readers import read_source
+    from daygrain.sources.schemas import INCIDENT
+
+    path = tmp_path / "i.csv"
+    path.write_text(
+        "incident_id,date_time,road_id,vehicles_involved,injuries,fatalities,lighting,severity\n"
+        "a,2024-01-01 00:00:00,r,2.0,3.0,1.0,Day,Fatal\nb,2024-01-01 00:00:00,r,,x, 4 ,Day,Minor\n"
+    )
+    read = read_source(spark, str(path), INCIDENT)
+    got = {r.incident_id: (r.vehicles_involved, r.injuries, r.fatalities) for r in read.collect()}
+    assert got == {"a": (2, 3, 1), "b": (None, None, 4)}
+    assert clean_incident(read, ROADS).where("incident_id = 'a'").first().fatalities == 1

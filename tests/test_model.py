@@ -160,3 +160,16 @@ def test_pressure_falls_under_every_package(days):
     assert after.where("pressure > before + 1e-12").count() == 0
     assert after.where("scenario = 'Baseline' and abs(pressure - before) > 1e-12").count() == 0
     assert S.pressure_score(days.select("entity_id"), bounds).first()["pressure"] == 0.0
+
+
+def test_split_with_repeated_keys_and_rows(spark):
+    rows = [(1, "2024-01-01", i % 20, i % 2) for i in range(80)] + [(1, "2024-01-01", 0, 0)] * 20
+    df = spark.createDataFrame(rows, "entity_id int, date string, x int, has_fatality int")
+    train, test = M.stratified_split(df)
+    assert test.groupBy().sum("has_fatality").first()[0] == 10 and test.count() == 25
+    assert sorted(map(tuple, train.unionByName(test).collect())) == sorted(rows)
+
+
+def test_rows_without_target_are_in_no_class(spark):
+    df = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,), (None,)], "has_fatality int")
+    assert sorted((r.label, r.n, r.weight) for r in M.class_weights(df).collect()) == [(0, 3, 4 / 6), (1, 1, 2.0)]

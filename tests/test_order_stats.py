@@ -122,3 +122,14 @@ def test_spread_lookup_equals_left_join(spark, skewed):
     got = spread_lookup(df, lookup, ["k"], ["v"], 4)
     assert got.exceptAll(df.join(lookup, "k", "left")).count() == 0
     assert got.count() == df.count()
+
+
+def test_sliced_and_buffered_percentiles_agree_to_the_last_bit(spark):
+    from daygrain.functions.order_stats import exact_percentiles
+
+    df = spark.range(5000).selectExpr("id % 7 as g", "rand(3) * 1000 / 3 as v")
+    df = df.withColumn("v", F.round("v", 9)).cache()
+    probs = {"a": 0.95, "b": 0.5, "c": 0.123}
+    plain = {r["g"]: tuple(r[p] for p in probs) for r in exact_percentiles(df, ["g"], "v", probs).collect()}
+    sliced = {r["g"]: tuple(r[p] for p in probs) for r in exact_percentiles(df, ["g"], "v", probs, hot_rows=1).collect()}
+    assert plain == sliced and len(plain) == 7
