@@ -266,11 +266,15 @@ def _incident_sums(names: Names) -> list[Column]:
     ]
 
 
-def severity_profile(df: DataFrame, dims: Sequence[str], names: Names = GENERIC) -> DataFrame:
+def severity_profile(
+    df: DataFrame, dims: Sequence[str], names: Names = GENERIC, by_fatalities: Sequence[str] | None = None
+) -> DataFrame:
     """(dimension, value) rows with incident counts and severe rate for several dimensions at once.
 
-    One pass counts per combination of the dimensions; the profiles are folded from those.
+    One pass counts per combination of the dimensions; the profiles are folded from those. Values of the
+    dimensions in ``by_fatalities`` (the region unless given) go by fatalities, those of others by severe incidents.
     """
+    fatal_first = (names.region,) if by_fatalities is None else by_fatalities
     combos = df.groupBy(*dims).agg(*_incident_sums(names))
     fields = F.array(
         *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dims]
@@ -280,7 +284,10 @@ def severity_profile(df: DataFrame, dims: Sequence[str], names: Names = GENERIC)
         *[F.sum(c).alias(c) for c in ("accidents", "severe", "fatalities")]
     )
     return profile.withColumn("severe_rate", safe_ratio("severe", "accidents")).orderBy(
-        "dimension", F.desc("fatalities"), F.desc("accidents"), "value"
+        "dimension",
+        F.when(in_set("dimension", fatal_first), F.col("fatalities")).otherwise(F.col("severe")).desc(),
+        F.desc("accidents"),
+        "value",
     )
 
 

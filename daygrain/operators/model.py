@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -49,21 +50,30 @@ def temporal_split(
 ) -> tuple[DataFrame, DataFrame] | None:
     """The last quarter of the distinct days is the test set; none if it cannot hold both classes.
 
-    One row per day (rows and positives) reaches the driver, nothing else.
+    One row per day and class reaches the driver, nothing else.
     """
-    y = F.col(target).cast("int")
-    rows = df.where(F.col(day).isNotNull()).groupBy(F.to_date(day).alias("d"))
-    per_day = rows.agg(F.min(y).alias("lo"), F.max(y).alias("hi")).orderBy("d").collect()
-    if len(per_day) < MIN_DATES:
+    return _split_at(df, _first_test_day(_day_classes(df, target, day), test_size), day)
+
+
+def _day_classes(df: DataFrame, target: str, day: str) -> list[Row]:
+    """(d, y, n): rows per day and class, nulls included."""
+    return df.groupBy(F.to_date(day).alias("d"), F.col(target).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()
+
+
+def _first_test_day(rows: Sequence[Row], test_size: float) -> date | None:
+    days = sorted({r["d"] for r in rows if r["d"] is not None})
+    if len(days) < MIN_DATES:
         return None
-    cut = len(per_day) - max(1, int(len(per_day) * test_size))
-    for part in (per_day[:cut], per_day[cut:]):
-        lows = [r["lo"] for r in part if r["lo"] is not None]
-        highs = [r["hi"] for r in part if r["hi"] is not None]
-        if not lows or min(lows) == max(highs):
-            return None
-    cutoff = F.lit(per_day[cut]["d"])
-    return df.where(F.to_date(day) < cutoff), df.where(F.to_date(day) >= cutoff)
+    first = days[len(days) - max(1, int(len(days) * test_size))]
+    known = [(r["d"] >= first, r["y"]) for r in rows if r["d"] is not None and r["y"] is not None]
+    both = all(len({y for late, y in known if late is side}) > 1 for side in (False, True))
+    return first if both else None
+
+
+def _split_at(df: DataFrame, first: date | None, day: str) -> tuple[DataFrame, DataFrame] | None:
+    if first is None:
+        return None
+    return df.where(F.to_date(day) < F.lit(first)), df.where(F.to_date(day) >= F.lit(first))
 
 
 def _split_by_hash(
@@ -138,13 +148,20 @@ def split_train_test(
     names: Names = GENERIC,
 ) -> tuple[DataFrame, DataFrame, str]:
     """Temporal split if possible, else stratified, else with the rare class kept in train."""
-    counts = _class_counts(df, target)
+    first, counts = None, {}
+    if names.day in df.columns:  # one count per day and class gives the classes and the cut
+        rows = _day_classes(df, target, names.day)
+        first = _first_test_day(rows, test_size)
+        for r in rows:
+            if r["y"] is not None:
+                counts[r["y"]] = counts.get(r["y"], 0) + r["n"]
+    else:
+        counts = _class_counts(df, target)
     if len(counts) < 2:
         raise ValueError("the target needs two classes to train the model")
-    if names.day in df.columns:
-        split = temporal_split(df, target, test_size, names.day)
-        if split:
-            return *split, TEMPORAL
+    split = _split_at(df, first, names.day)
+    if split:
+        return *split, TEMPORAL
     keys = [c for c in names.grain if c in df.columns]
     if min(counts.values()) >= 2:
         return *stratified_split(df, target, test_size, seed, keys), STRATIFIED

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.functions import scalars as fn
-from daygrain.functions.storage import shared_dir
-from daygrain.names import GENERIC
+from daygrain.functions.storage import reliable, shared_dir
+from daygrain.names import GENERIC, LINEAGE
 from daygrain.operators import aggregates as agg
 from daygrain.operators import clean, joins, lineage, model, profile, quality, ranking, scenario, star
 from daygrain.plans.risk import run_risk_model, run_scenarios
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2024-02-05 00:00:00"
 KINDS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 TYPES = list(GENERIC.types)
+LINEAGE_COLUMNS = (*LINEAGE, "extracted_at_utc")
 SCORE_BANDS = ((-0.01, 0.20, 0.50, 0.75, 1.0), ("Low", "Medium", "High", "Critical"))
 
 
@@ -107,7 +108,7 @@ def run_layers(t):
 @query
 def write_results(t):
     path = shared_dir(t.spark, "results")
-    scores = scenario.scenario_scores(t.stored_day, fixed_scorer)
+    scores = reliable(scenario.scenario_scores(t.stored_day, fixed_scorer))
     results = {
         "scenario_summary": scenario.scenario_summary(scores),
         "scenario_region_impact": scenario.scenario_region_impact(scores),
@@ -893,7 +894,7 @@ def data_dictionary(t):
 
 @query
 def column_samples(t):
-    return profile.column_samples(t.incident.select("incident_id", "entity_id", "severity", "region", "mode"))
+    return profile.column_samples(t.stored_incident.drop(*LINEAGE_COLUMNS))
 
 
 @query

@@ -978,7 +978,7 @@ def oracle_sql() -> dict[str, str]:
     out["column_samples"] = sql(
         samples_sql(
             "full_incident",
-            [("incident_id", "bigint"), ("entity_id", "bigint"), ("severity", "string"), ("region", "string"), ("mode", "string")],
+            [c for c in TABLE_COLUMNS["incident"] if c[0] not in LINEAGE_NAMES],
         )
     )
     patterns = "|".join(profile.INTERNAL_PATTERNS)
