@@ -205,6 +205,7 @@ def build_entity_day(tables: Mapping[str, DataFrame], names: Names = GENERIC, **
         names,
     )
     text = [names.region, names.city, names.kind, "weather_mode"]
+    # The columns of the entity-day table, in order.
     ordered = [
         *names.grain,
         "daily_volume",

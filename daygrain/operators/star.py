@@ -40,6 +40,7 @@ def _fact(df: DataFrame, cols: Sequence[str], names: Names) -> DataFrame:
 
 
 def fact_incident(incident: DataFrame, names: Names = GENERIC) -> DataFrame:
+    # The columns of the fact, in order.
     cols = [
         names.incident,
         names.ts,
@@ -56,6 +57,7 @@ def fact_incident(incident: DataFrame, names: Names = GENERIC) -> DataFrame:
 def fact_typed_event(typed: DataFrame, names: Names = GENERIC, extra: Sequence[str] = ()) -> DataFrame:
     """``extra`` columns come along, and those that ``names`` lists for the source, where present."""
     listed = [c for c in names.typed_extra if c in typed.columns and c not in extra]
+    # The columns of the fact, in order.
     cols = [names.typed_id, names.ts, names.entity, names.event_type, names.amount, *listed, *extra]
     return _fact(typed, cols, names)
 
