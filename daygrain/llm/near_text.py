@@ -30,7 +30,7 @@ from daygrain.llm.tables import Stored, small
 
 COORDS = 120
 MISS = 1e-6  # chance that a pair at the limit shares no band
-BLOCK = 64  # members in a block of a bucket
+BLOCK = 128  # members in a block of a bucket
 SLAB = 4096  # shingles compared at once
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 WORD_CODES = B.byte_codes(5, lower=True)
@@ -163,17 +163,22 @@ def _block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
 
     Returns a spanning forest of the links between different components: at most one row a member.
     """
-    sets = [np.asarray(x) for x in group["shingles"]]
-    sizes = np.array([len(x) for x in sets])
-    _, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
+    sets = [np.asarray(x) for x in group.pop("shingles")]
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    values, row = np.concatenate(sets), np.repeat(np.arange(n, dtype=np.int32), sizes)
+    del sets
+    order = np.argsort(values)
+    values, row = values[order], row[order]
+    del order
+    # equal shingles are one column of the incidence matrix, of which a slab is filled at a time
+    column = np.zeros(len(values), np.int32)
+    np.cumsum(values[1:] != values[:-1], out=column[1:], dtype=np.int32)
+    del values
     left = np.flatnonzero(group["asks"].to_numpy())
-    shared = np.zeros((len(left), len(sets)), np.float32)
-    order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
+    shared = np.zeros((len(left), n), np.float32)
     for start in range(0, int(column[-1]) + 1, SLAB):
         i, j = np.searchsorted(column, [start, start + SLAB])
-        dense = np.zeros((len(sets), SLAB), np.float32)
+        dense = np.zeros((n, SLAB), np.float32)
         dense[row[i:j], column[i:j] - start] = 1
         shared += dense[left] @ dense.T
     both = np.rint(shared).astype(np.int64)
@@ -218,7 +223,7 @@ def near_duplicates(
     by their own texts, each as a document of that id. Columns besides id and text are not read.
 
     The bands are set so that a pair at the limit is missed with a chance of ``MISS`` at most. Memory: a
-    task holds one chunk of rows, or one block pair of 128 sets.
+    task holds one chunk of rows, or one block pair of 256 sets.
     """
     bands, _ = band_shape(num / den, coords)
     texts = docs.select(
