@@ -27,6 +27,7 @@ from daygrain.llm.tables import Stored, small
 ORDER = 4
 LEAST = 2
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 400_000  # of each language; the bound of what the driver collects
+LONG = 20  # texts over this part of the bytes are used only where others do not fill the sample
 UNKNOWN = "und"
 MAX_BITS = 12.0  # of a byte: longer codes mean that most bytes are new to every language
 PAD = 10  # every text is preceded by ORDER line feeds
@@ -154,18 +155,22 @@ def train(
     """Trees of every language with a labelled text.
 
     Per language the sample takes at most ``rows`` documents, whole, in the order of a hash of their id, and stops
-    before ``size`` bytes are passed, but for its first document. Rows without language, text or id are not used.
+    before ``size`` bytes are passed, but for its first document. Texts over ``1 / LONG`` of ``size`` come behind all
+    others, shorter ones first, so where the sample stops all but that part of ``size`` is used, or no text left fits.
+    Rows without language, text or id are not used.
     """
     usable = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    named = usable.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"))
+    texts = usable.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    texts = texts.withColumn("_size", F.octet_length("text"))
+    order = [F.when(F.col("_size") * LONG > size, F.col("_size")).otherwise(0), F.xxhash64("doc_id"), "doc_id"]
+    named = texts.select("doc_id", "lang", "_size")
     place = F.row_number().over(W.partitionBy("lang").orderBy(*order))
     chosen = stored.put(named.withColumn("_place", place).where(F.col("_place") <= rows).select("doc_id").distinct())
-    texts = usable.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    before = F.sum(F.octet_length("text")).over(W.partitionBy("lang").orderBy(*order, "text")) - F.octet_length("text")
+    upto = W.partitionBy("lang").orderBy(*order, "text").rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = F.sum("_size").over(upto) - F.col("_size")
     sample = (
         texts.join(small(chosen), "doc_id", "left_semi")
-        .withColumns({"_before": before, "_size": F.octet_length("text")})
+        .withColumn("_before", before)
         .where((F.col("_before") == 0) | (F.col("_before") + F.col("_size") <= size))
     )
     counts = (

@@ -59,3 +59,20 @@ def test_held_out_accuracy(spark):
     joined = op4_language(spark, folder).where("held_out").join(docs, "doc_id").collect()
     assert len(joined) > 100
     assert sum(r.lang == r.lang_pred for r in joined) / len(joined) > 0.97
+
+
+def test_long_documents_do_not_end_the_sample(spark):
+    ids = [r.id for r in spark.range(60).selectExpr("id", "xxhash64(id) h").orderBy("h").collect()]
+    text = lambda i: cases.prose(i, 40)
+    for sizes in ({0: 20_001}, {1: 20_001}, {0: 30_000, 1: 15_000}):
+        rows = [(i, "z" * sizes[k] if k in sizes else text(i), "en") for k, i in enumerate(ids)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        trees = langid.train(docs, cases.stored(spark), size=20_000)
+        short = [t for _, t, _ in rows if len(t) * langid.LONG <= 20_000]
+        want = brute.Ppm([*short, *("z" * n for n in sizes.values() if sum(map(len, short)) + n <= 20_000)], langid.ORDER, langid.LEAST)
+        probe = [text(99), "zzzz", text(ids[5])]
+        got = trees.code_lengths(*buffers.string_bytes(pa.array(probe)))[:, 0]
+        assert got == pytest.approx([want.bits(t) for t in probe], rel=1e-5)
+    # nothing but long texts: the shortest is learned from
+    only = spark.createDataFrame([(i, "q" * (30_000 + i), "en") for i in range(3)], "doc_id long, text string, lang string")
+    assert langid.train(only, cases.stored(spark), size=20_000).languages == ["en"]
