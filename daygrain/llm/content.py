@@ -20,11 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names of the HTML standard.
-SKIPPED = "script|style|template|noscript|svg|math|iframe|object|canvas|head|textarea|select|button|option"
+RAW = "script|style|textarea"  # run to the end of the page if not closed
+SKIPPED = "template|noscript|svg|math|iframe|object|canvas|select|button|title|option"
+SKIPPED_TAGS = frozenset(SKIPPED.split("|"))
+TO_NEXT_TAG = frozenset(("option", "title"))  # where not closed
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr br input".split()
 )
+#: Their class words name the kind of page or its layout.
+WHOLE_PAGE = frozenset(("html", "body", "main", "article"))
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_OWN_KIND = frozenset("p li dt dd tr td th option".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog header".split())
@@ -36,11 +41,10 @@ BOILERPLATE_WORDS = re.compile(
     r"alert|complementary|contentinfo)(?![a-z])"
 )
 CONTENT_WORDS = re.compile(r"(?<![a-z])(?:article|content|entry|main|post|story|text|body)(?![a-z])")
-MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+TEXTLESS = rf"<!--.*?(?:-->|\Z)|<({RAW})\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+MARKUP = re.compile(rf"{TEXTLESS}|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({ATTRIBUTES})>|<[!?/][^>]*>", re.S | re.I)
+PAIRED = re.compile(rf"{TEXTLESS}|<(/?)({SKIPPED})(?![a-zA-Z0-9:-])({ATTRIBUTES})>", re.S | re.I)
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Capacities are whole numbers; a score of 1 is UNIT.
 UNIT = 100
@@ -63,7 +67,7 @@ class Element:
             rank = min(rank, 0.0) - 6
         if names:
             names = names.lower()
-            if BOILERPLATE_WORDS.search(names):
+            if tag not in WHOLE_PAGE and BOILERPLATE_WORDS.search(names):
                 rank = min(rank, 0.0) - 6
             elif CONTENT_WORDS.search(names) and not inside:
                 rank += 2
@@ -83,7 +87,23 @@ class Block:
         self.score = score
 
 
+def skipped_ends(page: str) -> dict[int, int]:
+    """Where each closed element of ``SKIPPED`` ends, by its start. A closing tag belongs to the last open tag of its name."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for found in PAIRED.finditer(page):
+        if found[3] is None:
+            continue
+        starts = opened.setdefault(found[3].lower(), [])
+        if not found[2]:
+            starts.append(found.start())
+        elif starts:
+            ends[starts.pop()] = found.end()
+    return ends
+
+
 def blocks_of(page: str) -> list[Block]:
+    ends = skipped_ends(page)
     root = Element("html", None, "")
     stack, pieces, out = [root], [], []
     links, linked, at = 0, 0, 0
@@ -97,7 +117,7 @@ def blocks_of(page: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
-    for found in MARKUP.finditer(page):
+    while found := MARKUP.search(page, at):
         start = found.start()
         if start > at:
             pieces.append(page[at:start])
@@ -108,6 +128,13 @@ def blocks_of(page: str) -> list[Block]:
         if name is None:
             continue
         tag = name.lower()
+        if tag in SKIPPED_TAGS:
+            if start in ends:
+                at = ends[start]
+            elif tag in TO_NEXT_TAG and not found[2]:
+                following = page.find("<", at)
+                at = len(page) if following < 0 else following
+            continue
         if tag in INLINE:
             if tag == "br":
                 pieces.append(" ")
@@ -115,7 +142,7 @@ def blocks_of(page: str) -> list[Block]:
                 links = 0 if found[2] else 1
             continue
         close_block()
-        if tag in EMPTY:
+        if tag in EMPTY or tag == "head":  # all that a head may hold is skipped, so what else comes is of the body
             continue
         if found[2]:
             for k in range(len(stack) - 1, 0, -1):

@@ -27,6 +27,21 @@ def test_page():
     assert C.content_blocks(PAGE) == want
 
 
+STORY = "A paragraph of the story, with a good number of words in it to be kept, and some more of them."
+BEFORE = "<html><head><title>x</title></head><body><article>"
+
+
+@pytest.mark.parametrize("start", [
+    "<html><head><title>x</title><body><article>", "<head><meta charset=utf-8><title>x</title><article>", "<head><title>x<body><article>",
+    *(BEFORE + f"<{x} class=menu>" for x in ("noscript", "object", "svg", "button", "iframe", "canvas", "template", "math")),
+    BEFORE + "<button>", BEFORE + "<svg/>", BEFORE + "<select><option>One<option>Two</select>", BEFORE + "<select><option>One<option>Two",
+    BEFORE + "<object><object></object></object>", '<html class="cookies"><body class="no-sidebar"><main class="menu-page"><article class="has-comments">',
+])
+def test_unclosed_elements_and_words_of_the_whole_page_lose_no_text(start):
+    assert C.content_blocks(f"{start}<p>{STORY}<p>{STORY}<button>Send</button><footer>Menu</footer>") == [STORY, STORY]
+    assert C.content_blocks(f"{BEFORE}<p>{STORY}<script>x<p>{STORY}") == [STORY]
+
+
 @pytest.mark.parametrize("page", ["", "<p>", "<", "<!--", "<script>x", "<a b='", "&amp;", "<p></p></p></div>", "<" * 5000, "<p>" * 3000])
 def test_broken_pages(page):
     assert isinstance(C.content_blocks(page), list)
