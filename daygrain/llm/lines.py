@@ -55,13 +55,14 @@ def remove_shared_lines(
     site_col: str = "source",
     min_sites: int = MIN_SITES,
     max_share: float = MAX_SHARE,
+    copies_only: bool = False,
 ) -> DataFrame:
     """(row: all columns of ``docs`` with the text reduced, lines_removed) for every document.
 
     A line goes, in all documents, if equal lines (trimmed of spaces, tabs and returns) stand on ``min_sites`` sites or
-    more. A document whose shared lines hold more than ``max_share`` of its characters is left as it is: it is a copy,
-    which is near-duplicate removal's matter, and no page with boilerplate. Null and empty texts stay. Rows that repeat
-    an id or a text are reduced alike.
+    more. A document whose shared lines hold more than ``max_share`` of its characters is left as it is; with
+    ``copies_only`` it is so only if its text stands in another row, which is near-duplicate removal's matter, or if no
+    line but blank ones would be left. Null and empty texts stay. Rows that repeat an id or a text are reduced alike.
 
     Texts are found again by two hashes of theirs, so hot lines are joined as (line, text) hashes of few bytes and
     Spark can split them; only the last join, by text, moves texts.
@@ -77,7 +78,10 @@ def remove_shared_lines(
         .select("k1", "k2", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2"))
         .join(small(shared), ["h1", "h2"])
     )
-    hits = stored.put(found.groupBy("k1", "k2").agg(F.collect_set(F.struct("h1", "h2")).alias("hits")))
+    by_text = found.groupBy("k1", "k2").agg(F.collect_set(F.struct("h1", "h2")).alias("hits"))
+    if copies_only:
+        by_text = by_text.join(rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("rows")), ["k1", "k2"])
+    hits = stored.put(by_text)
     goes = lambda x: F.array_contains(
         F.col("hits"), F.struct(F.xxhash64(_trimmed(x)).alias("h1"), F.xxhash64(F.lit(2), _trimmed(x)).alias("h2"))
     )
@@ -87,8 +91,11 @@ def remove_shared_lines(
     # what goes: the lines' characters with one line feed each
     size = F.char_length("text")
     before = F.size(F.split("text", "\n"))
-    cut = joined.select("row", "text", text.alias("new"), before.alias("before"), F.size(kept).alias("after"), "hits")
-    heavy = (size - F.char_length("new")) > F.lit(max_share) * size
+    spared = (F.col("rows") > 1) | ~F.exists(kept, lambda x: _trimmed(x) != "") if copies_only else F.lit(True)
+    cut = joined.select(
+        "row", "text", text.alias("new"), before.alias("before"), F.size(kept).alias("after"), "hits", spared.alias("spared")
+    )
+    heavy = F.col("spared") & ((size - F.char_length("new")) > F.lit(max_share) * size)
     use = F.col("hits").isNotNull() & ~heavy
     fields = [
         F.when(use, F.col("new")).otherwise(F.col("text")).alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)

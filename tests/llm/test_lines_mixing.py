@@ -68,3 +68,16 @@ def test_empty_tables(spark):
     assert mixing.mix(cases.empty_docs(spark), cases.stored(spark)).count() == 0
     assert mixing.curriculum(cases.empty_docs(spark), cases.stored(spark)).count() == 0
     assert lines.remove_shared_lines(cases.empty_docs(spark), cases.stored(spark)).count() == 0
+
+
+def test_pipeline_spares_only_copies_of_mostly_shared_texts(spark):
+    import corpus_pipeline
+
+    common = ["a long line of boilerplate that stands on every site", "another line of boilerplate on all the sites"]
+    rows = [(i, "\n".join([*common, f"own {i}"]), f"s{i}") for i in range(12)]  # mostly boilerplate, each text its own
+    rows += [(20, common[0] + "\n\n" + common[1], "s1")]  # nothing else
+    rows += [(30 + i, common[1] + "\ncopied", f"s{i}") for i in range(2)]
+    rows += [(40, None, "s1"), (41, "", "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {i: f"own {i}" if i < 12 else t for i, t, _ in rows}
