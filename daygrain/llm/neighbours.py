@@ -7,10 +7,11 @@ NN-descent every node hears of some neighbours and of some nodes that it is a ne
 these are compared with each other and the better links kept, until few links change.
 
 A query starts at the best of a fixed number of pivots and, if it is a row itself, at its own neighbours. In each step it
-opens the nearest nodes not opened yet and meets their neighbours. What it met nearest is scored again on the original
-vectors in double precision.
+opens the nearest nodes not opened yet and meets their neighbours, until all that it holds are opened. What it met nearest
+is scored again on the original vectors.
 
-Vectors travel as bytes of 8-bit numbers while the graph is built and searched. Rows a node may receive are limited by
+Vectors travel as bytes of 4-byte numbers, or 8-byte ones if any needs them, and are compared in double precision: links by
+distance, so that nodes near each other are told apart, queries by inner product. Rows a node may receive are limited by
 rank before any shuffle, so a node that is everybody's neighbour fills no task. Equal vectors are one node.
 """
 
@@ -31,28 +32,42 @@ DEGREE = 32  # neighbours of a node
 TREES, LEAF, LEAF_LINKS = 12, 1024, 10  # first links: trees, rows of a leaf, links a leaf gives a node
 HEAR = 16  # new and old neighbours, and nodes pointing here, that a node hears of: four times as many at most
 OFFER = 6  # links that one comparison offers a node
-ROUNDS, SETTLED = 6, 0.002  # rounds at most; share of changed links below which a round was the last
+ROUNDS, SETTLED = 100, 0.002  # rounds after which it is an error; share of changed links below which a round was the last
 PIVOTS = 1024
-BEAM, OPEN, STEPS = 128, 32, 6
-_GRAPH = "id long, other long, score float"
-_LINKS = "array<struct<score: float, other: bigint, fresh: boolean>>"
+BEAM, OPEN, STEPS = 128, 32, 300  # nodes a query holds at least, opens in a step; steps after which it is an error
+_GRAPH = "id long, other long, score double"
+_LINKS = "array<struct<score: double, other: bigint, fresh: boolean>>"
 
 
-def _encode(batches: Iterator[pa.RecordBatch], longest: float, scale: float) -> Iterator[pa.RecordBatch]:
-    """8-bit vectors with the component that makes all lengths equal, and the tree leaves of each."""
+def _encode(batches: Iterator[pa.RecordBatch], longest: float, kind: type) -> Iterator[pa.RecordBatch]:
+    """Vectors with the component that makes all lengths equal, less that of the zero vector: distances stay the same."""
     for batch in batches:
         vec = V.matrix(batch.column(1))
-        rest = np.sqrt(np.maximum(longest**2 - (vec**2).sum(axis=1), 0))
-        both = np.concatenate([vec, rest[:, None]], axis=1)
-        small = np.rint(np.clip(both / scale, -1, 1) * 127).astype(np.int8)
-        yield pa.RecordBatch.from_arrays([batch.column(0), V.bytes_column(small)], names=["id", "vec"])
+        size = (vec**2).sum(axis=1)
+        rest = -size / (longest + np.sqrt(np.maximum(longest**2 - size, 0)))
+        both = np.concatenate([vec, rest[:, None]], axis=1).astype(kind)
+        yield pa.RecordBatch.from_arrays([batch.column(0), V.bytes_column(both)], names=["id", "vec"])
 
 
-def _leaves(batches: Iterator[pa.RecordBatch], depth: int, trees: int) -> Iterator[pa.RecordBatch]:
+def _encode_queries(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
+    """A query's own added component is 0: what it scores is the inner product alone."""
     for batch in batches:
-        vec = V.bytes_matrix(batch.column(1), np.int8).astype(np.float32)
+        vec = V.matrix(batch.column(1))
+        both = np.concatenate([vec, np.zeros((len(vec), 1))], axis=1).astype(kind)
+        yield pa.RecordBatch.from_arrays([batch.column(0), V.bytes_column(both)], names=["query", "vec"])
+
+
+def _nearness(vec: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows, negative."""
+    size = np.einsum("ij,ij->i", vec, vec)
+    return 2 * (vec @ vec.T) - size[:, None] - size[None, :]
+
+
+def _leaves(batches: Iterator[pa.RecordBatch], depth: int, trees: int, kind: type) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        vec = V.bytes_matrix(batch.column(1), kind)[:, :-1].astype(float)
         signs = [
-            (vec @ np.random.default_rng([29, t]).normal(size=(vec.shape[1], depth)).astype(np.float32) > 0)
+            (vec @ np.random.default_rng([29, t]).normal(size=(vec.shape[1], depth)) > 0)
             @ (1 << np.arange(depth, dtype=np.int64))
             for t in range(trees)
         ]
@@ -69,22 +84,22 @@ def _best(score: np.ndarray, k: int) -> np.ndarray:
 
 
 def _links(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b, s = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+    a, b, s = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     return pa.RecordBatch.from_arrays(
-        [pa.array(a), pa.array(b), pa.array(s.astype(np.float32))],
+        [pa.array(a), pa.array(b), pa.array(s)],
         names=["id", "other", "score"],
     )
 
 
-def _leaf_links(batches: Iterator[pa.RecordBatch], degree: int) -> Iterator[pa.RecordBatch]:
+def _leaf_links(batches: Iterator[pa.RecordBatch], degree: int, kind: type) -> Iterator[pa.RecordBatch]:
     def solve(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
         ids = table["id"].to_numpy()
-        vec = V.bytes_matrix(V.plain(table, "vec"), np.int8).astype(np.float32)
+        vec = V.bytes_matrix(V.plain(table, "vec"), kind).astype(float)
         out = []
         for s, e in zip(first, np.append(first[1:], len(ids)), strict=True):
             if e - s < 2:
                 continue
-            score = vec[s:e] @ vec[s:e].T
+            score = _nearness(vec[s:e])
             np.fill_diagonal(score, -np.inf)
             best = _best(score, min(degree, e - s - 1))
             out.append((np.repeat(ids[s:e], best.shape[1]), ids[s:e][best].reshape(-1), np.take_along_axis(score, best, 1).reshape(-1)))
@@ -93,12 +108,12 @@ def _leaf_links(batches: Iterator[pa.RecordBatch], degree: int) -> Iterator[pa.R
     yield from V.whole_groups(batches, ["tree", "leaf", "part"], solve)
 
 
-def _joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joins(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
     """All that a node heard of, compared with each other unless both are old. What it heard twice counts once."""
 
     def solve(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
         ids, worst, fresh = (table[k].to_numpy() for k in ("other", "worst", "fresh"))
-        vec = V.bytes_matrix(V.plain(table, "vec"), np.int8).astype(np.float32)
+        vec = V.bytes_matrix(V.plain(table, "vec"), kind).astype(float)
         out = []
         for s, e in zip(first, np.append(first[1:], len(ids)), strict=True):
             if e - s < 2 or not fresh[s:e].any():
@@ -106,7 +121,7 @@ def _joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # rows are sorted by id, fresh ones last
             one, lasts = ids[s:e], np.append(ids[s + 1 : e] != ids[s : e - 1], True)
             one, new, x, limit = one[lasts], fresh[s:e][lasts], vec[s:e][lasts], worst[s:e][lasts]
-            score = x @ x.T
+            score = _nearness(x)
             score[~(new[:, None] | new[None, :])] = -np.inf
             np.fill_diagonal(score, -np.inf)
             best = _best(score, OFFER)
@@ -134,13 +149,15 @@ def _merged(nodes: DataFrame, links: DataFrame, degree: int) -> DataFrame:
     few = links.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= 4 * degree)
     offered = few.groupBy("id").agg(F.collect_set(F.struct("score", "other", F.lit(True).alias("fresh"))).alias("offers"))
     both = F.concat("links", F.coalesce("offers", F.expr(f"cast(array() as {_LINKS})")))
-    ordered = nodes.join(offered, "id", "left").select("id", "vec", F.sort_array(both, asc=False).alias("ordered"))
-    # scores are whole numbers, so a link offered again stands next to itself, the one that is not fresh last
-    last = F.filter("ordered", lambda x, i: F.coalesce(F.get("ordered", i + 1)["other"] != x["other"], F.lit(True)))
-    return ordered.select("id", "vec", F.slice(last, 1, degree).alias("links"))
+    # a link offered again stands next to itself, the one that is not fresh first
+    by_other = F.sort_array(F.transform(both, lambda x: F.struct(x["other"].alias("other"), x["fresh"].alias("fresh"), x["score"].alias("score"))))
+    ordered = nodes.join(offered, "id", "left").select("id", "vec", by_other.alias("ordered"))
+    first = F.filter("ordered", lambda x, i: (i == 0) | (F.get("ordered", i - 1)["other"] != x["other"]))
+    links = F.transform(first, lambda x: F.struct(x["score"].alias("score"), x["other"].alias("other"), x["fresh"].alias("fresh")))
+    return ordered.select("id", "vec", F.slice(F.sort_array(links, asc=False), 1, degree).alias("links"))
 
 
-def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = DEGREE) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = DEGREE, kind: type = np.float32) -> DataFrame:
     """(id, vec, links): each node of ``nodes`` (id, vec) with about its ``degree`` nearest, nearest first.
 
     A round has five exchanges: what nodes hear back, the vectors they hear of (two), the comparisons and the offers.
@@ -148,11 +165,11 @@ def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = D
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     depth = max(1, int(np.ceil(np.log2(max(2, rows / LEAF)))))
-    leaves = nodes.mapInArrow(lambda it: _leaves(it, depth, TREES), "id long, vec binary, tree long, leaf long")
+    leaves = nodes.mapInArrow(lambda it: _leaves(it, depth, TREES, kind), "id long, vec binary, tree long, leaf long")
     sizes = leaves.groupBy("tree", "leaf").count().withColumn("parts", F.ceil(F.col("count") / (2 * LEAF))).drop("count")
     cells = leaves.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), "parts"))
     keys = ["tree", "leaf", "part"]
-    first = cells.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _leaf_links(it, LEAF_LINKS), _GRAPH)
+    first = cells.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _leaf_links(it, LEAF_LINKS, kind), _GRAPH)
     bare = nodes.withColumn("links", F.expr(f"cast(array() as {_LINKS})"))
     graph = stored.put(_merged(bare, first, degree))
     for _ in range(ROUNDS):
@@ -165,13 +182,13 @@ def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = D
         place = F.row_number().over(W.partitionBy("at", "fresh").orderBy(F.xxhash64("at", "other", F.lit(31))))
         back = back.withColumn("_k", place).where(F.col("_k") <= HEAR).drop("_k")
         worst = F.when(F.size("links") >= degree, F.element_at("links", -1)["score"])
-        known = graph.select(F.col("id").alias("other"), "vec", F.coalesce(worst, F.lit(float("-inf")).cast("float")).alias("worst"))
+        known = graph.select(F.col("id").alias("other"), "vec", F.coalesce(worst, F.lit(float("-inf"))).alias("worst"))
         offers = (
             forth.unionByName(back)
             .join(known, "other")
             .repartition(parts, "at")
             .sortWithinPartitions("at", "other", "fresh")
-            .mapInArrow(_joins, _GRAPH)
+            .mapInArrow(lambda it: _joins(it, kind), _GRAPH)
         )
         told_new = F.transform("links", lambda x: F.struct(
             x["score"].alias("score"), x["other"].alias("other"), (x["fresh"] & ~F.array_contains("new", x["other"])).alias("fresh")
@@ -180,12 +197,26 @@ def neighbour_graph(nodes: DataFrame, stored: Stored, rows: int, degree: int = D
         stored.drop(before)
         spark._jvm.System.gc()  # lets Spark delete the round's shuffle files
         changed, links = graph.agg(F.sum(F.size(F.filter("links", lambda x: x["fresh"]))), F.sum(F.size("links"))).first()
-        if changed <= SETTLED * links:
-            break
-    return graph
+        if (changed or 0) <= SETTLED * (links or 0):
+            return graph
+    raise RuntimeError(f"the neighbour graph did not settle in {ROUNDS} rounds")
 
 
-def _steps(batches: Iterator[pa.RecordBatch], beam: int) -> Iterator[pa.RecordBatch]:
+def _ways(graph: DataFrame, degree: int) -> DataFrame:
+    """(node, other): what a query meets when it opens a node: its neighbours and up to ``degree`` nodes it is one of.
+
+    Of the latter those that fewest nodes point at come first, so that nodes at the rim are found.
+    """
+    pairs = graph.select("id", F.explode("links").alias("x")).select(F.col("x.other").alias("node"), F.col("id").alias("other"), "x.score")
+    known = pairs.groupBy("node").count().select(F.col("node").alias("other"), F.col("count").alias("known"))
+    place = F.row_number().over(W.partitionBy("node").orderBy(F.coalesce("known", F.lit(0)), F.desc("score"), "other"))
+    back = pairs.join(known, "other", "left").withColumn("_k", place).where(F.col("_k") <= degree)
+    heard = back.groupBy("node").agg(F.collect_list("other").alias("heard"))
+    both = F.array_union("other", F.coalesce("heard", F.expr("cast(array() as array<bigint>)")))
+    return graph.select(F.col("id").alias("node"), "links.other").join(heard, "node", "left").select("node", both.alias("other"))
+
+
+def _steps(batches: Iterator[pa.RecordBatch], beam: int, kind: type) -> Iterator[pa.RecordBatch]:
     """The nearest nodes a query has met, and which of them it opens next.
 
     A query's group holds its own vector first, then by node what it met: with a score if it was met before, else a vector.
@@ -193,9 +224,9 @@ def _steps(batches: Iterator[pa.RecordBatch], beam: int) -> Iterator[pa.RecordBa
 
     def solve(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
         query, node = table["query"].to_numpy(), table["node"].to_numpy()
-        score = table["score"].to_numpy(zero_copy_only=False).astype(np.float32)
+        score = table["score"].to_numpy(zero_copy_only=False).astype(float)
         opened = table["opened"].to_numpy(zero_copy_only=False).astype(bool)
-        vec = V.bytes_matrix(V.plain(table, "vec"), np.int8).astype(np.float32)
+        vec = V.bytes_matrix(V.plain(table, "vec"), kind).astype(float)
         owner = np.repeat(first, np.diff(np.append(first, len(query))))
         score = np.where(np.isnan(score), np.einsum("ij,ij->i", vec, vec[owner]), score)
         # of equal nodes the first counts: opened ones are sorted before
@@ -218,9 +249,9 @@ def _steps(batches: Iterator[pa.RecordBatch], beam: int) -> Iterator[pa.RecordBa
     yield from V.whole_groups(batches, ["query"], solve)
 
 
-def _pivot_starts(batches: Iterator[pa.RecordBatch], ids: np.ndarray, vec: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+def _pivot_starts(batches: Iterator[pa.RecordBatch], ids: np.ndarray, vec: np.ndarray, k: int, kind: type) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        score = V.bytes_matrix(batch.column(1), np.int8).astype(np.float32) @ vec.T
+        score = V.bytes_matrix(batch.column(1), kind).astype(float) @ vec.T
         best = _best(score, k)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(batch.column(0).to_numpy(), best.shape[1])), pa.array(ids[best].reshape(-1))],
@@ -242,7 +273,7 @@ def nearest(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     degree: int = DEGREE,
-    beam: int = BEAM,
+    beam: int | None = None,
     steps: int = STEPS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its ``k`` nearest rows found, by inner product in double precision.
@@ -250,7 +281,8 @@ def nearest(
     A query's own row (same id) is no candidate; ties go to the smaller id; all candidates come if they are no more than
     ``k``. In ``vectors`` and ``queries``, vectors that are null, empty, zero, of another length than most, or hold null or
     non-finite components take no part, nor do rows without id; a repeated id is its greatest vector. Other columns are not
-    read. Every row is in the graph; the pivots are the only sample, of ``PIVOTS`` rows.
+    read. Every row is in the graph; the pivots are the only sample, of ``PIVOTS`` rows. ``beam`` grows with the logarithm of
+    the rows unless given. It is an error if ``steps`` steps do not end the search.
     """
     result = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
@@ -269,37 +301,25 @@ def nearest(
     originals = stored.put(firsts.select("node", "vec"))
     asked = stored.put(asked.where(F.size("vec") == dim).withColumns({"k1": F.xxhash64("vec"), "k2": F.xxhash64(F.lit(2), "vec")}))
     size = F.aggregate("vec", F.lit(0.0), lambda n, x: n + x * x)
-    most = lambda df: df.agg(F.max(size), F.max(F.array_max(F.transform("vec", F.abs)))).first()
-    longest, scale = most(originals)
-    longest = float(longest) ** 0.5
-    scale = max(float(scale), float(most(asked)[1] or 0.0), 1e-300)
-    nodes = stored.put(originals.mapInArrow(lambda it: _encode(it, longest, scale), "id long, vec binary"))
-    graph = neighbour_graph(nodes, stored, rows, degree)
-
-    # a query's own added component is 0: what it scores is the inner product alone
-    coded = stored.put(
-        asked.select("id", "vec").mapInArrow(
-            lambda it: (
-                pa.RecordBatch.from_arrays(
-                    [b.column(0), V.bytes_column(np.concatenate([np.rint(np.clip(V.matrix(b.column(1)) / scale, -1, 1) * 127).astype(np.int8), np.zeros((b.num_rows, 1), np.int8)], axis=1))],
-                    names=["query", "vec"],
-                )
-                for b in it
-            ),
-            "query long, vec binary",
-        )
-    )
+    longest = float(originals.agg(F.max(size)).first()[0]) ** 0.5
+    beam = beam or max(BEAM, 2 * k, round(BEAM / 4 * np.log2(rows / 1024)))
+    narrow = F.forall("vec", lambda x: x == x.cast("float").cast("double"))
+    kind = np.float64 if originals.select("vec").unionByName(asked.select("vec")).where(~narrow).head(1) else np.float32
+    nodes = stored.put(originals.mapInArrow(lambda it: _encode(it, longest, kind), "id long, vec binary"))
+    graph = neighbour_graph(nodes, stored, rows, degree, kind)
+    ways = stored.put(_ways(graph, degree))
+    coded = stored.put(asked.select("id", "vec").mapInArrow(lambda it: _encode_queries(it, kind), "query long, vec binary"))
     pivot_rows = nodes.orderBy(F.xxhash64("id", F.lit(37)), "id").limit(PIVOTS).collect()
     pivot_ids = np.array([r["id"] for r in pivot_rows], np.int64)
-    pivot_vec = np.stack([np.frombuffer(r["vec"], np.int8) for r in pivot_rows]).astype(np.float32)
-    starts = coded.mapInArrow(lambda it: _pivot_starts(it, pivot_ids, pivot_vec, OPEN), "query long, node long")
+    pivot_vec = np.stack([np.frombuffer(r["vec"], kind) for r in pivot_rows]).astype(float)
+    starts = coded.mapInArrow(lambda it: _pivot_starts(it, pivot_ids, pivot_vec, OPEN, kind), "query long, node long")
     own = asked.select(F.col("id").alias("query"), "k1", "k2").join(firsts.select("node", "k1", "k2"), ["k1", "k2"]).select("query", "node")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    score, unopened = F.lit(None).cast("float").alias("score"), F.lit(False).alias("opened")
+    score, unopened = F.lit(None).cast("double").alias("score"), F.lit(False).alias("opened")
     heads = coded.select("query", F.lit(-(1 << 63)).cast("long").alias("node"), score, unopened, "vec")
-    blank = F.lit(bytes(dim + 1)).alias("vec")
+    blank = F.lit(bytes((dim + 1) * np.dtype(kind).itemsize)).alias("vec")
     met, state = starts.unionByName(own).distinct(), None
-    for _ in range(steps + 1):
+    for _ in range(steps):
         rows_ = heads.unionByName(
             met.join(graph.select(F.col("id").alias("node"), "vec"), "node").select("query", "node", score, unopened, "vec")
         )
@@ -308,19 +328,23 @@ def nearest(
         stepped = (
             rows_.repartition(parts, "query")
             .sortWithinPartitions("query", "node", F.col("opened").desc(), F.col("score").desc_nulls_last())
-            .mapInArrow(lambda it: _steps(it, beam), "query long, node long, score float, opened boolean, opens boolean")
+            .mapInArrow(lambda it: _steps(it, beam, kind), "query long, node long, score double, opened boolean, opens boolean")
         )
         before, state = state, stored.put(stepped)
         if before is not None:
             stored.drop(before)
         spark._jvm.System.gc()
+        if not state.where("opens").head(1):
+            break
         met = (
             state.where("opens")
             .select("query", "node")
-            .join(graph.select(F.col("id").alias("node"), "links.other"), "node")
+            .join(ways, "node")
             .select("query", F.explode("other").alias("node"))
             .distinct()
         )
+    else:
+        raise RuntimeError(f"the search did not end in {steps} steps")
     pairs = state.select("query", "node").join(originals, "node").withColumnRenamed("vec", "other")
     exact = (
         pairs.join(asked.select(F.col("id").alias("query"), "vec"), "query")

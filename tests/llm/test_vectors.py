@@ -3,6 +3,7 @@ import math
 import brute
 import cases
 import numpy as np
+import pytest
 
 from daygrain.llm.near_vectors import near_vectors
 from daygrain.llm.neighbours import nearest
@@ -53,6 +54,39 @@ def test_nearest_finds_what_brute_force_finds(spark):
     assert {r.query_id for r in got} == set(range(0, len(x), 20))
 
 
+def _recall(spark, x, queries, k=20):
+    vectors = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = nearest(vectors, vectors.where(f"vec_id in ({','.join(map(str, queries))})"), cases.stored(spark), k=k).collect()
+    exact, hits = x.astype(float) @ x.astype(float).T, 0
+    for q in queries:
+        mine = {r.vec_id for r in got if r.query_id == q}
+        hits += len(mine & set([j for j in np.argsort(-exact[q], kind="stable") if j != q][:k]))
+    return hits / (k * len(queries))
+
+
+def test_nearest_in_a_tight_group(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1800, 16))
+    x[:1200] = x[0] + 1e-4 * rng.normal(size=(1200, 16))
+    assert _recall(spark, x.astype(np.float32), list(range(0, 1200, 60))) > 0.95
+
+
+def test_nearest_with_one_very_long_vector(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1800, 16))
+    x[7] *= 1e4
+    assert _recall(spark, x.astype(np.float32), list(range(0, 1800, 60))) > 0.95
+
+
+def test_unfinished_graph_or_search_is_an_error(spark, monkeypatch):
+    vectors = spark.createDataFrame(_rows()[0], SCHEMA)
+    with pytest.raises(RuntimeError, match="search"):
+        nearest(vectors, vectors, cases.stored(spark), steps=1)
+    monkeypatch.setattr("daygrain.llm.neighbours.ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="graph"):
+        nearest(vectors, vectors, cases.stored(spark))
+
+
 def test_fewer_candidates_than_asked_for_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [3.0, -1.0])], "vec_id long, embedding array<float>")
     got = nearest(few, few, cases.stored(spark), k=5).collect()
