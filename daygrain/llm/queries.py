@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrain.llm import text_queries
 from daygrain.llm.content import main_text
 from daygrain.llm.langid import held_out, identify, train
 from daygrain.llm.lines import MAX_SHARE, MIN_SITES, remove_shared_lines
@@ -139,6 +140,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_array": op9_suffix_array,
     "op10_mixing": op10_mixing,
+    **text_queries.QUERIES,
 }
 
 OP10_SQL = """
@@ -263,4 +265,9 @@ FROM sized
 """
 
 
-ORACLE = {"op3_revisits": OP3_SQL, "op8_line_dedup": OP8_SQL, "op10_mixing": OP10_SQL.replace("{position}", _position_sql())}
+ORACLE = {
+    "op3_revisits": OP3_SQL,
+    "op8_line_dedup": OP8_SQL,
+    "op10_mixing": OP10_SQL.replace("{position}", _position_sql()),
+    **text_queries.ORACLE,
+}
