@@ -24,14 +24,14 @@ from daygrain.llm.tables import Stored, numbered
 
 CAPACITY = 1024
 END = 0
-SLOTS = 1 << 21  # of the word table; it is emptied when half full
+SLOT_BITS = 19  # of the word table's places; it is emptied when half full
+SLOTS = 1 << SLOT_BITS
 # The byte-to-character map of byte-level vocabularies, and letters and marks of Latin texts.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _VISIBLE]
 BYTE_CHARS = dict(zip(_VISIBLE + _HIDDEN, map(chr, [*_VISIBLE, *range(256, 256 + len(_HIDDEN))]), strict=True))
-#: Texts with other characters are tokenized whole, without the word table.
-UNUSUAL = re.compile("[^\t-\r -~À-ÖØ-öø-ɏ]")
-_codes, _powers = B.byte_codes(7), B.Powers()
+UNUSUAL = "[^\t-\r -~À-ÖØ-öø-ɏ]"
+_codes, _powers = B.byte_codes(7), B.POWERS
 SPACE_, LETTER, DIGIT, OTHER = 0, 1, 2, 3
 KIND = np.full(256, OTHER, np.uint8)
 KIND[[32, *range(9, 14)]] = SPACE_
@@ -83,7 +83,9 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts with other characters, or with the string of a special token, are tokenized whole, without the table.
+        self.unusual = re.compile("|".join([UNUSUAL, *added]))
         self.clear()
 
     def clear(self) -> None:
@@ -93,7 +95,7 @@ class WordTable:
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each word, -1 for a new one."""
-        slot = (hashes >> np.uint64(43)).astype(np.int64)
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         out = np.full(len(hashes), -1, np.int64)
         open_ = np.arange(len(hashes))
         while len(open_):
@@ -112,7 +114,7 @@ class WordTable:
         self.size = np.concatenate((self.size, sizes))
         number = np.arange(self.used, self.used + len(hashes), dtype=np.int32)
         self.used += len(hashes)
-        slot = (hashes >> np.uint64(43)).astype(np.int64)
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         open_ = np.arange(len(hashes))
         while len(open_):
             free = open_[self.keys[slot[open_]] == 0]
@@ -159,12 +161,13 @@ _tables: dict[str, WordTable] = {}
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     table = _tables.get(path) or _tables.setdefault(path, WordTable(path))
+    table.clear()
     for batch in batches:
         data, offsets = B.string_bytes(batch.column(1))
         texts = batch.column(1)
         for i, j in B.row_chunks(offsets):
             strings = texts[i:j].to_pylist()
-            odd = {k: x for k, x in enumerate(strings) if UNUSUAL.search(x)}
+            odd = {k: x for k, x in enumerate(strings) if table.unusual.search(x)}
             if odd:
                 part = pa.array(["" if k in odd else x for k, x in enumerate(strings)], pa.large_string())
                 ids, counts = table.encode(*B.string_bytes(part))
@@ -187,6 +190,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
                 [batch.column(0).take(pa.array(row + i)), pa.array(start), pa.array(length), binary, pa.array(counts[row])],
                 names=["doc_id", "start", "length", "ids", "doc_tokens"],
             )
+    table.clear()
 
 
 def token_pieces(
@@ -199,7 +203,7 @@ def token_pieces(
     """
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).mapInArrow(
-        lambda it: _pieces(it, path, capacity), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long"
+        B.tidy(lambda it: _pieces(it, path, capacity)), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long"
     )
 
 

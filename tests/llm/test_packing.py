@@ -12,7 +12,7 @@ from daygrain.llm import packing as P
 
 ODD = [
     "it's we're I'll 'tis ''s x'd,'s\n's  foo   bar\n\n baz \t", "a", " ", "  ", "é's × ÷ ²", "don'ttt o'clock 'll'll \r\n", "12ab34 __x_y  ",
-    "'", "'s", "a'", " 's", "x　y “q” it’s", "a  \nb\n", "tail '", "<|endoftext|> <|endoftext|>", "\x1c\x1d x", "a b \x85c", "😀 ok",
+    "'", "'s", "a'", " 's", "x　y “q” it’s", "a  \nb\n", "tail '", "<|endoftext|> <|endoftext|>", "words before<|endoftext|>and after", "\x1c\x1d x", "a b \x85c", "😀 ok",
 ]
 
 
@@ -20,7 +20,6 @@ def test_round_trip_and_layout(spark):
     rows = [(r[0], r[1]) for r in cases.edge_rows()] + list(enumerate(ODD, 100))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     tokenizer = Tokenizer.from_file(P.public_vocabulary())
-    tokenizer.encode_special_tokens = True
     pieces = P.token_pieces(docs, P.public_vocabulary(), capacity=64)
     got = P.pack(pieces, cases.stored(spark), capacity=64).collect()
     want = Counter((i, *tokenizer.encode(t or "", add_special_tokens=False).ids, 0) for i, t in rows)
