@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,24 @@ class Powers:
             self.up, self.down = np.multiply.accumulate(self.up), np.multiply.accumulate(self.down)
 
 
+#: One table for all operators of a process.
+POWERS = Powers()
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task`` for ``mapInArrow``; at its end the process, which goes on to other tasks, gives its free memory back."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library keeps what is free
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 class PrefixHash:
     """Hash of any range of a buffer from two prefix sums: sum(code * base**place) modulo 2**64."""
 

@@ -27,7 +27,7 @@ WINDOW = 10
 GRAM = 6
 #: log2 of the bits of the filter through which fingerprints pass before they leave a Python task; more items fill it, which costs time only.
 FILTER_BITS = (12, 23)
-_codes, _powers = B.byte_codes(11, lower=True), B.Powers()
+_codes, _powers = B.byte_codes(11, lower=True), B.POWERS
 WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 OTHER_HASH = np.uint64(0xA24BAED4963EE407)

@@ -11,7 +11,7 @@ text's code length under each language is a sum of table rows, over the whole te
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,14 +22,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daygrain.llm import buffers as B
-from daygrain.llm.tables import Stored, small
+from daygrain.llm.tables import small
 
 ORDER = 4
 LEAST = 2
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 400_000  # of each language; the bound of what the driver collects
 LONG = 20  # texts over this part of the bytes are used only where others do not fill the sample
 UNKNOWN = "und"
-MAX_BITS = 12.0  # of a byte: longer codes mean that most bytes are new to every language
+#: The limit of code lengths: this quantile of bits per byte of labelled texts kept out of the trees, times the margin, and so many bits a text.
+QUANTILE, MARGIN, SLACK_BITS = 0.999, 1.25, 256
+BUCKETS = 1 << 16  # of the hash by which the sample is found
 PAD = 10  # every text is preceded by ORDER line feeds
 
 
@@ -143,38 +145,55 @@ def _gram_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": language, "gram": gram.astype(np.int64), "count": count})
 
 
-def train(
+def sample(
     labelled: DataFrame,
-    stored: Stored,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     rows: int = SAMPLE_ROWS,
     size: int = SAMPLE_BYTES,
-) -> Trees:
-    """Trees of every language with a labelled text.
+) -> DataFrame:
+    """(lang, text): at most ``rows`` documents of each language, whole, in the order of a hash of their id.
 
-    Per language the sample takes at most ``rows`` documents, whole, in the order of a hash of their id, and stops
-    before ``size`` bytes are passed, but for its first document. Texts over ``1 / LONG`` of ``size`` come behind all
+    It stops before ``size`` bytes are passed, but for its first document. Texts over ``1 / LONG`` of ``size`` come behind all
     others, shorter ones first, so where the sample stops all but that part of ``size`` is used, or no text left fits.
-    Rows without language, text or id are not used.
+    Rows without language, text or id are not used. Counts per bucket of that order tell how far the sample reaches, so only
+    rows of the buckets up to there are ranked, whatever the number of rows.
     """
     usable = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     texts = usable.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    texts = texts.withColumn("_size", F.octet_length("text"))
-    order = [F.when(F.col("_size") * LONG > size, F.col("_size")).otherwise(0), F.xxhash64("doc_id"), "doc_id"]
-    named = texts.select("doc_id", "lang", "_size")
-    place = F.row_number().over(W.partitionBy("lang").orderBy(*order))
-    chosen = stored.put(named.withColumn("_place", place).where(F.col("_place") <= rows).select("doc_id").distinct())
-    upto = W.partitionBy("lang").orderBy(*order, "text").rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = F.sum("_size").over(upto) - F.col("_size")
-    sample = (
-        texts.join(small(chosen), "doc_id", "left_semi")
-        .withColumn("_before", before)
-        .where((F.col("_before") == 0) | (F.col("_before") + F.col("_size") <= size))
+    long_ = F.col("_size") * LONG > size
+    texts = texts.withColumn("_size", F.octet_length("text")).withColumns(
+        {
+            "_late": F.when(long_, F.col("_size")).otherwise(0),
+            "_hash": F.xxhash64("doc_id"),
+            "_bucket": F.when(long_, F.lit(BUCKETS) + F.floor(F.log2("_size") * 64)).otherwise(
+                F.shiftright("_hash", 64 - BUCKETS.bit_length() + 1) + BUCKETS // 2
+            ),
+        }
     )
+    counts = texts.groupBy("lang", "_bucket").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(W.partitionBy("lang").orderBy("_bucket")) - F.col("c")
+    reach = counts.withColumn("_b", before).where(F.col("_b") < rows).groupBy("lang").agg(F.max("_bucket").alias("_reach"))
+    near = texts.join(small(reach), "lang").where("_bucket <= _reach")
+    order = W.partitionBy("lang").orderBy("_late", "_hash", "doc_id", "text")
+    upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= rows)
+    taken = F.sum("_size").over(upto) - F.col("_size")
+    return ranked.withColumn("_before", taken).where((F.col("_before") == 0) | (F.col("_before") + F.col("_size") <= size)).select("lang", "text")
+
+
+def train(
+    labelled: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    rows: int = SAMPLE_ROWS,
+    size: int = SAMPLE_BYTES,
+) -> Trees:
+    """Trees of every language with a labelled text, from a ``sample`` of them."""
     counts = (
-        sample.select("lang", "text")
+        sample(labelled, id_col, text_col, lang_col, rows, size)
         .mapInPandas(_gram_counts, "lang string, gram long, count long")
         .groupBy("lang", "gram")
         .agg(F.sum("count").alias("count"))
@@ -186,10 +205,20 @@ def train(
     return Trees(languages, number, counts["gram"].to_numpy().astype(np.uint64), counts["count"].to_numpy(float))
 
 
+def most_bits(trees: Trees, labelled: DataFrame, **options) -> float | None:
+    """Bits a byte up to which a text is taken to be in a learned language: a high quantile over a ``sample`` of labelled texts that the
+    trees were not made of, with a margin. None if there is no such text."""
+    found = identify(sample(labelled, **options).select("text"), trees, keep=()).where(F.col("lang_pred") != UNKNOWN)
+    top = found.agg(F.percentile("bits_per_byte", F.lit(QUANTILE))).first()[0]
+    return None if top is None else top * MARGIN
+
+
 def _scores(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.RecordBatch]:
     names = np.array([*trees.languages, UNKNOWN], object)
     for batch in batches:
         *carried, text, letters = batch.columns
+        if pa.types.is_integer(text.type):  # the text is a field of the row
+            text = carried[0].field(text[0].as_py()).fill_null("") if len(text) else pa.array([], pa.string())
         data, offsets = B.string_bytes(text)
         lengths = np.concatenate(
             [
@@ -209,36 +238,44 @@ def _scores(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.Reco
                 pa.array(names[np.where(known, best, len(trees.languages))], pa.string()),
                 pa.array(np.where(known, share, 0.0)),
                 pa.array(least / size),
+                pa.array(np.diff(offsets)),
             ],
-            names=[*batch.schema.names[:-2], "lang_pred", "score", "bits_per_byte"],
+            names=[*batch.schema.names[:-2], "lang_pred", "score", "bits_per_byte", "n_bytes"],
         )
 
 
-def identify(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """(row: all columns of ``docs`` as a struct, lang_pred, score, bits_per_byte), the text's language.
+def identify(docs: DataFrame, trees: Trees, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """(row: the columns ``keep`` of ``docs``, all unless given, as a struct, lang_pred, score, bits_per_byte, n_bytes), the text's language.
 
     ``und`` with score 0 for a null text, one without a letter, or if no language was learned. ``score`` is the
     language's share of the probability of the text; ``bits_per_byte`` the length of its shortest code, below 8
-    for anything that some language explains better than no model. Ties go to the language first in order.
+    for anything that some language explains better than no model. Ties go to the language first in order. A text that is
+    kept passes through Python once, within the row.
     """
-    kind = docs.select(F.struct(*docs.columns).alias("row")).schema["row"].dataType.simpleString()
-    text = F.col(text_col)
+    keep = docs.columns if keep is None else list(keep)
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("_"))
+    text = F.col(f"`{text_col}`")
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce(text, F.lit("")).alias("text"),
+        row.alias("row"),
+        (F.lit(keep.index(text_col)) if text_col in keep else F.coalesce(text, F.lit(""))).alias("text"),
         F.coalesce(text.rlike("\\p{L}"), F.lit(False)).alias("letters"),
     )
     if not trees.languages:
-        return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(8.0).alias("bits_per_byte"))
+        size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+        return docs.select(
+            row.alias("row"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(8.0).alias("bits_per_byte"), size.alias("n_bytes")
+        )
     held = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample
-    schema = f"row {kind}, lang_pred string, score double, bits_per_byte double"
-    return rows.mapInArrow(lambda it: _scores(it, held.value), schema)
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, bits_per_byte double, n_bytes long"
+    return rows.mapInArrow(B.tidy(lambda it: _scores(it, held.value)), schema)
 
 
-def in_learned_language(docs: DataFrame, trees: Trees, text_col: str = "text", max_bits: float = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` in a learned language: not ``und``, and no code of ``max_bits`` a byte or more."""
-    told = identify(docs, trees, text_col)
-    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") < max_bits)).select("row.*")
+def in_learned_language(docs: DataFrame, trees: Trees, text_col: str = "text", max_bits: float | None = None) -> DataFrame:
+    """The rows of ``docs`` in a learned language: not ``und``, and with a code of at most ``max_bits`` a byte and ``SLACK_BITS`` more."""
+    told = identify(docs, trees, text_col).where(F.col("lang_pred") != UNKNOWN)
+    if max_bits is not None:
+        told = told.where(F.col("bits_per_byte") * F.col("n_bytes") <= F.lit(max_bits) * F.col("n_bytes") + SLACK_BITS)
+    return told.select("row.*")
 
 
 def held_out(id_col: str = "doc_id"):

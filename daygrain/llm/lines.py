@@ -14,7 +14,6 @@ from daygrain.llm.tables import Stored, small
 LOG_BUCKETS = 10
 SIGMAS = 5
 MIN_SITES = 10
-MAX_SHARE = 0.5
 BLANKS = " \t\r"
 
 
@@ -54,15 +53,14 @@ def remove_shared_lines(
     text_col: str = "text",
     site_col: str = "source",
     min_sites: int = MIN_SITES,
-    max_share: float = MAX_SHARE,
-    copies_only: bool = False,
+    spare_whole: bool = False,
 ) -> DataFrame:
     """(row: all columns of ``docs`` with the text reduced, lines_removed) for every document.
 
     A line goes, in all documents, if equal lines (trimmed of spaces, tabs and returns) stand on ``min_sites`` sites or
-    more. A document whose shared lines hold more than ``max_share`` of its characters is left as it is; with
-    ``copies_only`` it is so only if its text stands in another row, which is near-duplicate removal's matter, or if no
-    line but blank ones would be left. Null and empty texts stay. Rows that repeat an id or a text are reduced alike.
+    more. With ``spare_whole`` a text without any other line but blank ones stays as it is, which is how copies of a document
+    look that stand on many sites: all lines of them are shared. Null and empty texts stay. Rows that repeat an id or a text
+    are reduced alike.
 
     Texts are found again by two hashes of theirs, so hot lines are joined as (line, text) hashes of few bytes and
     Spark can split them; only the last join, by text, moves texts.
@@ -79,8 +77,6 @@ def remove_shared_lines(
         .join(small(shared), ["h1", "h2"])
     )
     by_text = found.groupBy("k1", "k2").agg(F.collect_set(F.struct("h1", "h2")).alias("hits"))
-    if copies_only:
-        by_text = by_text.join(rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("rows")), ["k1", "k2"])
     hits = stored.put(by_text)
     goes = lambda x: F.array_contains(
         F.col("hits"), F.struct(F.xxhash64(_trimmed(x)).alias("h1"), F.xxhash64(F.lit(2), _trimmed(x)).alias("h2"))
@@ -88,19 +84,11 @@ def remove_shared_lines(
     joined = rows.join(hits, ["k1", "k2"], "left")
     kept = F.filter(F.split("text", "\n"), lambda x: ~goes(x))
     text = F.when(F.col("hits").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    # what goes: the lines' characters with one line feed each
-    size = F.char_length("text")
+    spared = ~F.exists(kept, lambda x: _trimmed(x) != "") if spare_whole else F.lit(False)
     before = F.size(F.split("text", "\n"))
-    spared = (F.col("rows") > 1) | ~F.exists(kept, lambda x: _trimmed(x) != "") if copies_only else F.lit(True)
-    cut = joined.select(
-        "row", "text", text.alias("new"), before.alias("before"), F.size(kept).alias("after"), "hits", spared.alias("spared")
-    )
-    heavy = F.col("spared") & ((size - F.char_length("new")) > F.lit(max_share) * size)
-    use = F.col("hits").isNotNull() & ~heavy
+    cut = joined.select("row", "text", text.alias("new"), (before - F.size(kept)).alias("gone"), (F.col("hits").isNotNull() & ~spared).alias("use"))
     fields = [
-        F.when(use, F.col("new")).otherwise(F.col("text")).alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
+        F.when(F.col("use"), F.col("new")).otherwise(F.col("text")).alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
         for c in docs.columns
     ]
-    return cut.select(
-        F.struct(*fields).alias("row"), F.when(use, F.col("before") - F.col("after")).otherwise(0).alias("lines_removed")
-    )
+    return cut.select(F.struct(*fields).alias("row"), F.when(F.col("use"), F.col("gone")).otherwise(0).alias("lines_removed"))

@@ -34,7 +34,7 @@ BLOCK = 128  # members in a block of a bucket
 SLAB = 4096  # shingles compared at once
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 WORD_CODES = B.byte_codes(5, lower=True)
-_powers = B.Powers()
+_powers = B.POWERS
 
 
 def band_shape(least: float, coords: int = COORDS, miss: float = MISS) -> tuple[int, int]:
@@ -231,7 +231,7 @@ def near_duplicates(
     )
     feats = stored.put(
         texts.mapInArrow(
-            lambda it: _features(it, width, coords, bands),
+            B.tidy(lambda it: _features(it, width, coords, bands)),
             "doc_id long, text_hash long, n_shingles long, set_1 long, set_2 long, bands array<long>",
         )
     )
@@ -252,7 +252,7 @@ def near_duplicates(
     met = stored.put(banded.join(shared, "bucket").select("bucket", "pivot", "size", "node"))
     wanted = stored.put(met.select("node").distinct())
     one_text = texts.join(small(wanted.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi")
-    sets = stored.put(one_text.mapInArrow(lambda it: _sets(it, width), "node long, shingles array<long>"))
+    sets = stored.put(one_text.mapInArrow(B.tidy(lambda it: _sets(it, width)), "node long, shingles array<long>"))
 
     pairs = met.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     both = F.size(F.array_intersect("s", "t")).cast("long")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daygrain.llm import text_queries
 from daygrain.llm.content import main_text
 from daygrain.llm.langid import held_out, identify, train
-from daygrain.llm.lines import MAX_SHARE, MIN_SITES, remove_shared_lines
+from daygrain.llm.lines import MIN_SITES, remove_shared_lines
 from daygrain.llm.mixing import PHASES, WEIGHTS, mix
 from daygrain.llm.near_text import near_duplicates
 from daygrain.llm.near_vectors import near_vectors
@@ -81,8 +81,8 @@ def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    trees = train(docs.where(~held_out()), Stored(spark))
-    return identify(docs.select("doc_id", "text"), trees).select(
+    trees = train(docs.where(~held_out()))
+    return identify(docs, trees, keep=["doc_id"]).select(
         "row.doc_id", held_out("row.doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte"
     )
 
@@ -254,14 +254,9 @@ listed AS (SELECT coalesce(list(t), []) AS gone FROM shared),
 cut AS (
     SELECT doc_id, source, text, string_split(text, chr(10)) AS parts,
            [x FOR x IN string_split(text, chr(10)) IF NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(13)))] AS kept
-    FROM documents, listed),
-sized AS (
-    SELECT *, array_to_string(kept, chr(10)) AS new,
-           length(text) - length(array_to_string(kept, chr(10))) > {MAX_SHARE} * length(text) AS heavy
-    FROM cut)
-SELECT doc_id, source, CASE WHEN heavy THEN text ELSE coalesce(new, text) END AS text,
-       CASE WHEN heavy THEN 0 ELSE coalesce(len(parts) - len(kept), 0) END AS lines_removed
-FROM sized
+    FROM documents, listed)
+SELECT doc_id, source, coalesce(array_to_string(kept, chr(10)), text) AS text, coalesce(len(parts) - len(kept), 0) AS lines_removed
+FROM cut
 """
 
 

@@ -31,7 +31,7 @@ LEAST_CHARS, LEAST_COUNT, TIMES = 6, 5, 5
 CHANGED = 199  # one run in so many loses a character
 ROTATIONS_EACH = 2_000_000  # of a sorted range
 ROUNDS = 40
-_powers = B.Powers()
+_powers = B.POWERS
 
 
 def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -30,7 +30,7 @@ from daygrain.llm.tables import Stored, small
 HOT_GROUP = 20_000
 SORT_ROWS = 4_000  # suffixes sorted together, whole groups
 ANCHOR_CODES = B.byte_codes(9)
-_powers = B.Powers()
+_powers = B.POWERS
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

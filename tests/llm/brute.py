@@ -91,7 +91,7 @@ class Ppm:
         return total
 
 
-def without_shared_lines(rows: list[tuple], min_sites: int, max_share: float) -> list[str | None]:
+def without_shared_lines(rows: list[tuple], min_sites: int, spare_whole: bool = False) -> list[str | None]:
     """New texts of rows (text, site)."""
     sites: dict[str, set] = {}
     for text, site in rows:
@@ -102,7 +102,7 @@ def without_shared_lines(rows: list[tuple], min_sites: int, max_share: float) ->
     out = []
     for text, _ in rows:
         new = None if text is None else "\n".join(x for x in text.split("\n") if x.strip(" \t\r") not in shared)
-        out.append(text if text is None or len(text) - len(new) > max_share * len(text) else new)
+        out.append(text if spare_whole and new is not None and not new.strip(" \t\r\n") else new)
     return out
 
 

@@ -31,7 +31,7 @@ def test_code_lengths_are_those_of_ppm():
 
 def test_edge_rows(spark):
     docs = cases.edge_docs(spark)
-    trees = langid.train(docs, cases.stored(spark))
+    trees = langid.train(docs)
     assert trees.languages == ["en", "fr"]
     rows = langid.identify(docs, trees).collect()
     assert len(rows) == docs.count() and rows[0].row.asDict().keys() == set(docs.columns)
@@ -46,9 +46,9 @@ def test_edge_rows(spark):
 
 def test_nothing_learned_and_no_rows(spark):
     docs = cases.edge_docs(spark)
-    nothing = langid.train(docs.where("false"), cases.stored(spark))
+    nothing = langid.train(docs.where("false"))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
-    assert langid.identify(cases.empty_docs(spark), langid.train(docs, cases.stored(spark))).count() == 0
+    assert langid.identify(cases.empty_docs(spark), langid.train(docs)).count() == 0
 
 
 def test_held_out_accuracy(spark):
@@ -67,7 +67,7 @@ def test_long_documents_do_not_end_the_sample(spark):
     for sizes in ({0: 20_001}, {1: 20_001}, {0: 30_000, 1: 15_000}):
         rows = [(i, "z" * sizes[k] if k in sizes else text(i), "en") for k, i in enumerate(ids)]
         docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-        trees = langid.train(docs, cases.stored(spark), size=20_000)
+        trees = langid.train(docs, size=20_000)
         short = [t for _, t, _ in rows if len(t) * langid.LONG <= 20_000]
         want = brute.Ppm([*short, *("z" * n for n in sizes.values() if sum(map(len, short)) + n <= 20_000)], langid.ORDER, langid.LEAST)
         probe = [text(99), "zzzz", text(ids[5])]
@@ -75,4 +75,40 @@ def test_long_documents_do_not_end_the_sample(spark):
         assert got == pytest.approx([want.bits(t) for t in probe], rel=1e-5)
     # nothing but long texts: the shortest is learned from
     only = spark.createDataFrame([(i, "q" * (30_000 + i), "en") for i in range(3)], "doc_id long, text string, lang string")
-    assert langid.train(only, cases.stored(spark), size=20_000).languages == ["en"]
+    assert langid.train(only, size=20_000).languages == ["en"]
+
+
+def test_the_sample_is_the_first_of_the_order(spark):
+    rows = [(i % 700, cases.prose(i, 3 + i % 90), ["en", "fr", "de"][min(i % 9, 2)]) for i in range(4000)]
+    docs = spark.createDataFrame([*rows, (None, "x", "en"), (1, None, "en"), (2, "y", None)], "doc_id long, text string, lang string")
+    order = {r.id: r.h for r in spark.range(700).selectExpr("id", "xxhash64(id) h").collect()}
+    for count, size in ((400, 100_000), (30, 2_000), (5000, 10**7)):
+        got = sorted((r.lang, r.text) for r in langid.sample(docs, rows=count, size=size).collect())
+        want = []
+        for lang in ("en", "fr", "de"):
+            late = lambda t: len(t) if len(t) * langid.LONG > size else 0  # noqa: E731, B023
+            own = sorted((late(t), order[i], i, t) for i, t, x in rows if x == lang)[:count]
+            at = 0
+            for k, (_, _, _, t) in enumerate(own):
+                if k == 0 or at + len(t) <= size:
+                    want.append((lang, t))
+                at += len(t)
+        assert got == sorted(want)
+
+
+def test_texts_in_languages_not_learned_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    trees = langid.train(docs.where(~langid.held_out()))
+    limit = langid.most_bits(trees, docs.where(langid.held_out()))
+    # sentences written for this test, in Finnish, Polish and Hungarian
+    other = [
+        "Kissa istuu ikkunalla ja katselee ulos, kun lumi sataa hiljaa pihalle. Pöydällä on kahvikuppi ja vanha kirja, jota kukaan ei ole lukenut.",
+        "Wczoraj wieczorem poszliśmy nad rzekę, żeby zobaczyć zachód słońca. Dzieci bawiły się w piasku, a pies pływał w chłodnej wodzie.",
+        "A kertben álló öreg diófa alatt mindig hűvös van nyáron. Nagymama ott szokott ülni, és közben zöldborsót fejt egy kék tálba.",
+    ]
+    assert 4 < limit < 10
+    table = spark.createDataFrame([(i, t * 4) for i, t in enumerate(other)], "doc_id long, text string")
+    assert langid.in_learned_language(table, trees, max_bits=limit).count() == 0
+    own = docs.where("lang is not null")
+    assert langid.in_learned_language(own, trees, max_bits=limit).count() >= 0.995 * own.count()
+    assert langid.most_bits(trees, docs.where("false")) is None

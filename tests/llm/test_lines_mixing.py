@@ -7,12 +7,12 @@ import pytest
 from daygrain.llm import lines, mixing
 
 
-@pytest.mark.parametrize(("min_sites", "max_share"), [(2, 0.5), (3, 0.9), (2, 1.0)])
-def test_shared_lines_match_brute_force(spark, min_sites, max_share):
+@pytest.mark.parametrize(("min_sites", "spare_whole"), [(2, False), (3, False), (2, True)])
+def test_shared_lines_match_brute_force(spark, min_sites, spare_whole):
     docs = cases.edge_docs(spark)
-    got = lines.remove_shared_lines(docs, cases.stored(spark), min_sites=min_sites, max_share=max_share)
+    got = lines.remove_shared_lines(docs, cases.stored(spark), min_sites=min_sites, spare_whole=spare_whole)
     rows = cases.edge_rows()
-    new = brute.without_shared_lines([(r[1], r[3]) for r in rows], min_sites, max_share)
+    new = brute.without_shared_lines([(r[1], r[3]) for r in rows], min_sites, spare_whole)
     want = Counter((r[0], t, *r[2:]) for r, t in zip(rows, new, strict=True))
     assert Counter(tuple(r.row) for r in got.collect()) == want
 
@@ -21,7 +21,7 @@ def test_counts_near_the_limit_are_exact(spark):
     rows = [(i, f"line {k}\nown {i}", f"site{i % (95 + k)}") for k in range(10) for i in range(k * 1000, k * 1000 + 200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = lines.remove_shared_lines(docs, cases.stored(spark), min_sites=100)
-    new = brute.without_shared_lines([(r[1], r[2]) for r in rows], 100, lines.MAX_SHARE)
+    new = brute.without_shared_lines([(r[1], r[2]) for r in rows], 100)
     assert sorted((r.row.doc_id, r.row.text) for r in got.collect()) == sorted(zip([r[0] for r in rows], new, strict=True))
 
 
@@ -70,14 +70,11 @@ def test_empty_tables(spark):
     assert lines.remove_shared_lines(cases.empty_docs(spark), cases.stored(spark)).count() == 0
 
 
-def test_pipeline_spares_only_copies_of_mostly_shared_texts(spark):
-    import corpus_pipeline
-
-    common = ["a long line of boilerplate that stands on every site", "another line of boilerplate on all the sites"]
-    rows = [(i, "\n".join([*common, f"own {i}"]), f"s{i}") for i in range(12)]  # mostly boilerplate, each text its own
-    rows += [(20, common[0] + "\n\n" + common[1], "s1")]  # nothing else
-    rows += [(30 + i, common[1] + "\ncopied", f"s{i}") for i in range(2)]
-    rows += [(40, None, "s1"), (41, "", "s2")]
+def test_pages_of_boilerplate_lose_their_shared_lines(spark):
+    shared = [f"shared line {k}" for k in range(8)]
+    rows = [(i, "\n".join([*shared, f"own {i}"]) if i < 60 else "\n".join(shared), f"s{i % 12}") for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
-    assert got == {i: f"own {i}" if i < 12 else t for i, t, _ in rows}
+    for spare in (False, True):
+        got = {r.row.doc_id: r.row.text for r in lines.remove_shared_lines(docs, cases.stored(spark), spare_whole=spare).collect()}
+        assert all(got[i] == f"own {i}" for i in range(60))
+        assert all(got[i] == ("\n".join(shared) if spare else "") for i in range(60, 80))

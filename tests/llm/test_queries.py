@@ -20,7 +20,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(queries.ORACLE) <= set(contract.oracle_sql())
 
 
@@ -43,28 +43,35 @@ def test_pipeline_matches_a_plain_version(spark):
     # language: the trees are frozen statistics; each text is scored by dictionaries
     import zlib
 
-    labelled = {}
-    for d in docs:
-        if d["lang"] is not None and d["text"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 3 != 1:
-            labelled.setdefault(d["lang"], []).append(d)
     order = {r.doc_id: r.h for r in spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("doc_id", "xxhash64(doc_id) h").collect()}
-    models = []
-    for _, rows in sorted(labelled.items()):
-        rows, size, texts = sorted(rows, key=lambda d: (order[d["doc_id"]], d["doc_id"]))[: langid.SAMPLE_ROWS], 0, []
-        for d in rows:
-            n = len(d["text"].encode())
-            if size == 0 or size + n <= langid.SAMPLE_BYTES:
-                texts.append(d["text"])
-            size += n
-        models.append(brute.Ppm(texts, langid.ORDER, langid.LEAST))
+
+    def sample(held):
+        """Texts by language of one of the two parts of the labelled documents."""
+        chosen = {}
+        for d in docs:
+            if d["lang"] is not None and d["text"] is not None and (zlib.crc32(str(d["doc_id"]).encode()) % 3 == 1) == held:
+                n = len(d["text"].encode())
+                chosen.setdefault(d["lang"], []).append((n if n * langid.LONG > langid.SAMPLE_BYTES else 0, order[d["doc_id"]], d["doc_id"], n, d["text"]))
+        out = {}
+        for lang, rows in chosen.items():
+            size, out[lang] = 0, []
+            for *_, n, text in sorted(rows)[: langid.SAMPLE_ROWS]:
+                if size == 0 or size + n <= langid.SAMPLE_BYTES:
+                    out[lang].append(text)
+                size += n
+        return out
+
+    models = [brute.Ppm(texts, langid.ORDER, langid.LEAST) for _, texts in sorted(sample(False).items())]
+    bits = lambda text: min(m.bits(text) for m in models)
+    known = lambda text: any(c.isalpha() for c in text or "")
+    rates = [bits(t) / len(t.encode()) for texts in sample(True).values() for t in texts if known(t)]
+    limit = np.quantile(rates, langid.QUANTILE) * langid.MARGIN
 
     def stays(text):
-        if not any(c.isalpha() for c in text or ""):
-            return False
-        return min(m.bits(text) for m in models) / len(text.encode()) < langid.MAX_BITS
+        return known(text) and bits(text) <= limit * len(text.encode()) + langid.SLACK_BITS
 
     short = [d for d in docs if stays(d["text"])]
-    new = brute.without_shared_lines([(d["text"], d["source"]) for d in short], lines.MIN_SITES, lines.MAX_SHARE)
+    new = brute.without_shared_lines([(d["text"], d["source"]) for d in short], lines.MIN_SITES, True)
     texts = [(d["doc_id"], t, d["source"]) for d, t in zip(short, new, strict=True)]
     kept = {i for i, _, _, keep in brute.near_text([t[:2] for t in texts], 5, 80, 100) if keep}
     texts = [t for t in texts if t[0] in kept]
