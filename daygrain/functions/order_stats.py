@@ -1,11 +1,11 @@
 """Exact order statistics that stay balanced when one group holds most of the rows.
 
 ``percentile`` keeps every distinct value of a group in one buffer. That is fine
-for ordinary groups, so those use it. A group above a row limit is instead cut into value
-slices while it is scanned: slice totals (combined before the shuffle) locate the slice
-that holds the wanted rank, and only rows of that slice are shuffled and ordered.
-Slice borders come from a quantile sketch; they steer balance only, the result is
-exact whatever they are.
+for ordinary groups, so those use it. A group above a row limit is instead narrowed down in rounds: a sketch of
+the group's own values gives borders, slice totals (combined before the shuffle) locate the slice
+that holds the wanted rank, and a slice that is still above the limit is cut again by its own borders. Each border is a
+slice of its own, so a value that repeats without end is found as such. At last the rows of slices within the limit are
+shuffled and ordered. The result is exact whatever the borders are.
 """
 
 from __future__ import annotations
@@ -20,26 +20,24 @@ from pyspark.sql import functions as F
 
 from daygrain.functions.storage import reliable
 
-HOT_ROWS = 250_000  # groups up to this many values use one percentile buffer
-MAX_HOT = 200_000  # upper bound on the number of groups treated as hot
-SLICES = 1024
+HOT_ROWS = 250_000  # groups, and slices, up to this many values are ordered in one task
+MAX_HOT = 200_000  # up to this many hot groups are joined by broadcast, more of them by key
+SLICES = 1024  # of a whole table
+CUTS = 64  # borders of one slice and round
+ROUNDS = 24
 SKETCH_SIZE = 1024
 MERGE_PARTS = 256
 
 
-def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int) -> DataFrame | None:
-    """Groups above the row limit as (keys, ``_size``, ``_limit``), or None: the size check.
+def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Groups above the row limit as (keys, ``_size``), or None: the size check.
 
-    One counting job that reads only the key columns. The limit grows with the table,
-    so fewer than ``max_hot`` groups can pass it, which bounds every later broadcast
-    of the result; the few rows are stored so that plans using them stay short.
+    One counting job that reads only the key columns. The few rows are stored so that plans using them stay short.
     """
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
-    shape = sizes.agg(F.sum("_size").alias("total"), F.max("_size").alias("largest")).first()
-    limit = max(float(hot_rows), (shape["total"] or 0) / max_hot)
-    if (shape["largest"] or 0) <= limit:
+    if (sizes.agg(F.max("_size")).first()[0] or 0) <= hot_rows:
         return None
-    return reliable(sizes.where(F.col("_size") > limit).withColumn("_limit", F.lit(limit)))
+    return reliable(sizes.where(F.col("_size") > hot_rows))
 
 
 def slice_borders(df: DataFrame, value: str, slices: int = SLICES) -> list[float]:
@@ -79,65 +77,148 @@ def with_slice(df: DataFrame, value: str, borders: Sequence[float]) -> DataFrame
     return out.drop("_borders")
 
 
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Broadcast join that also matches null keys. ``right`` must have a proven size bound."""
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, few: bool) -> DataFrame:
+    """Join that also matches null keys, by broadcast if ``right`` was found to have ``few`` rows."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
     same = [left[key].eqNullSafe(renamed[f"_r_{key}"]) for key in keys]
-    return left.join(F.broadcast(renamed), reduce(and_, same), how)
+    return left.join(F.broadcast(renamed) if few else renamed, reduce(and_, same), how)
+
+
+def _inside(present: DataFrame, cells: DataFrame, keys: Sequence[str], value: str, few: bool) -> DataFrame:
+    """The rows in each cell, with the cell's columns but for its keys. A row may lie in a cell per rank."""
+    d = F.col(value).cast("double")
+    right = cells.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in cells.columns if c not in keys])
+    condition = [present[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]
+    above, below = F.col("_low").isNull() | (d > F.col("_low")), F.col("_high").isNull() | (d < F.col("_high"))
+    condition.append(F.when(F.col("_point"), d == F.col("_low")).otherwise(above & below))
+    return present.join(F.broadcast(right) if few else right, reduce(and_, condition)).drop(*[f"_r_{k}" for k in keys])
+
+
+def _steps_below(borders: Column, value: Column, most: int) -> Column:
+    """The number of borders below the value, by binary search in steps."""
+    at, step = F.lit(0), 1 << (most.bit_length() - 1)
+    while step:
+        ahead = at + F.lit(step)
+        at = F.when(F.try_element_at(borders, ahead) < value, ahead).otherwise(at)
+        step //= 2
+    return at
+
+
+def locate(
+    present: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column], cell_rows: int, cuts: int, max_hot: int
+) -> tuple[DataFrame, int]:
+    """Per group and rank the cell that holds it, and the number of rounds: (keys, _n, _name, _rank, _id, _low, _high, _point,
+    _start, _size, _value).
+
+    A cell is an open interval of values, or one value (``_point``), with the number of values before it (``_start``). ``_value``
+    is set where all values of the cell are equal; other cells have ``cell_rows`` rows at most.
+    """
+    wanted = F.inline(F.array(*[F.struct(F.lit(name).alias("_name"), rank.cast("long").alias("_rank")) for name, rank in ranks.items()]))
+    groups = present.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(value).alias("_least"), F.max(value).alias("_most"))
+    numbered = groups.withColumn("_id", F.monotonically_increasing_id().cast("string"))
+    nothing = F.lit(None).cast("double")
+    cells = reliable(
+        numbered.select("*", wanted)
+        .where("_rank >= 0 and _rank < _n")
+        .select(
+            *keys, "_n", "_name", "_rank", "_id", nothing.alias("_low"), nothing.alias("_high"), F.lit(False).alias("_point"),
+            F.lit(0).cast("long").alias("_start"), F.col("_n").alias("_size"), F.when(F.col("_least") == F.col("_most"), F.col("_most")).alias("_value"),
+        )
+    )
+    too_large = (F.col("_size") > cell_rows) & F.col("_value").isNull() & ~F.col("_point")
+    for done in range(ROUNDS):
+        cell = [*keys, "_id", "_low", "_high", "_point", "_start"]
+        cut = cells.where(too_large).select(*cell).distinct()
+        count = cut.count()
+        if not count:
+            return cells, done
+        few = count <= max_hot
+        marks = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+        part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("_part")
+        # quantile sketches are merged in two steps, so no task receives one from every scan task
+        borders = (
+            _inside(present, cut, keys, value, few)
+            .select("_id", F.col(value).cast("double").alias("_b"), part)
+            .groupBy("_id", "_part")
+            .agg(F.kll_sketch_agg_double("_b", F.lit(SKETCH_SIZE)).alias("_s"))
+            .groupBy("_id")
+            .agg(F.kll_merge_agg_double("_s", F.lit(SKETCH_SIZE)).alias("_s"))
+            .select("_id", F.array_distinct(F.array_sort(F.kll_sketch_get_quantile_double("_s", marks))).alias("_borders"))
+        )
+        # stored, because a sketch may differ between runs and every use must see the same borders
+        lined = reliable(cut.join(borders, "_id").select(*cell, "_borders"))
+        d = F.col(value).cast("double")
+        below = _steps_below(F.col("_borders"), d, cuts)
+        at_border = F.coalesce(F.try_element_at("_borders", F.col("_below") + 1) == d, F.lit(False))
+        sliced = (
+            _inside(present, lined, keys, value, few)
+            .withColumn("_below", below)
+            .withColumn("_at", at_border)
+            .groupBy("_id", "_below", "_at")
+            .agg(F.count("*").alias("_c"), F.min(value).alias("_least"), F.max(value).alias("_most"))
+        )
+        upto = F.sum("_c").over(W.partitionBy("_id").orderBy("_below", "_at"))
+        edge = lambda k: F.when(k > 0, F.try_element_at("_borders", k))
+        parts = sliced.withColumn("_upto", upto).join(lined.select("_id", "_low", "_high", "_start", "_borders"), "_id").select(
+            F.col("_id").alias("_of"), F.concat_ws(".", "_id", "_below", "_at").alias("_new_id"),
+            F.when(F.col("_at"), F.try_element_at("_borders", F.col("_below") + 1)).otherwise(F.coalesce(edge(F.col("_below")), "_low")).alias("_new_low"),
+            F.coalesce(edge(F.col("_below") + 1), "_high").alias("_new_high"), F.col("_at").alias("_new_point"),
+            (F.col("_start") + F.col("_upto") - F.col("_c")).alias("_new_start"), F.col("_c").alias("_new_size"),
+            F.when(F.col("_least") == F.col("_most"), F.col("_most")).alias("_new_value"),
+        )
+        holds = (F.col("_rank") >= F.col("_new_start")) & (F.col("_rank") < F.col("_new_start") + F.col("_new_size"))
+        moved = cells.where(too_large).join(parts, (F.col("_id") == F.col("_of")) & holds)
+        changed = ("_id", "_low", "_high", "_point", "_start", "_size", "_value")
+        moved = moved.select(*keys, "_n", "_name", "_rank", *[F.col(f"_new{c}").alias(c) for c in changed])
+        cells = reliable(cells.where(~too_large).unionByName(moved))
+    raise RuntimeError("slices did not get smaller")
 
 
 def ranked_values(
-    rows: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column], slices: int = SLICES
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Mapping[str, Column],
+    cell_rows: int = HOT_ROWS,
+    cuts: int = CUTS,
+    max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """Values at given 0-based ranks per group; the rank columns may use ``_n`` (group rows)."""
+    """(keys, _n, a column per rank): values at given 0-based ranks per group; the rank columns may use ``_n`` (group rows).
+
+    A rank outside the group has no value. Groups without values, or with all ranks outside, have no row.
+    """
     keys = list(keys)
     present = rows.where(F.col(value).isNotNull()).select(*keys, value)
-    sliced = with_slice(present, value, slice_borders(present, value, slices))
-    by_slice = W.partitionBy(*keys).orderBy("_slice")
-    located = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.count("*").alias("_cell"))
-        .withColumn("_n", F.sum("_cell").over(W.partitionBy(*keys)))
-        .withColumn("_end", F.sum("_cell").over(by_slice))
-        .withColumn("_start", F.col("_end") - F.col("_cell"))
-        .withColumns({f"_rank_{name}": rank.cast("long") for name, rank in ranks.items()})
-    )
-    rank_cols = [f"_rank_{name}" for name in ranks]
-    holds = F.lit(False)
-    for col in rank_cols:
-        holds = holds | ((F.col(col) >= F.col("_start")) & (F.col(col) < F.col("_end")))
-    # at most one slice per group and rank, and the number of hot groups is bounded
-    wanted = located.where(holds).select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_slice").alias("_r_slice"), "_start", "_n", *rank_cols
-    )
-    same = [sliced[key].eqNullSafe(wanted[f"_r_{key}"]) for key in keys]
-    condition = reduce(and_, same, sliced["_slice"] == wanted["_r_slice"])
-    in_cell = W.partitionBy(*keys, "_slice").orderBy(value)
+    cells, _ = locate(present, keys, value, ranks, cell_rows, cuts, max_hot)
+    settled = F.col("_value").isNotNull()
+    last = cells.where(~settled).select(*keys, "_id", "_low", "_high", "_point", "_start").distinct()
+    few = last.count() <= max_hot
+    in_cell = W.partitionBy("_id").orderBy(value)
     placed = (
-        sliced.join(F.broadcast(wanted), condition, "inner")
-        .groupBy(*keys, "_slice", value)
-        .agg(F.count("*").alias("_c"), *[F.max(c).alias(c) for c in ("_start", "_n", *rank_cols)])
+        _inside(present, last, keys, value, few)
+        .groupBy("_id", "_start", value)
+        .agg(F.count("*").alias("_c"))
         .withColumn("_upto", F.col("_start") + F.sum("_c").over(in_cell))
+        .select("_id", F.col(value).alias("_found"), (F.col("_upto") - F.col("_c")).alias("_first"), "_upto")
     )
-    first = F.col("_upto") - F.col("_c")
-    return placed.groupBy(*keys).agg(
-        F.max("_n").alias("_n"),
-        *[
-            F.max(F.when((F.col(col) >= first) & (F.col(col) < F.col("_upto")), F.col(value))).alias(name)
-            for name, col in zip(ranks, rank_cols, strict=True)
-        ],
+    asked = cells.where(~settled).alias("a")
+    holds = (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_upto"))
+    found = asked.join(placed.withColumnRenamed("_id", "_of"), (F.col("_id") == F.col("_of")) & holds)
+    both = found.select(*keys, "_n", "_name", "_found").unionByName(
+        cells.where(settled).select(*keys, "_n", "_name", F.col("_value").alias("_found"))
+    )
+    return both.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), *[F.max(F.when(F.col("_name") == name, F.col("_found"))).alias(name) for name in ranks]
     )
 
 
-def _sliced_percentiles(
-    rows: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], slices: int
-) -> DataFrame:
+def _sliced_percentiles(rows: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], **limits: int) -> DataFrame:
     ranks = {}
     for name, p in probs.items():
         place = (F.col("_n") - 1) * F.lit(float(p))
         ranks[f"_lo_{name}"] = F.floor(place)
         ranks[f"_hi_{name}"] = F.ceil(place)
-    found = ranked_values(rows, keys, value, ranks, slices)
+    found = ranked_values(rows, keys, value, ranks, **limits)
     out = []
     for name, p in probs.items():
         place = (F.col("_n") - 1) * F.lit(float(p))
@@ -156,7 +237,7 @@ def exact_percentiles(
     aggs: Sequence[Column] = (),
     hot_rows: int = HOT_ROWS,
     max_hot: int = MAX_HOT,
-    slices: int = SLICES,
+    cuts: int = CUTS,
 ) -> DataFrame:
     """Per group: linear-interpolated percentiles of ``value`` plus any further aggregates.
 
@@ -165,15 +246,16 @@ def exact_percentiles(
     group = list(keys) or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(0))
     rows = rows.withColumn("_v", F.col(value).cast("double"))
-    hot = find_hot(rows, group, hot_rows, max_hot)
+    hot = find_hot(rows, group, hot_rows)
+    few = hot is None or hot.count() <= max_hot
 
-    ordinary = rows if hot is None else _match(rows, hot, group, "left_anti")
+    ordinary = rows if hot is None else _match(rows, hot, group, "left_anti", few)
     result = ordinary.groupBy(*group).agg(
         *aggs, *[F.percentile("_v", float(p)).alias(name) for name, p in probs.items()]
     )
     if hot is not None:
-        hot_part = _match(rows, hot, group, "left_semi")
-        sliced = _sliced_percentiles(hot_part, group, "_v", probs, slices)
+        hot_part = _match(rows, hot, group, "left_semi", few)
+        sliced = _sliced_percentiles(hot_part, group, "_v", probs, cell_rows=hot_rows, cuts=cuts, max_hot=max_hot)
         # one row per hot group, matched with null keys equal
         others = hot_part.groupBy(*group).agg(F.count("*").alias("_size"), *aggs)
         names = [c for c in others.columns if c not in group and c != "_size"]
@@ -184,9 +266,11 @@ def exact_percentiles(
     return result if keys else result.drop("_all")
 
 
-def exact_percentile_of_table(
-    df: DataFrame, value: str, probs: Mapping[str, float], **limits: int
-) -> DataFrame:
-    """One row of percentiles over the whole table; nulls when it is empty."""
-    found = exact_percentiles(df.select(value), [], value, probs, **limits)
+def exact_percentile_of_table(df: DataFrame, value: str, probs: Mapping[str, float], hot_rows: int = HOT_ROWS, **limits: int) -> DataFrame:
+    """One row of percentiles over the whole table; nulls when it is empty.
+
+    No size check: the count of the first round tells whether the table is within the limit.
+    """
+    rows = df.select(F.lit(0).alias("_all"), F.col(value).cast("double").alias("_v"))
+    found = _sliced_percentiles(rows, ["_all"], "_v", probs, cell_rows=hot_rows, **limits)
     return found.agg(*[F.max(name).alias(name) for name in probs])

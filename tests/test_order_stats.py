@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from daygrain.functions.order_stats import exact_percentile_of_table, exact_percentiles, find_hot, ranked_values
+from daygrain.functions.order_stats import exact_percentile_of_table, exact_percentiles, find_hot, locate, ranked_values
 from daygrain.functions.skew import salted_lookup, spread_lookup
 from daygrain.operators.model import auc
 
@@ -29,7 +29,7 @@ def test_grouped_percentiles_equal_numpy(skewed, hot_rows):
     frame, df = skewed
     got = exact_percentiles(
         df, ["k"], "v", {"p95": 0.95, "p50": 0.5, "p0": 0.0, "p1": 1.0}, [F.sum("w").alias("w")],
-        hot_rows=hot_rows, max_hot=10**6, slices=16,
+        hot_rows=hot_rows, cuts=16,
     ).collect()
     groups = frame.groupby("k", dropna=False)
     assert len(got) == groups.ngroups
@@ -44,7 +44,7 @@ def test_grouped_percentiles_equal_numpy(skewed, hot_rows):
 @pytest.mark.parametrize("hot_rows", [10**6, 10])
 def test_table_percentile(skewed, hot_rows):
     frame, df = skewed
-    row = exact_percentile_of_table(df, "v", {"a": 0.85, "b": 0.05}, hot_rows=hot_rows, max_hot=10**6, slices=32).first()
+    row = exact_percentile_of_table(df, "v", {"a": 0.85, "b": 0.05}, hot_rows=hot_rows, cuts=32).first()
     assert row["a"] == pytest.approx(np.percentile(frame.v.dropna(), 85), abs=1e-9)
     assert row["b"] == pytest.approx(np.percentile(frame.v.dropna(), 5), abs=1e-9)
 
@@ -56,21 +56,20 @@ def test_table_percentile_of_nothing(spark):
 
 def test_all_values_equal(spark):
     df = spark.range(500).select(F.lit(1).alias("k"), F.lit(3.5).alias("v"))
-    row = exact_percentiles(df, ["k"], "v", {"m": 0.5}, hot_rows=10, max_hot=10**6, slices=8).first()
+    row = exact_percentiles(df, ["k"], "v", {"m": 0.5}, hot_rows=10, cuts=8).first()
     assert row["m"] == 3.5
 
 
-def test_hot_limit_grows_with_the_table(skewed):
-    _, df = skewed
-    assert find_hot(df, ["k"], 10**6, 100) is None
-    hot = find_hot(df, ["k"], 1, 10).collect()
-    assert 0 < len(hot) < 10
-    assert all(r["_size"] > r["_limit"] == 600.0 for r in hot)
+def test_hot_groups_are_those_above_the_limit(skewed):
+    frame, df = skewed
+    assert find_hot(df, ["k"], 10**6) is None
+    sizes = {k if k == k else None: n for k, n in frame.groupby("k", dropna=False).size().items()}
+    assert {r["k"]: r["_size"] for r in find_hot(df, ["k"], 80).collect()} == {k: n for k, n in sizes.items() if n > 80}
 
 
 def test_ranked_values_by_group(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 1000).alias("v"))
-    got = {r["g"]: r["x"] for r in ranked_values(df, ["g"], "v", {"x": F.lit(10)}, slices=8).collect()}
+    got = {r["g"]: r["x"] for r in ranked_values(df, ["g"], "v", {"x": F.lit(10)}, cell_rows=5, cuts=8).collect()}
     pdf = df.toPandas()
     assert got == {g: sorted(part.v)[10] for g, part in pdf.groupby("g")}
 
@@ -133,3 +132,32 @@ def test_sliced_and_buffered_percentiles_agree_to_the_last_bit(spark):
     plain = {r["g"]: tuple(r[p] for p in probs) for r in exact_percentiles(df, ["g"], "v", probs).collect()}
     sliced = {r["g"]: tuple(r[p] for p in probs) for r in exact_percentiles(df, ["g"], "v", probs, hot_rows=1).collect()}
     assert plain == sliced and len(plain) == 7
+
+
+@pytest.mark.parametrize("max_hot", [10**6, 0])
+def test_slices_above_the_limit_are_cut_again(spark, max_hot):
+    rng = np.random.default_rng(8)
+    # half of the rows of group 1 in a narrow band, a value that repeats over the limit, and groups of other scales
+    band = np.concatenate([1 + rng.random(6000) * 1e-6, rng.lognormal(0, 9, 3000), np.full(3000, 7.0)])
+    other = [-(10.0 ** rng.integers(0, 12)) * x for x in rng.random(3000)]
+    rows = [(1, float(x)) for x in band] + [(None, float(x)) for x in other] + [(3, 5.0)] * 900 + [(4, float(x)) for x in range(90)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(7)
+    wanted = (0.0, 0.1, 0.25, 0.5, 0.6, 0.75, 0.9, 1.0)
+    ranks = {f"r{i}": F.floor((F.col("_n") - 1) * p) for i, p in enumerate(wanted)}
+    cells, rounds = locate(df, ["k"], "v", ranks, 100, 8, max_hot)
+    assert rounds >= 2
+    assert cells.where("_value is null").agg(F.max("_size")).first()[0] <= 100
+    got = {r["k"]: r for r in ranked_values(df, ["k"], "v", ranks, cell_rows=100, cuts=8, max_hot=max_hot).collect()}
+    for k in (1, None, 3, 4):
+        values = sorted(v for x, v in rows if x == k)
+        assert got[k]["_n"] == len(values)
+        assert [got[k][f"r{i}"] for i in range(len(wanted))] == [values[int((len(values) - 1) * p)] for p in wanted]
+
+
+def test_long_values_beyond_doubles(spark):
+    rows = [(2**60 + i % 50,) for i in range(2000)] + [(-(2**61) - i,) for i in range(300)]
+    df = spark.createDataFrame(rows, "v long").withColumn("g", F.lit("a"))
+    ranks = {"x": F.lit(1000), "y": F.lit(5), "none": F.lit(-1), "over": F.lit(10**6)}
+    row = ranked_values(df, ["g"], "v", ranks, cell_rows=20, cuts=8).first()
+    values = sorted(v for (v,) in rows)
+    assert (row["x"], row["y"], row["none"], row["over"]) == (values[1000], values[5], None, None)
