@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -76,6 +77,16 @@ def _split_at(df: DataFrame, first: date | None, day: str) -> tuple[DataFrame, D
     return df.where(F.to_date(day) < F.lit(first)), df.where(F.to_date(day) >= F.lit(first))
 
 
+def _take(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Exactly ``n`` of rows that may all be equal, and the others. Rows are counted off range by range of the stored table."""
+    place = F.monotonically_increasing_id()
+    fixed = reliable(rows.withColumns({"_part": F.shiftright(place, 33), "_at": place.bitwiseAND(F.lit((1 << 33) - 1))}))
+    sizes = fixed.groupBy("_part").agg(F.count("*").alias("_c"))  # one row per range
+    starts = sizes.select("_part", (F.sum("_c").over(W.orderBy("_part")) - F.col("_c")).alias("_before"))
+    both = fixed.join(F.broadcast(starts), "_part").withColumn("_taken", F.col("_before") + F.col("_at") < n)
+    return both.where("_taken").select(*rows.columns), both.where(~F.col("_taken")).select(*rows.columns)
+
+
 def _split_by_hash(
     df: DataFrame, target: str, keys: Sequence[str], seed: int, wanted: dict[int, int]
 ) -> tuple[DataFrame, DataFrame]:
@@ -92,19 +103,17 @@ def _split_by_hash(
     last = F.lit(-1)
     for label, n in wanted.items():
         last = F.when(F.col("_y") == label, F.lit(n - 1)).otherwise(last)
-    borders = ranked_values(hashed.select("_y", "_h"), ["_y"], "_h", {"_border": last}).select("_y", "_border")
+    borders = reliable(ranked_values(hashed.select("_y", "_h"), ["_y"], "_h", {"_border": last}).select("_y", "_border"))
     both = hashed.join(F.broadcast(borders), "_y", "left")
-    below = both.groupBy("_y").agg(F.count_if(F.col("_h") < F.col("_border")).alias("_below"))
-    size = F.lit(0)
+    below = both.where(F.col("_h") < F.col("_border"))
+    before = {r["_y"]: r["n"] for r in below.groupBy("_y").agg(F.count("*").alias("n")).collect()}  # a row per class
+    at_border = both.where(F.col("_h") == F.col("_border"))
+    train = both.where(F.coalesce(F.col("_h") > F.col("_border"), F.lit(True))).select(*df.columns)
+    test = below.select(*df.columns)
     for label, n in wanted.items():
-        size = F.when(F.col("_y") == label, F.lit(n)).otherwise(size)
-    at_border = W.partitionBy("_y", "_h").orderBy("_h")
-    placed = both.where(F.col("_h") == F.col("_border")).withColumn("_place", F.row_number().over(at_border))
-    placed = reliable(placed.join(F.broadcast(below), "_y").withColumn("_test", F.col("_below") + F.col("_place") <= size))
-    above = both.where(F.coalesce(F.col("_h") > F.col("_border"), F.lit(True)))
-    train = above.select(*df.columns).unionByName(placed.where(~F.col("_test")).select(*df.columns))
-    test = both.where(F.col("_h") < F.col("_border")).select(*df.columns)
-    return train, test.unionByName(placed.where("_test").select(*df.columns))
+        taken, rest = _take(at_border.where(F.col("_y") == label).select(*df.columns), n - before.get(label, 0))
+        test, train = test.unionByName(taken), train.unionByName(rest)
+    return train, test
 
 
 def stratified_split(
@@ -214,7 +223,7 @@ def class_weights(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def train_risk_model(
-    train: DataFrame, target: str = TARGET, names: Names = GENERIC, max_iter: int = 1000
+    train: DataFrame, target: str = TARGET, names: Names = GENERIC, max_iter: int = 1000, tol: float = 1e-12
 ) -> PipelineModel:
     """L2 logistic regression with balanced classes.
 
@@ -234,6 +243,7 @@ def train_risk_model(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
     )
     stages = encode_features(train, target, names, n).getStages()
     return Pipeline(stages=[*stages, regression]).fit(labelled)
@@ -378,8 +388,11 @@ def group_metrics(
     )
 
 
-def model_coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """(feature, coef) rows, read from the fitted model and the vector metadata."""
+INTERCEPT = "(intercept)"
+
+
+def model_coefficients(model: PipelineModel, df: DataFrame, intercept: bool = False) -> DataFrame:
+    """(feature, coef) rows, read from the fitted model and the vector metadata; with ``intercept`` a row for that as well."""
     attributes = model.transform(df.limit(0)).schema["_features"].metadata["ml_attr"]["attrs"]
     slots = {a["idx"]: a["name"] for kind in attributes.values() for a in kind}
     numeric = next((s.getInputCols() for s in model.stages if isinstance(s, VectorAssembler)), [])
@@ -389,9 +402,79 @@ def model_coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
         if name.startswith("_scaled_"):
             name = numeric[int(name.removeprefix("_scaled_"))]
         rows.append((name.removeprefix("_hot_"), float(coef)))
+    if intercept:
+        rows.append((INTERCEPT, float(model.stages[-1].intercept)))
     return df.sparkSession.createDataFrame(rows, "feature string, coef double")
 
 
+def feature_scales(train: DataFrame, target: str = TARGET, names: Names = GENERIC) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation of each numeric feature over the rows with a target."""
+    numeric = [c for c in feature_columns(train, target, names) if dict(train.dtypes)[c] != "string"]
+    labelled = train.where(F.col(target).isNotNull())
+    sums = [f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(numeric) for k, f in (("m", F.avg), ("s", F.stddev_pop))]
+    row = labelled.agg(*sums).first() if sums else {}
+    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(numeric)}
+
+
+def encoded_values(
+    df: DataFrame, scales: Mapping[str, tuple[float, float]], target: str = TARGET, names: Names = GENERIC
+) -> Column:
+    """A row's features as (feature, value) pairs under the names of ``model_coefficients``: numbers standardised, each
+    category one, the intercept one. This is the encoding of ``encode_features`` in plain expressions."""
+    pair = lambda name, value: F.struct(name.alias("feature"), value.alias("value"))
+    pairs = [pair(F.lit(INTERCEPT), F.lit(1.0))]
+    for c in feature_columns(df, target, names):
+        if c in scales:
+            mean, deviation = scales[c]
+            value = (F.col(c).cast("double") - F.lit(mean)) / F.lit(deviation) if deviation else F.lit(0.0)
+            pairs.append(pair(F.lit(c), value))
+        else:
+            pairs.append(pair(F.concat(F.lit(f"{c}_"), F.col(c)), F.lit(1.0)))
+    return F.array(*pairs)
+
+
+def with_logistic_risk(df: DataFrame, coefficients: DataFrame, values: str, col: str = RISK) -> DataFrame:
+    """``df`` with the probability from (feature, coef) rows, a few for each column of the table, and the pairs in ``values``.
+    A feature without coefficient adds nothing."""
+    table = coefficients.agg(F.map_from_entries(F.collect_list(F.struct("feature", "coef")))).scalar()
+    held = df.withColumn("_coefs", table)
+    add = lambda z, x: z + F.coalesce(F.try_element_at("_coefs", x["feature"]), F.lit(0.0)) * x["value"]
+    return held.withColumn(col, 1.0 / (1.0 + F.exp(-F.aggregate(values, F.lit(0.0), add)))).drop("_coefs")
+
+
+def loss_gradient(
+    coefficients: DataFrame, train: DataFrame, target: str = TARGET, names: Names = GENERIC, penalty: float = 1.0
+) -> DataFrame:
+    """(feature, gradient) of the mean class-weighted log loss with the L2 penalty at the coefficients, intercept included.
+
+    All zeros where the coefficients are the model's optimum, whatever found them. The sums are combined before the shuffle.
+    """
+    labelled = train.where(F.col(target).isNotNull())
+    scales = feature_scales(train, target, names)
+    weights = class_weights(train, target).select(F.col("label").alias("_label"), F.col("weight").alias("_weight"))
+    rows = labelled.select(F.col(target).cast("int").alias("_label"), encoded_values(labelled, scales, target, names).alias("_x"))
+    encoded = rows.join(F.broadcast(weights), "_label")  # one row per class
+    residual = F.col("_weight") * (F.col("_p") - F.col("_label"))
+    sums = (
+        with_logistic_risk(encoded, coefficients, "_x", "_p")
+        .select(residual.alias("_r"), F.inline("_x"))
+        .groupBy("feature")
+        .agg(F.sum(F.col("_r") * F.col("value")).alias("_sum"))
+    )
+    n = labelled.agg(F.count("*").alias("n")).scalar()
+    pull = F.when(F.col("feature") == INTERCEPT, 0.0).otherwise(penalty * F.coalesce("coef", F.lit(0.0)))
+    return coefficients.join(sums, "feature", "full").select(
+        "feature", ((F.coalesce("_sum", F.lit(0.0)) + pull) / n).alias("gradient")
+    )
+
+
+def feature_fingerprint(df: DataFrame, target: str = TARGET, names: Names = GENERIC) -> str:
+    """Digest of what a model is fitted on: target, names and types of the feature columns."""
+    kinds = dict(df.dtypes)
+    listed = [f"{c}:{'text' if kinds[c] == 'string' else 'number'}" for c in feature_columns(df, target, names)]
+    return hashlib.sha256("\n".join([target, *listed]).encode()).hexdigest()
+
+
 def top_features(model: PipelineModel, df: DataFrame, k: int = 15) -> DataFrame:
     """The ``k`` features with the largest coefficients by size."""
     return model_coefficients(model, df).orderBy(F.desc(F.abs("coef")), "feature").limit(k)

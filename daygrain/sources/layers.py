@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daygrain.names import ROADS, Names
 from daygrain.operators.aggregates import build_entity_day, enrich_incident
 from daygrain.operators.clean import clean_sources
+from daygrain.operators.model import TARGET, feature_fingerprint, train_risk_model
 from daygrain.sources.readers import load_sources
 
 
@@ -61,10 +65,10 @@ def curate(
 
 
 def run_layers(
-    spark: SparkSession, raw_dir: str, out_dir: str, batch: str, extracted_at: str, names: Names = ROADS
+    spark: SparkSession, raw_dir: str, out_dir: str, batch: str, extracted_at: str, names: Names = ROADS, **options
 ) -> dict[str, DataFrame]:
-    """raw CSV → staged (with lineage) → curated, both as parquet under ``out_dir``."""
-    sources = load_sources(spark, raw_dir, batch, extracted_at)
+    """raw CSV → staged (with lineage) → curated, both as parquet under ``out_dir``; ``options`` as for ``load_sources``."""
+    sources = load_sources(spark, raw_dir, batch, extracted_at, **options)
     write_layer(sources, f"{out_dir}/staged")
     staged = read_layer(spark, f"{out_dir}/staged", list(sources))
     return curate(spark, staged, f"{out_dir}/curated", names)
@@ -87,3 +91,29 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_or_fit(
+    train: DataFrame, path: str, target: str = TARGET, names: Names = ROADS, **options: int
+) -> tuple[PipelineModel, bool]:
+    """The model stored under ``path``, and False; or one fitted on ``train`` and stored there, and True.
+
+    It is fitted if there is none, if it does not load, or if the fingerprint stored beside it tells that it was fitted
+    on other columns. ``options`` go to ``train_risk_model``.
+    """
+    wanted = feature_fingerprint(train, target, names)
+    stored = _stored_model(train.sparkSession, path, wanted)
+    if stored is not None:
+        return stored, False
+    model = train_risk_model(train, target, names, **options)
+    save_model(model, f"{path}/model")
+    train.sparkSession.range(1).select(F.lit(wanted).alias("columns")).write.mode("overwrite").parquet(f"{path}/fitted_on")
+    return model, True
+
+
+def _stored_model(spark: SparkSession, path: str, wanted: str) -> PipelineModel | None:
+    try:
+        row = spark.read.parquet(f"{path}/fitted_on").first()
+        return load_model(f"{path}/model") if row and row["columns"] == wanted else None
+    except (PySparkException, Py4JJavaError, KeyError, ValueError):  # absent or damaged
+        return None

@@ -200,3 +200,26 @@ def test_whole_numbers_written_with_a_fraction(spark, tmp_path):
     got = {r.incident_id: (r.vehicles_involved, r.injuries, r.fatalities) for r in read.collect()}
     assert got == {"a": (2, 3, 1), "b": (None, None, 4)}
     assert clean_incident(read, ROADS).where("incident_id = 'a'").first().fatalities == 1
+
+
+def test_load_or_fit(spark, tmp_path):
+    from daygrain.names import GENERIC
+    from daygrain.operators import model as M
+
+    rows = [(i, f"2024-01-{1 + i % 20:02d}", "NS"[i % 2], float(i % 13), int(i % 5 == 0)) for i in range(200)]
+    days = spark.createDataFrame(rows, "entity_id long, date string, region string, speed double, has_fatality int")
+    path = str(tmp_path / "model")
+    first, fitted = layers.load_or_fit(days, path, names=GENERIC)
+    assert fitted
+    again, fitted = layers.load_or_fit(days, path, names=GENERIC)
+    assert not fitted
+    scores = lambda m: [r[M.RISK] for r in M.score_risk(m, days).orderBy("entity_id").collect()]
+    assert scores(first) == scores(again)
+    renamed = days.withColumnRenamed("speed", "pace")
+    assert layers.load_or_fit(renamed, path, names=GENERIC)[1] and not layers.load_or_fit(renamed, path, names=GENERIC)[1]
+    assert layers.load_or_fit(days.withColumn("speed", F.col("speed").cast("string")), path, names=GENERIC)[1]
+    folder = tmp_path / "model" / "model" / "metadata"
+    for part in [*folder.glob("part-*"), *folder.glob(".part-*.crc")]:
+        part.unlink() if part.suffix == ".crc" else part.write_text("no json")
+    assert layers.load_or_fit(days.withColumn("speed", F.col("speed").cast("string")), path, names=GENERIC)[1]
+

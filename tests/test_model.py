@@ -173,3 +173,58 @@ def test_split_with_repeated_keys_and_rows(spark):
 def test_rows_without_target_are_in_no_class(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,), (None,)], "has_fatality int")
     assert sorted((r.label, r.n, r.weight) for r in M.class_weights(df).collect()) == [(0, 3, 4 / 6), (1, 1, 2.0)]
+
+
+def test_gradient_is_zero_at_the_optimum_only(days):
+    train, _, _ = M.split_train_test(days)
+    holes = train.withColumn("has_fatality", F.when(F.col("entity_id") % 11 != 0, F.col("has_fatality")))
+    fitted = M.train_risk_model(holes)
+    table = M.model_coefficients(fitted, days, intercept=True)
+    gradient = {r["feature"]: r["gradient"] for r in M.loss_gradient(table, holes).collect()}
+    assert set(gradient) == {r["feature"] for r in table.collect()} and M.INTERCEPT in gradient
+    assert max(map(abs, gradient.values())) < 1e-7
+    moved = table.withColumn("coef", F.when(F.col("feature") == "mean_speed", F.col("coef") + 0.05).otherwise(F.col("coef")))
+    assert max(abs(r["gradient"]) for r in M.loss_gradient(moved, holes).collect()) > 1e-4
+    # by hand: the same loss over the same encoding, changed a little in one coefficient
+    frame = holes.where("has_fatality is not null").toPandas()
+    coefs = {r["feature"]: r["coef"] for r in moved.collect()}
+    weight = frame.has_fatality.map(len(frame) / (2 * frame.has_fatality.value_counts()))
+
+    def loss(step):
+        z = coefs[M.INTERCEPT]
+        for c in ("mean_speed", "p95_speed", "total_violations", "low_visibility_hours"):
+            z = z + (coefs[c] + (step if c == "mean_speed" else 0)) * (frame[c] - frame[c].mean()) / frame[c].std(ddof=0)
+        for c in ("region", "city", "kind"):
+            z = z + frame[c].map(lambda v, c=c: coefs[f"{c}_{v}"])
+        y = frame.has_fatality
+        own = sum((coefs[k] + (step if k == "mean_speed" else 0)) ** 2 for k in coefs if k != M.INTERCEPT)
+        return (weight * (np.log1p(np.exp(z)) - y * z)).mean() + own / 2 / len(frame)
+
+    slope = (loss(1e-4) - loss(-1e-4)) / 2e-4
+    assert {r["feature"]: r["gradient"] for r in M.loss_gradient(moved, holes).collect()}["mean_speed"] == pytest.approx(slope, rel=1e-4)
+
+
+def test_plain_encoding_scores_like_the_model(days):
+    train, test, _ = M.split_train_test(days)
+    unseen = test.withColumn("city", F.when(F.col("entity_id") == 3, "elsewhere").otherwise(F.col("city")))
+    fitted = M.train_risk_model(train)
+    table = M.model_coefficients(fitted, days, intercept=True)
+    scored = M.score_risk(fitted, unseen).withColumn("x", M.encoded_values(unseen, M.feature_scales(train)))
+    rows = M.with_logistic_risk(scored, table, "x", "plain").collect()
+    assert len(rows) == test.count() and all(r["plain"] == pytest.approx(r[M.RISK], abs=1e-12) for r in rows)
+
+
+def test_equal_rows_are_split_exactly(spark):
+    equal = spark.range(0, 200_000, numPartitions=8).select(
+        F.lit(1).alias("entity_id"), F.lit("2024-01-01").alias("date"), (F.col("id") % 4 == 0).cast("int").alias("has_fatality")
+    )
+    train, test = M.stratified_split(equal)
+    counts = lambda df: {r["has_fatality"]: r["count"] for r in df.groupBy("has_fatality").count().collect()}
+    assert counts(test) == {0: 37_500, 1: 12_500} and counts(train) == {0: 112_500, 1: 37_500}
+    assert train.columns == equal.columns
+    # rows are counted off where they are: no exchange by class or hash
+    taken, rest = M._take(equal.where("has_fatality = 1"), 7)
+    assert (taken.count(), rest.count()) == (7, 49_993)
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(has_fatality" not in plan and "hashpartitioning(_h" not in plan
+
