@@ -96,6 +96,25 @@ def event_types(typed: DataFrame, type_col: str) -> list[str]:
     return [row[0] for row in typed.select(type_col).dropna().distinct().orderBy(type_col).collect()]
 
 
+def typed_counts(typed: DataFrame, keys: Sequence[str], type_col: str, id_col: str, col: str = "counts") -> DataFrame:
+    """Count of events per type as one map per group, for any number of types: only types that occur are in it.
+
+    Counts are combined by (group, type) before the shuffle. Events without type are in no map; a group of such
+    events has an empty one. ``wide_counts`` makes columns of the types one asks for.
+    """
+    per_type = typed.groupBy(*keys, type_col).agg(F.count(id_col).alias("_n"))
+    entry = F.when(F.col(type_col).isNotNull(), F.struct(F.col(type_col), F.col("_n")))  # collect_list leaves nulls out
+    return per_type.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(col))
+
+
+def wide_counts(counts: DataFrame, types: Sequence[str], col: str = "counts", total: str | None = None) -> DataFrame:
+    """One column per listed type, 0 where it does not occur, in place of the map; ``total`` names the sum over all types of the map."""
+    out = counts.withColumns({t: F.coalesce(F.try_element_at(col, F.lit(t)), F.lit(0)) for t in types})
+    if total:
+        out = out.withColumn(total, F.aggregate(F.map_values(col), F.lit(0).cast("long"), lambda n, x: n + x))
+    return out.drop(col)
+
+
 def typed_pivot(
     typed: DataFrame,
     keys: Sequence[str],

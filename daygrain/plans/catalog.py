@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.functions import scalars as fn
-from daygrain.functions.storage import reliable, shared_dir
+from daygrain.functions.storage import reliable, remove, shared_dir
 from daygrain.names import GENERIC, LINEAGE
 from daygrain.operators import aggregates as agg
 from daygrain.operators import clean, joins, lineage, model, profile, quality, ranking, scenario, star
 from daygrain.plans.risk import run_risk_model, run_scenarios
-from daygrain.sources import layers
+from daygrain.sources import layers, readers
 from daygrain.sources.readers import read_source as read_table
+from daygrain.sources.schemas import Source
 from daygrain.sources.sample_tables import BATCH, EVENTS_SCHEMA, EXTRACTED, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +68,7 @@ def fixed_scorer(df: DataFrame) -> DataFrame:
 
 @query
 def read_source(t):
-    return read_table(t.spark, f"{t.sf_dir}/events.parquet", EVENTS_SCHEMA, "parquet").drop("props")
+    return read_table(t.spark, f"{t.sf_dir}/events.parquet", EVENTS_SCHEMA, "parquet")
 
 
 @query
@@ -80,15 +81,34 @@ def read_source_csv_numbers(t):
     return read_table(t.spark, folder, "incident_id bigint, vehicles int, injuries int, fatalities int")
 
 
+def raw_csv(t: SampleTables) -> tuple[str, dict[str, Source]]:
+    """The raw tables as headered CSV in one folder, and the sources that declare them."""
+    folder, sources = shared_dir(t.spark, "raw"), {}
+    for name, df in t.raw.items():
+        df.write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{folder}/{name}")
+        sources[name] = Source(name, f"{name}_feed", ", ".join(f"{c} {kind}" for c, kind in df.dtypes))
+    return folder, sources
+
+
 @query
 def load_sources(t):
+    folder, sources = raw_csv(t)
+    loaded = readers.load_sources(t.spark, folder, BATCH, EXTRACTED, sources, suffix="")
     counts = [
         df.groupBy("source_system", "ingest_batch_id", "extracted_at_utc").agg(F.count("record_hash").alias("rows"))
-        for df in t.staged.values()
+        for df in loaded.values()
     ]
     return ranking.union_all(counts)
 
 
+@query
+def load_sources_content(t):
+    """What the CSV files give back, value by value."""
+    folder, sources = raw_csv(t)
+    loaded = readers.load_sources(t.spark, folder, BATCH, EXTRACTED, sources, suffix="")
+    return ranking.union_all([lineage.content_digest(df.select(*t.raw[name].columns), name) for name, df in loaded.items()])
+
+
 @query
 def write_layer(t):
     path = shared_dir(t.spark, "layer")
@@ -99,10 +119,9 @@ def write_layer(t):
 
 @query
 def run_layers(t):
-    path = shared_dir(t.spark, "layers")
-    layers.write_layer(t.staged, f"{path}/staged")
-    staged = layers.read_layer(t.spark, f"{path}/staged", list(t.staged))
-    return layers.curate(t.spark, staged, f"{path}/curated", GENERIC)["entity_day"]
+    folder, sources = raw_csv(t)
+    tables = layers.run_layers(t.spark, folder, shared_dir(t.spark, "layers"), BATCH, EXTRACTED, GENERIC, sources=sources, suffix="")
+    return tables["entity_day"]
 
 
 @query
@@ -115,18 +134,35 @@ def write_results(t):
         "hotspots": agg.hotspots_by_count(t.incident),
     }
     layers.write_results(results, path, "csv")
-    back = {name: t.spark.read.csv(f"{path}/{name}", header=True) for name in results}
-    return ranking.union_all(
-        [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in back.items()]
-    )
+    back = {name: t.spark.read.schema(df.schema).csv(f"{path}/{name}", header=True) for name, df in results.items()}
+    return ranking.union_all([lineage.content_digest(df, name) for name, df in back.items()])
 
 
 @query
 def save_model(t):
     train, test, _ = model.split_train_test(t.stored_day)
     path = shared_dir(t.spark, "model")
-    layers.save_model(model.train_risk_model(train), path)
-    return model.score_risk(layers.load_model(path), test).select(*GENERIC.grain, model.RISK)
+    fitted = model.train_risk_model(train)
+    layers.save_model(fitted, path)
+    again = model.score_risk(layers.load_model(path), test).withColumnRenamed(model.RISK, "again")
+    scored = model.score_risk(fitted, again)
+    return scored.select(*GENERIC.grain, F.abs(F.col(model.RISK) - F.col("again")).alias("off"))
+
+
+@query
+def load_or_fit(t):
+    """Whether a model was fitted: without a stored one, with one, with one of other columns, with a damaged one."""
+    train, _, _ = model.split_train_test(t.stored_day)
+    path = shared_dir(t.spark, "fitted")
+    fewer = train.drop("city", "weather_mode")
+    cases = [("absent", train), ("stored", train), ("other columns", fewer), ("stored again", fewer), ("damaged", fewer)]
+    told = []
+    for name, rows in cases:
+        if name == "damaged":
+            remove(t.spark, f"{path}/model/stages")
+        told.append((name, layers.load_or_fit(rows, path, names=GENERIC, max_iter=3)[1]))
+    counted = train.agg(F.count("*").alias("rows"))
+    return t.spark.createDataFrame(told, "case string, fitted boolean").withColumn("rows", counted.scalar())
 
 
 # lineage -------------------------------------------------------------------------------------
@@ -134,18 +170,17 @@ def save_model(t):
 
 @query
 def add_lineage(t):
-    return lineage.add_lineage(t.registry_raw, "registry_feed", BATCH, EXTRACTED).drop("capacity")
+    return lineage.add_lineage(t.registry_raw, "registry_feed", BATCH, EXTRACTED)
 
 
 @query
 def record_hash(t):
-    keyed = t.registry_raw.drop("capacity")
-    return lineage.record_hash(lineage.add_lineage(keyed, "registry_feed", BATCH, EXTRACTED))
+    return lineage.record_hash(lineage.add_lineage(t.registry_raw, "registry_feed", BATCH, EXTRACTED))
 
 
 @query
 def record_hash_business(t):
-    keyed = lineage.add_lineage(t.typed_raw.drop("ts", "amount"), "typed_feed", BATCH, EXTRACTED)
+    keyed = lineage.add_lineage(t.typed_raw, "typed_feed", BATCH, EXTRACTED)
     return lineage.record_hash(keyed, include_lineage=False).select("typed_id", "record_hash")
 
 
@@ -332,8 +367,7 @@ def fk_violation_rate(t):
 
 @query
 def fk_violations(t):
-    bad = joins.fk_violations(t.read("lineitem"), t.read("part").where("p_size > 5"), "l_partkey", "p_partkey")
-    return bad.groupBy("l_returnflag").agg(F.count("*").alias("rows"))
+    return joins.fk_violations(t.read("events"), t.read("supplier"), "user_id", "s_suppkey").drop("props")
 
 
 @query
@@ -372,6 +406,20 @@ def typed_pivot(t):
     return agg.typed_pivot(t.clean["typed"], GENERIC.grain, "event_type", "typed_id", TYPES)
 
 
+@query
+def typed_counts(t):
+    """The map form: per entity and day the types that occur."""
+    counts = agg.typed_counts(t.clean["typed"], GENERIC.grain, "event_type", "typed_id")
+    shown = F.transform(F.array_sort(F.map_entries("counts")), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string")))
+    return counts.select("entity_id", "date", F.array_join(shown, ",").alias("counts"))
+
+
+@query
+def wide_counts(t):
+    counts = agg.typed_counts(t.clean["typed"], GENERIC.grain, "event_type", "typed_id")
+    return agg.wide_counts(counts, TYPES)
+
+
 @query
 def typed_pivot_lineitem(t):
     month = F.to_date(F.date_trunc("month", "l_shipdate"))
@@ -701,20 +749,48 @@ def class_weights(t):
 
 @query
 def train_risk_model(t):
+    """The gradient of the loss at the fitted coefficients, which is zero at the optimum and nowhere else."""
+    train, _, _ = model.split_train_test(t.stored_day)
+    coefficients = model.model_coefficients(model.train_risk_model(train), t.stored_day, intercept=True)
+    gradient = model.loss_gradient(coefficients, train)
+    return gradient.select("feature", F.abs(F.round("gradient", 6)).alias("gradient"))
+
+
+@query
+def model_coefficients(t):
     train, _, _ = model.split_train_test(t.stored_day)
     return model.model_coefficients(model.train_risk_model(train), t.stored_day)
 
 
 @query
 def score_risk(t):
+    """How far scores are from the logistic function of the coefficients over plainly encoded features."""
+    train, test, _ = model.split_train_test(t.stored_day)
+    fitted = model.train_risk_model(train)
+    coefficients = model.model_coefficients(fitted, t.stored_day, intercept=True)
+    scored = model.score_risk(fitted, test)
+    encoded = scored.withColumn("values", model.encoded_values(test, model.feature_scales(train)))
+    both = model.with_logistic_risk(encoded, coefficients, "values", "plain")
+    return both.select(*GENERIC.grain, F.abs(F.col(model.RISK) - F.col("plain")).alias("off"))
+
+
+@query
+def risk_scores(t):
     train, test, _ = model.split_train_test(t.stored_day)
     return model.score_risk(model.train_risk_model(train), test).select(*GENERIC.grain, model.RISK)
 
 
 @query
 def top_features(t):
+    """The place of each top feature among all coefficients by size, and whether it has that coefficient."""
     train, _, _ = model.split_train_test(t.stored_day)
-    return model.top_features(model.train_risk_model(train), t.stored_day)
+    fitted = model.train_risk_model(train)
+    top = model.top_features(fitted, t.stored_day)
+    table = model.model_coefficients(fitted, t.stored_day).alias("x")
+    larger = F.count_if((F.abs("x.coef") > F.abs("top.coef")) | ((F.abs("x.coef") == F.abs("top.coef")) & (F.col("x.feature") < F.col("top.feature"))))
+    same = F.bool_or((F.col("x.feature") == F.col("top.feature")) & (F.col("x.coef") == F.col("top.coef")))
+    # two tables of a row per feature
+    return top.alias("top").join(F.broadcast(table)).groupBy("top.feature").agg((larger + 1).alias("place"), same.alias("same")).drop("feature")
 
 
 @query
@@ -857,9 +933,7 @@ def export_star(t):
     tables = star.star_tables(t.governed)
     layers.export_star(tables, path)
     back = layers.read_layer(t.spark, path, list(tables))
-    return ranking.union_all(
-        [df.agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name, df in back.items()]
-    )
+    return ranking.union_all([lineage.content_digest(df, name) for name, df in back.items()])
 
 
 @query

@@ -25,12 +25,28 @@ def text(col: str) -> str:
     return f"coalesce(CAST({col} AS VARCHAR), 'nan')"
 
 
+def stamp(col: str) -> str:
+    """Six digits of a second's fraction, or none where it is zero."""
+    whole, with_fraction = (f"strftime({col}, '%Y-%m-%d %H:%M:%S{x}')" for x in ("", ".%f"))
+    return f"coalesce(CASE WHEN microsecond({col}) % 1000000 = 0 THEN {whole} ELSE {with_fraction} END, 'NaT')"
+
+
 def hash_of(cols: list[str], extra: dict[str, str] | None = None) -> str:
-    parts = {c: text(c) for c in cols} | {k: f"'{v}'" for k, v in (extra or {}).items()}
+    parts = {c: stamp(c) if c == "ts" else text(c) for c in cols} | {k: f"'{v}'" for k, v in (extra or {}).items()}
     pairs = ", ".join(f"'{c}=' || {parts[c]}" for c in sorted(parts))
     return f"substring(sha256(concat_ws('|', {pairs})), 1, 16)"
 
 
+def digest_sql(name: str, body: str, cols: str) -> str:
+    """The content digest of what ``body`` gives; names in ``cols`` that end in ``:d`` are doubles."""
+    pairs = []
+    for c in sorted(cols.split(), key=lambda c: c.removesuffix(":d")):
+        value = f"CAST(round({c[:-2]} * 1e6) AS BIGINT)" if c.endswith(":d") else c
+        pairs.append(f"'{c.removesuffix(':d')}=' || coalesce(CAST({value} AS VARCHAR), '~')")
+    number = f"CAST('0x' || substring(md5(concat_ws('|', {', '.join(pairs)})), 1, 12) AS BIGINT)"
+    return f"SELECT '{name}' AS name, count(*) AS rows, CAST(coalesce(sum({number}), 0) AS VARCHAR) AS digest FROM ({body}) q_{name}"
+
+
 SEVERE = "severity IN ('Severe', 'Fatal')"
 SUMS = (
     f"count(incident_id) AS accidents, count(*) FILTER (WHERE {SEVERE}) AS severe, "
@@ -538,12 +554,37 @@ def _lineage_of(table: str) -> str:
 TYPED_HASH = hash_of(["typed_id", "entity_id", "event_type"])
 
 
+STAR_COLUMNS = {
+    "dim_entity": "entity_id region city kind capacity:d",
+    "dim_date": "date year month month_name day dow week",
+    "fact_incident": "incident_id ts entity_id severity vehicles injuries fatalities mode visibility:d precip:d temp:d "
+    "source_system ingest_batch_id record_hash date",
+    "fact_typed_event": "typed_id ts entity_id event_type amount source_system ingest_batch_id record_hash date",
+    "fact_measure": "sensor_id ts entity_id volume speed:d source_system ingest_batch_id record_hash date",
+    "fact_entity_day": "entity_id date region city kind capacity:d weather_mode daily_volume mean_speed:d p95_speed:d sensor_events "
+    "total_violations violations_per_1000_volume:d accidents injuries fatalities severe severe_rate:d has_fatality "
+    "low_visibility_hours rain_hours fog_hours max_precip_mm:d avg_temp_c:d",
+}
+RESULT_COLUMNS = {
+    "scenario_summary": "scenario avg_risk_reduction:d median_risk_reduction:d max_risk_reduction:d avg_baseline_risk:d "
+    "avg_scenario_risk:d baseline_high_risk_road_days high_risk_road_days_reduced high_risk_reduction_rate:d",
+    "scenario_region_impact": "scenario region avg_risk_reduction:d high_risk_road_days_reduced baseline_mean_risk:d "
+    "scenario_mean_risk:d median_risk_reduction:d",
+    "hotspots_by_count": "entity_id region city kind accidents severe fatalities severe_rate:d",
+}
+RAW_COLUMNS = {
+    "registry": "entity_id region city kind capacity:d", "measure": "sensor_id ts entity_id volume speed:d",
+    "typed": "typed_id ts entity_id event_type amount:d", "incident": "incident_id ts entity_id vehicles injuries fatalities lighting severity",
+    "context": "context_id ts region city mode visibility:d precip:d temp:d",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     ed = rounded_columns("entity_day")
     out: dict[str, str] = {}
 
     # sources, layers
-    out["read_source"] = f"SELECT event_id, ts, user_id, event_type, {r('value')} AS value FROM events"
+    out["read_source"] = f"SELECT event_id, ts, user_id, event_type, {r('value')} AS value, props FROM events"
     out["load_sources"] = sql(
         " UNION ALL ".join(
             f"SELECT '{name}_feed' AS source_system, {LINEAGE_SQL}, count(*) AS rows FROM {table}"
@@ -560,23 +601,19 @@ def oracle_sql() -> dict[str, str]:
         "SELECT date, event_type, count(*) AS rows, CAST(sum(amount) AS BIGINT) AS amount FROM typed "
         "GROUP BY date, event_type"
     )
-    out["write_results"] = sql(
-        "SELECT 'scenario_summary' AS name, count(*) AS rows FROM summary UNION ALL "
-        "SELECT 'scenario_region_impact', count(*) FROM (SELECT DISTINCT scenario, region FROM scores "
-        "WHERE scenario <> 'Baseline') UNION ALL SELECT 'hotspots', least(10, count(*)) FROM hot",
-        hot=HOT,
-    )
     out["run_layers"] = sql(f"SELECT {ed} FROM entity_day")
 
     # lineage
     lineage_cols = f"'registry_feed' AS source_system, {LINEAGE_SQL}"
-    out["add_lineage"] = sql(f"SELECT entity_id, region, city, kind, {lineage_cols} FROM registry")
+    out["add_lineage"] = sql(f"SELECT entity_id, region, city, kind, {r('capacity')} AS capacity, {lineage_cols} FROM registry")
     full = hash_of(
-        ["entity_id", "region", "city", "kind"],
+        ["entity_id", "region", "city", "kind", "capacity"],
         {"source_system": "registry_feed", "ingest_batch_id": BATCH, "extracted_at_utc": EXTRACTED},
     )
-    out["record_hash"] = sql(f"SELECT entity_id, region, city, kind, {lineage_cols}, {full} AS record_hash FROM registry")
-    out["record_hash_business"] = sql(f"SELECT typed_id, {TYPED_HASH} AS record_hash FROM typed_raw")
+    out["record_hash"] = sql(
+        f"SELECT entity_id, region, city, kind, {r('capacity')} AS capacity, {lineage_cols}, {full} AS record_hash FROM registry"
+    )
+    out["record_hash_business"] = sql(f"SELECT typed_id, {hash_of(['typed_id', 'ts', 'entity_id', 'event_type', 'amount'])} AS record_hash FROM typed_raw")
     out["normalize_lineage"] = sql(f"SELECT incident_id, {_lineage_of('incident')}, record_hash FROM incident")
     out["lineage_summary"] = sql(
         " UNION ALL ".join(
@@ -686,8 +723,8 @@ def oracle_sql() -> dict[str, str]:
         "LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier) ON user_id = s_suppkey"
     )
     out["fk_violations"] = (
-        "SELECT l_returnflag, count(*) AS rows FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part "
-        "WHERE p_partkey = l_partkey AND p_size > 5) GROUP BY l_returnflag"
+        f"SELECT event_id, ts, user_id, event_type, {r('value')} AS value FROM events "
+        "WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = user_id)"
     )
     out["scalar_broadcast"] = sql(
         f"SELECT typed_id, {r('amount')} AS amount, {r('(SELECT min(amount) FROM typed_raw)')} AS lowest, "
@@ -708,6 +745,11 @@ def oracle_sql() -> dict[str, str]:
     )
     typed_cols = ", ".join(GENERIC.types)
     out["typed_pivot"] = sql(f"SELECT entity_id, date, {typed_cols} FROM typed_day")
+    out["wide_counts"] = out["typed_pivot"]
+    out["typed_counts"] = sql(
+        "SELECT entity_id, date, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS counts FROM "
+        "(SELECT entity_id, date, event_type, count(typed_id) AS n FROM typed GROUP BY 1, 2, 3) GROUP BY 1, 2"
+    )
     out["typed_pivot_lineitem"] = (
         f"SELECT l_suppkey, {MONTHS} AS month, "
         + ", ".join(f"count(*) FILTER (WHERE l_returnflag = '{f}') AS \"{f}\"" for f in "ANR")
@@ -863,6 +905,24 @@ def oracle_sql() -> dict[str, str]:
         f"{r('sum(count(*)) OVER () / (count(*) OVER () * CAST(count(*) AS DOUBLE))')} AS weight "
         "FROM entity_day GROUP BY has_fatality"
     )
+    train = f"SELECT * FROM entity_day WHERE date < {CUTOFF}"
+    no_feature = {"entity_id", "date", "has_fatality", "fatalities", "injuries", "accidents", "severe", "severe_rate", *LINEAGE_NAMES}
+    features = [(c, t) for c, t in TABLE_COLUMNS["entity_day"] if c not in no_feature]
+    named = [f"SELECT '{c}' AS feature" if t != "string" else f"SELECT DISTINCT '{c}_' || {c} FROM train" for c, t in features]
+    every = " UNION ALL ".join([*named, "SELECT '(intercept)'"])
+    zero = "CAST(0.0 AS DOUBLE)"
+    out["train_risk_model"] = sql(f"SELECT feature, {zero} AS gradient FROM ({every})", train=train)
+    out["top_features"] = sql(
+        f"SELECT CAST(v AS BIGINT) AS place, true AS same FROM range(1, 16) x(v), (SELECT count(*) - 1 AS n FROM ({every})) WHERE v <= n",
+        train=train,
+    )
+    for name in ("score_risk", "save_model"):
+        out[name] = sql(f"SELECT entity_id, date, {zero} AS off FROM entity_day WHERE date >= {CUTOFF}")
+    out["load_or_fit"] = sql(
+        'SELECT c AS "case", f AS fitted, (SELECT count(*) FROM train) AS rows FROM (VALUES (\'absent\', true), (\'stored\', false), '
+        "('other columns', true), ('stored again', false), ('damaged', true)) AS x(c, f)",
+        train=train,
+    )
     out["choose_threshold"] = sql(
         f"SELECT {r('threshold')} AS threshold, {r('f1')} AS f1 FROM (SELECT t.threshold, "
         + ratio("2 * count(*) FILTER (WHERE score >= t.threshold AND has_fatality = 1)", "(count(*) FILTER (WHERE score >= t.threshold) + count(*) FILTER (WHERE has_fatality = 1))")
@@ -942,12 +1002,7 @@ def oracle_sql() -> dict[str, str]:
         f"m.date FROM measure m JOIN (SELECT sensor_id, {measure_hash} AS record_hash FROM measure_raw) h USING (sensor_id)"
     )
     out["fact_entity_day"] = sql(f"SELECT {rounded_columns('entity_day', GENERIC.types)} FROM entity_day")
-    out["export_star"] = sql(
-        "SELECT 'dim_entity' AS name, count(*) AS rows FROM registry UNION ALL "
-        f"SELECT 'dim_date', count(*) FROM ({ALL_DAYS}) UNION ALL SELECT 'fact_incident', count(*) FROM incident UNION ALL "
-        "SELECT 'fact_typed_event', count(*) FROM typed UNION ALL SELECT 'fact_measure', count(*) FROM measure UNION ALL "
-        "SELECT 'fact_entity_day', count(*) FROM entity_day"
-    )
+    out["export_star"] = " UNION ALL ".join(digest_sql(name, out[name], cols) for name, cols in STAR_COLUMNS.items())
     out["measures_core"] = sql(
         "SELECT region, count(*) AS accidents, CAST(sum(fatalities) AS BIGINT) AS fatalities, "
         f"CAST(sum(injuries) AS BIGINT) AS injuries, count(*) FILTER (WHERE {SEVERE}) AS severe_accidents, "
@@ -987,4 +1042,11 @@ def oracle_sql() -> dict[str, str]:
         f"'{patterns}') THEN 'INTERNAL' ELSE 'PUBLIC' END AS sensitivity FROM listed",
         listed=dictionary_sql(list(TABLE_COLUMNS)),
     )
+    out["write_results"] = " UNION ALL ".join(
+        digest_sql(name.removesuffix("_by_count"), out[name], cols) for name, cols in RESULT_COLUMNS.items()
+    )
+    raw = {name: name if name in ("registry", "context") else f"{name}_raw" for name in RAW_COLUMNS}
+    out["load_sources_content"] = " UNION ALL ".join(
+        digest_sql(name, sql(f"SELECT * FROM {raw[name]}"), cols) for name, cols in RAW_COLUMNS.items()
+    )
     return out

@@ -51,3 +51,19 @@ def test_lineage_summary(spark):
     assert got["x"]["record_hash_coverage"] == 0.75
     assert (got["bare"]["rows"], got["bare"]["source_systems"], got["bare"]["record_hash_coverage"]) == (3, "", 0.0)
     assert got["none"]["rows"] == 0
+
+
+def test_content_digest(spark):
+    from pyspark.sql import functions as F
+
+    from daygrain.operators.lineage import content_digest
+
+    rows = [(1, "a", 0.1, None), (2, None, 2.5, True), (1, "a", 0.1, None)]
+    df = spark.createDataFrame(rows, "i int, s string, d double, b boolean")
+    one = content_digest(df, "x").first()
+    assert (one["name"], one["rows"]) == ("x", 3)
+    assert content_digest(df.select("d", "b", "s", "i").repartition(3), "x").first() == one
+    for other in (df.where("i = 2"), df.distinct(), df.withColumn("d", F.col("d") + 1e-5), df.withColumnRenamed("s", "t"), df.fillna("~~")):
+        assert content_digest(other, "x").first()["digest"] != one["digest"]
+    assert content_digest(df.where("false"), "x").first()["digest"] == "0"
+

@@ -327,3 +327,17 @@ def test_sensitivity(spark):
     df = spark.createDataFrame([("Record_Hash",), ("my_sensor_id_2",), ("city",)], "c string")
     got = [r[0] for r in df.select(profile.sensitivity_class("c")).collect()]
     assert got == ["INTERNAL", "INTERNAL", "PUBLIC"]
+
+
+def test_sparse_counts_of_many_types(spark):
+    typed = spark.range(120_000).select((F.col("id") % 7).alias("e"), F.concat(F.lit("t"), F.col("id") % 50_000).alias("t"), F.col("id").alias("i"))
+    counts = agg.typed_counts(typed, ["e"], "t", "i")
+    rows = counts.select("e", F.size("counts").alias("kinds"), F.aggregate(F.map_values("counts"), F.lit(0).cast("long"), lambda n, x: n + x).alias("n"))
+    assert sum(r["n"] for r in rows.collect()) == 120_000
+    want = {r["e"]: r["kinds"] for r in typed.groupBy("e").agg(F.countDistinct("t").alias("kinds")).collect()}
+    assert {r["e"]: r["kinds"] for r in rows.collect()} == want
+    few = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, None, 3), (2, None, 4), (None, "b", 5), (1, "b", None)], "e int, t string, i int")
+    wide = agg.wide_counts(agg.typed_counts(few, ["e"], "t", "i"), ["a", "c"], total="all").collect()
+    assert sorted((r["e"] or 0, r["a"], r["c"], r["all"]) for r in wide) == [(0, 0, 0, 1), (1, 2, 0, 2), (2, 0, 0, 0)]
+    assert agg.typed_counts(few.where("false"), ["e"], "t", "i").count() == 0
+

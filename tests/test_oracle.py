@@ -11,7 +11,7 @@ from daygrain.plans import catalog, oracle
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SQL = oracle.oracle_sql()
 QUERIES = catalog.QUERIES
-MODEL_ONLY = {"risk_report", "save_model", "scenario_summary_trained", "score_risk", "top_features", "train_risk_model"}
+MODEL_ONLY = {"risk_report", "scenario_summary_trained", "model_coefficients", "risk_scores"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no sample data")
 
