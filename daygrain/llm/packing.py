@@ -24,7 +24,7 @@ from daygrain.llm.tables import Stored, numbered
 
 CAPACITY = 1024
 END = 0
-SLOT_BITS = 19  # of the word table's places; it is emptied when half full
+SLOT_BITS = 20  # of the word table's places; it is emptied when half full
 SLOTS = 1 << SLOT_BITS
 # The byte-to-character map of byte-level vocabularies, and letters and marks of Latin texts.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -161,7 +161,6 @@ _tables: dict[str, WordTable] = {}
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     table = _tables.get(path) or _tables.setdefault(path, WordTable(path))
-    table.clear()
     for batch in batches:
         data, offsets = B.string_bytes(batch.column(1))
         texts = batch.column(1)
@@ -190,8 +189,6 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
                 [batch.column(0).take(pa.array(row + i)), pa.array(start), pa.array(length), binary, pa.array(counts[row])],
                 names=["doc_id", "start", "length", "ids", "doc_tokens"],
             )
-    table.clear()
-
 
 def token_pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
