@@ -34,6 +34,7 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 CLOSED_BY_OWN_KIND = frozenset("p li dt dd tr td th option".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog header".split())
 CONTENT_TAGS = frozenset(("article", "main"))
+HEADS = CONTENT_TAGS | {"h1"}
 BOILERPLATE_WORDS = re.compile(
     r"(?<![a-z])(?:ads?|advert[a-z]*|banners?|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disqus|footer|"
     r"header|login|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|pager|pagination|popup|promo[a-z]*|"
@@ -52,38 +53,57 @@ NEAR, SIBLING = 60, 40
 
 
 class Element:
-    """An open block-level element: what its descendants inherit of it."""
+    """A block-level element: what its descendants inherit of it. Its rank is known when the whole page is read."""
 
-    __slots__ = ("depth", "inside_content", "parent", "rank", "tag")
+    __slots__ = ("depth", "holds", "inside_content", "lifts", "parent", "rank", "sinks", "size", "tag")
 
     def __init__(self, tag: str, parent: Element | None, names: str) -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        inside = parent.inside_content if parent else False
-        rank = parent.rank if parent else 0.0
-        if tag in CONTENT_TAGS:
-            rank, inside = rank + 3, True
-        elif tag in BOILERPLATE_TAGS and not (tag == "header" and inside):
+        self.inside_content = tag in CONTENT_TAGS or (parent.inside_content if parent else False)
+        names = names.lower()
+        marked = bool(names) and bool(BOILERPLATE_WORDS.search(names))
+        self.sinks = marked and tag not in WHOLE_PAGE
+        self.lifts = bool(names) and not self.sinks and not self.inside_content and bool(CONTENT_WORDS.search(names))
+        self.size, self.holds, self.rank = 0, False, 0.0
+        if tag in HEADS and not marked:  # a comment may be an article as well
+            above = parent
+            while above and not above.holds:
+                above.holds = True
+                above = above.parent
+
+    def settle(self, total: int) -> None:
+        """The rank, after that of the parent. A class word names the layout, not the part, where the element holds
+        an article, main part or title and more than half of the page's text."""
+        rank = self.parent.rank if self.parent else 0.0
+        inside = self.parent.inside_content if self.parent else False
+        if self.tag in CONTENT_TAGS:
+            rank += 3
+        elif self.tag in BOILERPLATE_TAGS and not (self.tag == "header" and inside):
+            rank = min(rank, 0.0) - 6
+        if self.sinks and not (self.holds and 2 * self.size > total):
             rank = min(rank, 0.0) - 6
-        if names:
-            names = names.lower()
-            if tag not in WHOLE_PAGE and BOILERPLATE_WORDS.search(names):
-                rank = min(rank, 0.0) - 6
-            elif CONTENT_WORDS.search(names) and not inside:
-                rank += 2
-        self.inside_content, self.rank = inside, max(-9.0, min(rank, 5.0))
+        elif self.lifts:
+            rank += 2
+        self.rank = max(-9.0, min(rank, 5.0))
 
 
 class Block:
     __slots__ = ("linked", "parent", "score", "text")
 
     def __init__(self, text: str, parent: Element, linked: int) -> None:
-        self.text, self.parent, self.linked = text, parent, linked
-        words = text.count(" ") + 1
-        kind = parent.tag
-        score = parent.rank - 1 + (1.5 if kind == "p" else 0.5 if kind[0] == "h" and kind[1:].isdigit() else -0.5 if kind == "li" else 0)
+        self.text, self.parent, self.linked, self.score = text, parent, linked, 0.0
+        above: Element | None = parent
+        while above:
+            above.size += len(text)
+            above = above.parent
+
+    def settle(self) -> None:
+        words = self.text.count(" ") + 1
+        kind = self.parent.tag
+        score = self.parent.rank - 1 + (1.5 if kind == "p" else 0.5 if kind[0] == "h" and kind[1:].isdigit() else -0.5 if kind == "li" else 0)
         score += min(2.0, words / 20) if words >= 5 else -0.5
-        score -= 4 * min(1.0, linked / len(text))
+        score -= 4 * min(1.0, self.linked / len(self.text))
         self.score = score
 
 
@@ -105,7 +125,7 @@ def skipped_ends(page: str) -> dict[int, int]:
 def blocks_of(page: str) -> list[Block]:
     ends = skipped_ends(page)
     root = Element("html", None, "")
-    stack, pieces, out = [root], [], []
+    stack, elements, pieces, out = [root], [root], [], []
     links, linked, at = 0, 0, 0
 
     def close_block() -> None:
@@ -155,9 +175,12 @@ def blocks_of(page: str) -> list[Block]:
         attributes = found[4]
         names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if attributes else ""
         stack.append(Element(tag, stack[-1], names))
+        elements.append(stack[-1])
         links = 0
     pieces.append(page[at:])
     close_block()
+    for part in (*elements, *out):  # parents come before their children
+        part.settle(root.size) if isinstance(part, Element) else part.settle()
     return out
 
 

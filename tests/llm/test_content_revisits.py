@@ -28,6 +28,7 @@ def test_page():
 
 
 STORY = "A paragraph of the story, with a good number of words in it to be kept, and some more of them."
+OTHER = "What a reader or an editor has put beside the story, long enough to look like one of its paragraphs."
 BEFORE = "<html><head><title>x</title></head><body><article>"
 
 
@@ -42,6 +43,21 @@ def test_unclosed_elements_and_words_of_the_whole_page_lose_no_text(start):
     assert C.content_blocks(f"{BEFORE}<p>{STORY}<script>x<p>{STORY}") == [STORY]
 
 
+@pytest.mark.parametrize("wrapper", ['div class="site has-sidebar"', 'div class="layout-with-sidebar"', 'div id="page" class="share-enabled"', "section class=header-top"])
+@pytest.mark.parametrize("part", ["article", "main"])
+def test_class_words_of_a_wrapper_do_not_sink_the_page(wrapper, part):
+    page = (
+        f"<body><{wrapper}><nav><a href=/>Home</a></nav><{part}><p>{STORY}<p>{STORY}</{part}><div class=sidebar><p>{OTHER}</div>"
+        f"<div class=comments><article class=comment><p>{OTHER}</article></div></{wrapper.split()[0]}>"
+    )
+    assert C.content_blocks(page) == [STORY, STORY]
+
+
+def test_long_comments_stay_out():
+    comments = "".join(f"<article class=comment><p>{OTHER}</article>" for _ in range(9))
+    assert C.content_blocks(f"<body><article><p>{STORY}<p>{STORY}</article><div class=comments>{comments}</div>") == [STORY, STORY]
+
+
 @pytest.mark.parametrize("page", ["", "<p>", "<", "<!--", "<script>x", "<a b='", "&amp;", "<p></p></p></div>", "<" * 5000, "<p>" * 3000])
 def test_broken_pages(page):
     assert isinstance(C.content_blocks(page), list)
