@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daygrain.llm.tables import Stored, parts_for, ranged
+from daygrain.llm.tables import Stored, parts_for, ranged, small
 
 RANGE_ROWS = 20_000
+CARRIED_ROWS = 20_000  # with headers; up to so many are broadcast
 # The header fields that a 304 response may update (RFC 9110, 15.4.5, with Last-Modified),
 # and the query parameters that only track visitors.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
@@ -78,12 +79,13 @@ def resolve_revisits(records: DataFrame, stored: Stored) -> DataFrame:
     lasts = dealt.groupBy("_part", "canonical_url").agg(F.max(one).alias("last"))
     spans = dealt.groupBy("canonical_url").agg(F.min("_part").alias("a"), F.max("_part").alias("b")).where("a < b").select("canonical_url")
     order = W.partitionBy("canonical_url").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    # at most one URL goes on into each range: no more rows than ranges
-    carried = lasts.join(F.broadcast(spans), "canonical_url").withColumn("carry", F.max("last").over(order)).drop("last")
+    # at most one URL goes on into each range: no more rows than ranges, but each with its headers
+    spans = stored.put(spans)
+    carried = stored.put(lasts.join(small(spans), "canonical_url").withColumn("carry", F.max("last").over(order)).drop("last"))
     found = (
         dealt.withColumn("_latest", latest)
         .where(~F.col("full"))
-        .join(F.broadcast(carried), ["_part", "canonical_url"], "left")
+        .join(small(carried, limit=CARRIED_ROWS), ["_part", "canonical_url"], "left")
         .withColumn("r", F.coalesce("_latest", "carry"))
     )
     same = lambda a, b: F.when(a.isNotNull() & b.isNotNull(), a == b)
