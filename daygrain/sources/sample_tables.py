@@ -42,7 +42,7 @@ class OnDemand(Mapping):
 
 
 class SampleTables:
-    """Lazy views over one data folder. Nothing runs until a result is used."""
+    """Views over one data folder, made when asked for. Stored tables, size checks and model fits run jobs when they are."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
