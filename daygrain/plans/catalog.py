@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions import scalars as fn
 from daygrain.functions.storage import reliable, remove, shared_dir
-from daygrain.names import GENERIC, LINEAGE
+from daygrain.names import GENERIC
 from daygrain.operators import aggregates as agg
 from daygrain.operators import clean, joins, lineage, model, profile, quality, ranking, scenario, star
 from daygrain.plans.risk import run_risk_model, run_scenarios
@@ -25,7 +25,6 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2024-02-05 00:00:00"
 KINDS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 TYPES = list(GENERIC.types)
-LINEAGE_COLUMNS = (*LINEAGE, "extracted_at_utc")
 SCORE_BANDS = ((-0.01, 0.20, 0.50, 0.75, 1.0), ("Low", "Medium", "High", "Critical"))
 
 
@@ -968,7 +967,13 @@ def data_dictionary(t):
 
 @query
 def column_samples(t):
-    return profile.column_samples(t.stored_incident.drop(*LINEAGE_COLUMNS))
+    """Every column of the five tables, lineage included; doubles to three digits, which both engines print alike."""
+    listed = profile.table_samples({name: _three_digits(df) for name, df in t.governed.items()})
+    return listed.withColumn("null_pct", F.round("null_pct", 6))
+
+
+def _three_digits(df):
+    return df.select(*[F.round(c, 3).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
 
 
 @query

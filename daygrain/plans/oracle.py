@@ -424,14 +424,17 @@ def dictionary_sql(tables: list[str]) -> str:
     return " UNION ALL ".join(rows)
 
 
-def samples_sql(table: str, cols: list[tuple[str, str]]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT {i} AS position, '{c}' AS \"column\", '{dtype}' AS dtype, "
-        f"{r(f'round(avg(CAST({c} IS NULL AS DOUBLE)) * 100, 1)')} AS null_pct, "
-        f"(SELECT coalesce(string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v), '') FROM (SELECT DISTINCT {c} AS v "
-        f"FROM {table} WHERE {c} IS NOT NULL ORDER BY v LIMIT 3)) AS samples FROM {table}"
-        for i, (c, dtype) in enumerate(cols)
-    )
+def samples_sql(dataset: str, table: str) -> str:
+    parts = []
+    for i, (c, dtype) in enumerate(TABLE_COLUMNS[dataset]):
+        value = r(c, 3) if dtype == "double" else c
+        parts.append(
+            f"SELECT '{dataset}' AS dataset, {i} AS position, '{c}' AS \"column\", '{dtype}' AS dtype, "
+            f"{r(f'round(avg(CAST({c} IS NULL AS DOUBLE)) * 100, 1)')} AS null_pct, "
+            f"(SELECT coalesce(string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v), '') FROM (SELECT DISTINCT {value} AS v "
+            f"FROM {table} WHERE {c} IS NOT NULL ORDER BY v LIMIT 3)) AS samples FROM {table}"
+        )
+    return " UNION ALL ".join(parts)
 
 
 # assembly ------------------------------------------------------------------------------------
@@ -551,6 +554,10 @@ def _lineage_of(table: str) -> str:
     return f"'{table}_feed' AS source_system, '{BATCH}' AS ingest_batch_id"
 
 
+def _all_lineage(table: str) -> str:
+    return f"{_lineage_of(table)}, '{EXTRACTED}' AS extracted_at_utc"
+
+
 TYPED_HASH = hash_of(["typed_id", "entity_id", "event_type"])
 
 
@@ -1030,12 +1037,15 @@ def oracle_sql() -> dict[str, str]:
 
     # profiling
     out["data_dictionary"] = sql(dictionary_sql(list(TABLE_COLUMNS)))
-    out["column_samples"] = sql(
-        samples_sql(
-            "full_incident",
-            [c for c in TABLE_COLUMNS["incident"] if c[0] not in LINEAGE_NAMES],
-        )
-    )
+    with_lineage = {
+        "g_registry": f"SELECT *, {_all_lineage('registry')}, {hash_of(['entity_id', 'region', 'city', 'kind'])} AS record_hash FROM registry",
+        "g_incident": f"SELECT *, {_all_lineage('incident')} FROM full_incident",
+        "g_typed": f"SELECT *, {_all_lineage('typed')}, {TYPED_HASH} AS record_hash FROM typed",
+        "g_measure": f"SELECT m.*, {_all_lineage('measure')}, h.record_hash FROM measure m "
+        f"JOIN (SELECT sensor_id, {measure_hash} AS record_hash FROM measure_raw) h USING (sensor_id)",
+        "g_entity_day": "SELECT * FROM entity_day",
+    }
+    out["column_samples"] = sql(" UNION ALL ".join(samples_sql(name, f"g_{name}") for name in TABLE_COLUMNS), **with_lineage)
     patterns = "|".join(profile.INTERNAL_PATTERNS)
     out["sensitivity_class"] = sql(
         'SELECT dataset, "column", null_rate, CASE WHEN regexp_matches(lower("column"), '

@@ -323,6 +323,32 @@ def test_column_samples_and_dictionary(spark):
     ]
 
 
+def test_column_samples_read_once_and_agree_with_distinct_values(spark):
+    df = spark.range(20_000, numPartitions=9).selectExpr(
+        "id", "id % 2 = 0 as flag", "if(id % 5 = 0, null, cast(id % 3 as string)) as few", "cast(null as date) as none",
+        "if(id % 7 = 0, double('NaN'), double(id)) as d", "cast('NaN' as double) as nan", "array(9 - id % 4) as a",
+        "map('k', id % 2) as m", "cast(-id as decimal(12, 2)) as money", "timestamp_seconds(id) as ts", "concat('é', id) as s",
+    )
+    df = df.toDF(*df.columns[:-1], "id")  # a name that comes twice
+    result = profile.column_samples(df)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 20000") == 1
+    got = [(r["null_pct"], r["samples"]) for r in result.orderBy("position").collect()]
+    want = [
+        (0.0, "0, 1, 2"), (0.0, "false, true"), (20.0, "0, 1, 2"), (100.0, ""), (0.0, "1.0, 2.0, 3.0"), (0.0, "NaN"),
+        (0.0, "[6], [7], [8]"), (0.0, "{k -> 0}, {k -> 1}"), (0.0, "-19999.00, -19998.00, -19997.00"),
+        (0.0, "1970-01-01 00:00:00, 1970-01-01 00:00:01, 1970-01-01 00:00:02"), (0.0, "é0, é1, é10"),
+    ]
+    assert got == want
+    empty = profile.column_samples(df.where("d < 0")).orderBy("position").collect()
+    assert [(r["null_pct"], r["samples"]) for r in empty] == [(None, "")] * len(want)
+
+
+def test_column_samples_count_both_zeros_as_one_value(spark):
+    df = spark.createDataFrame([(-0.0,), (0.0,), (1.0,), (2.0,), (3.0,)], "d double").coalesce(1)
+    assert profile.column_samples(df).first()["samples"] == "0.0, 1.0, 2.0"
+
+
 def test_sensitivity(spark):
     df = spark.createDataFrame([("Record_Hash",), ("my_sensor_id_2",), ("city",)], "c string")
     got = [r[0] for r in df.select(profile.sensitivity_class("c")).collect()]
