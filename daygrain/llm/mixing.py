@@ -148,6 +148,21 @@ def mix(
     )
 
 
+def sorted_mix(docs: DataFrame, stored: Stored, **options) -> DataFrame:
+    """``mix`` with the places that each document's copies have in the mix sorted by training position.
+
+    Copies (document, pass) are range-sorted by position and numbered through from 0; ``first_place`` and ``last_place``
+    are the least and the largest number, null for a document that is not taken. Equal positions go by source, id, size and pass,
+    nulls first, so reruns agree. Options, nulls and names as for ``mix``.
+    """
+    rows = stored.put(mix(docs, stored, **options).withColumn("_row", F.monotonically_increasing_id()))
+    turns = rows.select("_row", "source", "doc_id", "size", F.posexplode("positions").alias("_pass", "_position"))
+    # rows are told apart by _row only where they are equal in all else
+    placed = numbered(turns, ["_position", "source", "doc_id", "size", "_pass", "_row"], stored)
+    places = placed.groupBy("_row").agg(F.min("_n").alias("first_place"), F.max("_n").alias("last_place"))
+    return rows.join(places, "_row", "left").drop("_row")
+
+
 def curriculum(
     docs: DataFrame, stored: Stored, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from daygrain.llm import text_queries
 from daygrain.llm.content import main_text
 from daygrain.llm.langid import held_out, identify, train
 from daygrain.llm.lines import MIN_SITES, remove_shared_lines
-from daygrain.llm.mixing import PHASES, WEIGHTS, mix
+from daygrain.llm.mixing import PHASES, WEIGHTS, sorted_mix
 from daygrain.llm.near_text import near_duplicates
 from daygrain.llm.near_vectors import near_vectors
 from daygrain.llm.neighbours import nearest
@@ -123,9 +123,9 @@ def op7_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(_table(spark, sf_dir, "documents"), Stored(spark)).select(
+    return sorted_mix(_table(spark, sf_dir, "documents"), Stored(spark)).select(
         "doc_id", "size", "source_size", "target", "taken",
-        F.floor(F.get("positions", F.lit(0)) * 1_000_000).alias("first_ppm"),
+        F.floor(F.get("positions", F.lit(0)) * 1_000_000).alias("first_ppm"), "first_place", "last_place",
     )
 
 
@@ -167,18 +167,26 @@ unit AS (
 targets AS (
     SELECT source, source_size, turn, CASE WHEN full_ THEN most::DOUBLE ELSE u * w END AS target FROM stopped, unit),
 laid AS (
-    SELECT s.doc_id, s.size, t.source_size, t.turn, t.target,
+    SELECT s.doc_id, s.source, s.size, t.source_size, t.turn, t.target,
            sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS b
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-counted AS (
-    SELECT *, CASE WHEN source_size > 0
-        THEN greatest(ceil((2.0::DOUBLE * target - 2 * b - size) / (2 * source_size)::DOUBLE), 0)::BIGINT ELSE 0 END AS copies,
-        b::DOUBLE / target AS share
-    FROM laid)
-SELECT doc_id, size, source_size, target, copies * size AS taken,
-       CASE WHEN copies > 0 THEN floor(1000000 * {position})::BIGINT END AS first_ppm
-FROM counted
+counted AS MATERIALIZED (
+    SELECT *, row_number() OVER () AS r, CASE WHEN source_size > 0
+        THEN greatest(ceil((2.0::DOUBLE * target - 2 * b - size) / (2 * source_size)::DOUBLE), 0)::BIGINT ELSE 0 END AS copies
+    FROM laid),
+turns AS (
+    SELECT *, (pass * source_size + b)::DOUBLE / target AS share
+    FROM (SELECT *, unnest(range(copies)) AS pass FROM counted)),
+timed AS (SELECT r, source, doc_id, size, pass, {position} AS position FROM turns),
+placed AS (
+    SELECT r, pass, position, row_number() OVER (ORDER BY position, source NULLS FIRST, doc_id NULLS FIRST, size, pass, r) - 1 AS n
+    FROM timed),
+places AS (
+    SELECT r, min(n) AS first_place, max(n) AS last_place, floor(1000000 * min(position))::BIGINT AS first_ppm
+    FROM placed GROUP BY r)
+SELECT doc_id, size, source_size, target, copies * size AS taken, first_ppm, first_place, last_place
+FROM counted LEFT JOIN places USING (r)
 """
 
 

@@ -56,6 +56,28 @@ def test_curriculum_order_and_columns(spark):
     assert found == +want or found.total() == want.total()
 
 
+def test_places_follow_the_positions(spark):
+    docs = cases.edge_docs(spark)
+    got = mixing.sorted_mix(docs, cases.stored(spark)).collect()
+    low = lambda x: (x is not None, x)
+    turns = sorted(
+        ((p, low(r.source), low(r.doc_id), r.size, k) for r in got for k, p in enumerate(r.positions)),
+    )
+    at = {}
+    for n, turn in enumerate(turns):
+        at.setdefault(turn, []).append(n)
+    for r in got:
+        mine = [at[p, low(r.source), low(r.doc_id), r.size, k] for k, p in enumerate(r.positions)]
+        assert (r.first_place is None) == (r.copies == 0) and (r.last_place is None) == (r.copies == 0)
+        if mine:
+            assert r.first_place in mine[0] and r.last_place in mine[-1]
+    assert Counter(r.first_place for r in got if r.copies).most_common(1)[0][1] == 1
+    again = mixing.sorted_mix(docs.repartition(5), cases.stored(spark)).collect()
+    tell = lambda rows: Counter((r.doc_id, r.source, r.size, r.first_place, r.last_place) for r in rows)
+    assert tell(again) == tell(got)
+    assert mixing.sorted_mix(cases.empty_docs(spark), cases.stored(spark)).count() == 0
+
+
 def test_heavy_sources_come_later(spark):
     rows = [(i, "w " * 10, f"s{i % 3}") for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
