@@ -12,6 +12,7 @@ from daygrain.functions.storage import reliable
 HOT_ROWS = 1_000_000  # rows of a key that one task may join
 MAX_HOT = 10_000
 NULL_SPREAD = 4096
+BUCKETS = 1 << 20  # of hashed keys in a sketch
 
 
 def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int) -> DataFrame | None:
@@ -36,12 +37,82 @@ def _any_null(keys: Sequence[str]) -> Column:
     return test
 
 
+class KeySketch:
+    """Rows of a table per bucket of hashed keys, for all lookups that are to be joined to it.
+
+    One job reads the table once, whatever the number of lookups; the counts (at most ``BUCKETS`` rows a lookup) are stored
+    and later plans read those. Keys that share a bucket are counted together, so a key may be cut into more pieces than
+    it needs, never into fewer. Keys of floating point are left out: they go by ``find_hot``.
+    """
+
+    def __init__(
+        self, rows: DataFrame, key_sets: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
+    ) -> None:
+        kinds = dict(rows.dtypes)
+        known = [tuple(keys) for keys in key_sets if all(kinds.get(k) not in (None, "float", "double") for k in keys)]
+        self.kinds = {keys: [kinds[k] for k in keys] for keys in dict.fromkeys(known)}
+        self._pieces: dict[tuple[str, ...], DataFrame | None] = {}
+        if not self.kinds:
+            return
+        places = [
+            F.struct(F.lit(i).alias("_set"), _bucket(keys).alias("_code")) for i, keys in enumerate(self.kinds)
+        ]
+        coded = rows.select(F.explode(F.array(*places)).alias("_at")).select("_at.*")
+        counts = reliable(coded.groupBy("_set", "_code").agg(F.count("*").alias("_size")))
+        shapes = counts.groupBy("_set").agg(F.sum("_size").alias("total"), F.max("_size").alias("largest"))
+        shape = {r["_set"]: r for r in shapes.collect()}
+        for i, keys in enumerate(self.kinds):
+            limit = max(float(hot_rows), shape[i]["total"] / max_hot) if i in shape else float(hot_rows)
+            hot = None
+            if i in shape and shape[i]["largest"] > limit:
+                hot = counts.where((F.col("_set") == i) & (F.col("_size") > limit)).select(
+                    "_code", F.ceil(F.col("_size") / F.lit(limit)).cast("long").alias("_pieces")
+                )
+            self._pieces[keys] = hot
+
+    def covers(self, base: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> bool:
+        """Whether both sides' keys have the counted types, so that equal keys share a bucket."""
+        sides = [[dict(side.dtypes)[k] for k in keys] for side in (base, lookup)]
+        return self.kinds.get(tuple(keys)) == sides[0] == sides[1]
+
+    def pieces(self, keys: Sequence[str]) -> DataFrame | None:
+        """Pieces per hot bucket (``_code``), or None."""
+        return self._pieces[tuple(keys)]
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+
+
+def _split_join(
+    base: DataFrame, lookup: DataFrame, keys: Sequence[str], pieces: DataFrame, by: Sequence[str], salt: Column
+) -> DataFrame:
+    """Left join on keys and a salt below the ``_pieces`` that both sides find by the columns ``by``."""
+    salted_base = (
+        base.join(F.broadcast(pieces), by, "left")
+        .withColumn(
+            "_salt",
+            F.when(_any_null(keys), F.pmod(salt, F.lit(NULL_SPREAD)))
+            .when(F.col("_pieces").isNull(), F.lit(0))
+            .otherwise(F.pmod(salt, F.col("_pieces")))
+            .cast("long"),
+        )
+        .drop("_pieces")
+    )
+    repeats = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    repeated = (
+        lookup.join(F.broadcast(pieces), by, "left").withColumn("_salt", F.explode(repeats)).drop("_pieces")
+    )
+    return salted_base.join(repeated, [*keys, "_salt"], "left")
+
+
 def salted_lookup(
     base: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     hot_rows: int = HOT_ROWS,
     max_hot: int = MAX_HOT,
+    sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Left equi-join to a lookup with one row per key, splitting hot base keys.
 
@@ -49,45 +120,52 @@ def salted_lookup(
     lookup row repeated once per piece, so at most ``2 * max_hot`` rows are added.
     Other keys join unchanged and Spark picks broadcast or shuffle from the sizes it
     measures. Base rows with a null key cannot match; many of them are spread as well.
+    A ``sketch`` of the base's keys, where it covers these, saves the size check.
     """
     keys = list(keys)
-    hot = find_hot(base, keys, hot_rows, max_hot)
     extra = [c for c in lookup.columns if c not in keys]
-    if hot is None:
+    sketched = sketch is not None and sketch.covers(base, lookup, keys)
+    if sketched:
+        pieces, by = sketch.pieces(keys), ["_code"]
+    else:
+        hot, by, pieces = find_hot(base, keys, hot_rows, max_hot), keys, None
+        if hot is not None:
+            pieces = hot.select(*keys, F.ceil(F.col("_size") / F.col("_limit")).cast("long").alias("_pieces"))
+    if pieces is None:
         return base.join(lookup, keys, "left").select(*base.columns, *extra)
-    pieces = hot.select(*keys, F.ceil(F.col("_size") / F.col("_limit")).cast("long").alias("_pieces"))
     hashable = [c for c, kind in base.dtypes if "map<" not in kind]
     rows_hash = F.abs(F.xxhash64(*hashable) % F.lit(1_000_003)) + F.spark_partition_id()
-    salted_base = (
-        base.join(F.broadcast(pieces), keys, "left")
-        .withColumn(
-            "_salt",
-            F.when(_any_null(keys), F.pmod(rows_hash, F.lit(NULL_SPREAD)))
-            .when(F.col("_pieces").isNull(), F.lit(0))
-            .otherwise(F.pmod(rows_hash, F.col("_pieces")))
-            .cast("long"),
-        )
-        .drop("_pieces")
-    )
-    repeats = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
-    repeated = (
-        lookup.join(F.broadcast(pieces), keys, "left").withColumn("_salt", F.explode(repeats)).drop("_pieces")
-    )
-    return salted_base.join(repeated, [*keys, "_salt"], "left").select(*base.columns, *extra)
+    left, right = base, lookup
+    if sketched:
+        left, right = left.withColumn("_code", _bucket(keys)), right.withColumn("_code", _bucket(keys))
+    joined = _split_join(left, right, keys, pieces, by, rows_hash)
+    return joined.select(*base.columns, *extra)
 
 
-def spread_lookup(
-    base: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_on: Sequence[str], pieces: int = 16
+def crowd_lookup(
+    base: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    member: str,
+    members: DataFrame,
+    crowd: Sequence[str],
+    most: int = HOT_ROWS,
+    max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """Left join to a small aggregated lookup, each lookup row repeated ``pieces`` times.
+    """Left join to a lookup with one row per key, where a key has one base row per member of its crowd at most.
 
-    For base tables that are costly to size first: rows of one key spread over
-    ``pieces`` tasks by a hash of ``spread_on``, whether or not the key is hot.
+    For base tables that are costly to count: ``members`` is the small table behind them, one row per ``member`` with its
+    ``crowd`` (some of the keys). A crowd of more than ``most`` members is cut into ``ceil(members / most)`` pieces by a hash of
+    the member, others stay whole. Base rows with a null key cannot match and are spread by member.
     """
-    keys = list(keys)
-    left = base.withColumn("_salt", F.pmod(F.xxhash64(*spread_on), F.lit(pieces)))
-    right = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long")))
-    )
+    keys, crowd = list(keys), list(crowd)
     extra = [c for c in lookup.columns if c not in keys]
-    return left.join(right, [*keys, "_salt"], "left").select(*base.columns, *extra)
+    hot = find_hot(members.select(*crowd), crowd, most, max_hot)
+    salt = F.xxhash64(member)
+    if hot is None:
+        left = base.withColumn("_salt", F.when(_any_null(keys), F.pmod(salt, F.lit(NULL_SPREAD))).otherwise(F.lit(0).cast("long")))
+        joined = left.join(lookup.withColumn("_salt", F.lit(0).cast("long")), [*keys, "_salt"], "left")
+    else:
+        pieces = hot.select(*crowd, F.ceil(F.col("_size") / F.col("_limit")).cast("long").alias("_pieces"))
+        joined = _split_join(base, lookup, keys, pieces, crowd, salt)
+    return joined.select(*base.columns, *extra)

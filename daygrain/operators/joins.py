@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions.scalars import floor_hour
-from daygrain.functions.skew import salted_lookup, spread_lookup
+from daygrain.functions.skew import HOT_ROWS, MAX_HOT, KeySketch, crowd_lookup, salted_lookup
 from daygrain.names import GENERIC, Names
 from daygrain.operators.clean import dedupe_keys
 
@@ -52,20 +52,19 @@ def integrate_entity_day(
     registry: DataFrame,
     context: DataFrame,
     names: Names = GENERIC,
-    pieces: int = 16,
+    most: int = HOT_ROWS,
 ) -> DataFrame:
     """exposure ⟕ typed counts ⟕ incident day ⟕ registry ⟕ daily context.
 
     The first three are aggregated on the same (entity, day) grain and share its
     partitioning. An entity has one row per day here, so the registry join cannot be
-    skewed; a city can hold many entities, so the context join is spread by entity.
+    skewed; a city can hold many entities, so one with more than ``most`` in the registry
+    is cut into pieces for the context join.
     """
     joined = exposure.join(typed, names.grain, "left").join(incident, names.grain, "left")
     joined = joined.join(registry.select(names.entity, *names.attrs), names.entity, "left")
-    joined = spread_lookup(
-        joined, context, [names.region, names.city, names.day], [names.entity], pieces
-    )
-    return joined
+    crowd = [names.region, names.city]
+    return crowd_lookup(joined, context, [*crowd, names.day], names.entity, registry, crowd, most)
 
 
 def dense_spine(
@@ -75,17 +74,17 @@ def dense_spine(
     context: DataFrame,
     defaults: Mapping[str, object],
     names: Names = GENERIC,
-    pieces: int = 16,
+    most: int = HOT_ROWS,
 ) -> DataFrame:
     """Every entity on every day of the range, with daily context and defaults in the gaps.
 
-    Days are generated row by row from the two bounds (dates or scalar columns).
+    Days are generated row by row from the two bounds (dates or scalar columns). A city with more
+    than ``most`` entities is cut into pieces for the context join.
     """
     days = F.explode(F.sequence(first_day, last_day, F.expr("interval 1 day")))
     spine = entities.withColumn(names.day, days)
-    spine = spread_lookup(
-        spine, context, [names.region, names.city, names.day], [names.entity], pieces
-    )
+    crowd = [names.region, names.city]
+    spine = crowd_lookup(spine, context, [*crowd, names.day], names.entity, entities, crowd, most)
     return spine.fillna(dict(defaults))
 
 
@@ -122,10 +121,17 @@ def scalar_broadcast(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def star_join(
-    fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], **limits: int
+    fact: DataFrame,
+    dims: Sequence[tuple[DataFrame, Sequence[str]]],
+    hot_rows: int = HOT_ROWS,
+    max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """Many-to-one left joins of a fact to its dimensions (one row per key each)."""
+    """Many-to-one left joins of a fact to its dimensions (one row per key each).
+
+    One sketch of the fact's keys serves all dimensions. Keys that an earlier dimension brings are counted when their turn comes.
+    """
+    sketch = KeySketch(fact, [keys for _, keys in dims], hot_rows, max_hot)
     for dim, keys in dims:
         fresh = [c for c in dim.columns if c not in fact.columns or c in keys]
-        fact = salted_lookup(fact, dim.select(*fresh), keys, **limits)
+        fact = salted_lookup(fact, dim.select(*fresh), keys, hot_rows, max_hot, sketch)
     return fact
