@@ -104,6 +104,8 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # a character that a removal cuts through shows as a replacement character
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import brute
@@ -35,7 +36,18 @@ def test_op5_and_op9_match_brute_force(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute.near_text(rows, 3, 85, 100)
     spans = brute.repeats([(t or "").encode() for _, t in rows], 400)
     want = {i: (len((t or "").encode()), sum(b - a for a, b in s), len(s)) for (i, t), s in zip(rows, spans, strict=True)}
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in queries.op9_suffix_array(spark, FOLDER).collect()} == want
+    got = queries.op9_suffix_array(spark, FOLDER).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in got} == want
+    kept = {}
+    for (i, t), s in zip(rows, spans, strict=True):
+        data, ends = (t or "").encode(), [0, *[x for span in s for x in span]]
+        kept[i] = b"".join(data[a:b] for a, b in zip(ends[::2], [*ends[1::2], len(data)], strict=True))
+    assert {r.doc_id: r.kept_sha256 for r in got} == {i: hashlib.sha256(k).hexdigest() for i, k in kept.items()}
+    for r in got:  # only characters that were cut through differ
+        try:
+            assert r.kept_text == kept[r.doc_id].decode()
+        except UnicodeDecodeError:
+            assert "\ufffd" in r.kept_text
 
 
 def test_pipeline_matches_a_plain_version(spark):
