@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching (PPM) over bytes.
 
-For each language a context tree holds how often each byte followed each context of up to ``ORDER`` bytes in a
-sample of labelled texts. Contexts seen fewer than ``LEAST`` times in a language are not in its tree, so the
+For each language a context tree holds how often each byte followed each context of up to ``ORDER`` bytes in
+the labelled texts. Contexts seen fewer than ``LEAST`` times in a language are not in its tree, so the
 order varies. A byte seen in the longest context costs its share there; a new one costs the escape probability
 and is coded in the next shorter context, down to eight bits for a byte never seen (escape method C, without
 exclusions). The statistics are frozen: the cost of a byte depends on it and the ``ORDER`` bytes before
@@ -15,18 +15,22 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daygrain.functions.order_stats import exact_percentile_of_table
+from daygrain.functions.storage import reliable
 from daygrain.llm import buffers as B
 from daygrain.llm.tables import small
 
 ORDER = 4
 LEAST = 2
-SAMPLE_ROWS, SAMPLE_BYTES = 400, 400_000  # of each language; the bound of what the driver collects
+SAMPLE_ROWS, SAMPLE_BYTES = 400, 400_000  # of each language, where a sample is asked for
+MOST_GRAMS = 1 << 18  # of the trees of all languages: the bound of what the driver collects and a task holds
+HELD_GRAMS = 1 << 18  # counted in a task before they are added up
 LONG = 20  # texts over this part of the bytes are used only where others do not fill the sample
 UNKNOWN = "und"
 #: The limit of code lengths: this quantile of bits per byte of labelled texts kept out of the trees, times the margin, and so many bits a text.
@@ -137,12 +141,58 @@ class Trees:
         return out
 
 
-def _gram_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for language, texts in frame.groupby("lang")["text"]:
-            data, offsets = B.string_bytes(pa.array(texts, pa.large_string()))
-            gram, count = np.unique(gram_codes(data, offsets), return_counts=True)
-            yield pd.DataFrame({"lang": language, "gram": gram.astype(np.int64), "count": count})
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the grams of each language; those of many texts are added up before they leave the task."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def added(language: str) -> tuple[np.ndarray, np.ndarray]:
+        gram, where = np.unique(np.concatenate([g for g, _ in held[language]]), return_inverse=True)
+        count = np.zeros(len(gram), np.int64)
+        np.add.at(count, where, np.concatenate([c for _, c in held[language]]))
+        return gram, count
+
+    def rows(language: str) -> pa.RecordBatch:
+        gram, count = added(language)
+        names = pa.DictionaryArray.from_arrays(np.zeros(len(gram), np.int32), [language]).cast(pa.string())
+        return pa.RecordBatch.from_arrays([names, pa.array(gram.astype(np.int64)), pa.array(count)], names=["lang", "gram", "count"])
+
+    for batch in batches:
+        spoken = batch.column(0)
+        for language in spoken.unique().to_pylist():
+            data, offsets = B.string_bytes(batch.column(1).filter(pc.equal(spoken, language)))
+            for i, j in B.row_chunks(offsets):
+                codes = gram_codes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                parts = held.setdefault(language, [])
+                parts.append(np.unique(codes, return_counts=True))
+                if sum(len(g) for g, _ in parts) > HELD_GRAMS:
+                    held[language] = [added(language)]
+                    if len(held[language][0][0]) > HELD_GRAMS // 2:
+                        yield rows(language)
+                        del held[language]
+    for language in held:
+        yield rows(language)
+
+
+def _fewer(counts: DataFrame, most: int) -> DataFrame:
+    """``counts`` in at most about ``most`` rows: the rarest grams of the longest contexts lose their first byte and are added up.
+
+    Every byte of every text stays counted, in a context as long as there is room for. Powers of two of the counts tell which go.
+    """
+    counts = reliable(counts)
+    for order in range(ORDER, 0, -1):
+        sizes = sorted(counts.groupBy(F.floor(F.log2("count")).alias("p")).count().collect(), reverse=True)
+        if sum(r["count"] for r in sizes) <= most:
+            break
+        kept, least = 0, 1 << 62
+        for r in sizes:
+            kept += r["count"]
+            if kept > most // 2:
+                break
+            least = 1 << r["p"]
+        short = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))
+        gram = F.when(F.col("count") < least, short).otherwise(F.col("gram")).alias("gram")
+        counts = reliable(counts.select("lang", gram, "count").groupBy("lang", "gram").agg(F.sum("count").alias("count")))
+    return counts
 
 
 def sample(
@@ -188,37 +238,38 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    rows: int = SAMPLE_ROWS,
-    size: int = SAMPLE_BYTES,
+    rows: int | None = None,
+    size: int | None = None,
+    most: int = MOST_GRAMS,
 ) -> Trees:
-    """Trees of every language with a labelled text, from a ``sample`` of them."""
-    counts = (
-        sample(labelled, id_col, text_col, lang_col, rows, size)
-        .mapInPandas(_gram_counts, "lang string, gram long, count long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("count").alias("count"))
-        .toPandas()
-        .sort_values(["lang", "gram"])
-    )
-    languages = sorted(counts["lang"].unique())
-    number = counts["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)
-    return Trees(languages, number, counts["gram"].to_numpy().astype(np.uint64), counts["count"].to_numpy(float))
-
+    """Trees of every language with a labelled text, from all of them; from a ``sample`` where ``rows`` or ``size`` ask for one.
 
-def most_bits(trees: Trees, labelled: DataFrame, **options) -> float | None:
-    """Bits a byte up to which a text is taken to be in a learned language: a high quantile over a ``sample`` of labelled texts that the
+    Rows without language, text or id are not used. ``most`` bounds the trees, not the texts: see ``_fewer``.
+    """
+    if rows is None and size is None:
+        usable = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
+        texts = usable.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    else:
+        texts = sample(labelled, id_col, text_col, lang_col, rows or SAMPLE_ROWS, size or SAMPLE_BYTES)
+    counted = texts.mapInArrow(B.tidy(_gram_counts), "lang string, gram long, count long")
+    counts = _fewer(counted.groupBy("lang", "gram").agg(F.sum("count").alias("count")), most).toArrow()
+    languages = sorted(pc.unique(counts["lang"]).to_pylist())
+    number = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy().astype(np.int64)
+    return Trees(languages, number, counts["gram"].to_numpy().astype(np.uint64), counts["count"].to_numpy().astype(float))
+
+
+def most_bits(trees: Trees, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> float | None:
+    """Bits a byte up to which a text is taken to be in a learned language: a high quantile over all labelled texts that the
     trees were not made of, with a margin. None if there is no such text."""
-    found = identify(sample(labelled, **options).select("text"), trees, keep=()).where(F.col("lang_pred") != UNKNOWN)
-    top = found.agg(F.percentile("bits_per_byte", F.lit(QUANTILE))).first()[0]
+    texts = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    found = identify(texts, trees, text_col, keep=()).where(F.col("lang_pred") != UNKNOWN)
+    top = exact_percentile_of_table(found, "bits_per_byte", {"top": QUANTILE}).first()["top"]
     return None if top is None else top * MARGIN
 
 
-def _scores(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.RecordBatch]:
+def _scores(batches: Iterator[tuple[pa.Array, pa.Array]], trees: Trees) -> Iterator[pa.StructArray]:
     names = np.array([*trees.languages, UNKNOWN], object)
-    for batch in batches:
-        *carried, text, letters = batch.columns
-        if pa.types.is_integer(text.type):  # the text is a field of the row
-            text = carried[0].field(text[0].as_py()).fill_null("") if len(text) else pa.array([], pa.string())
+    for text, letters in batches:
         data, offsets = B.string_bytes(text)
         lengths = np.concatenate(
             [
@@ -232,16 +283,13 @@ def _scores(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.Reco
         least = lengths[np.arange(len(best)), best]
         share = 1 / np.exp2(np.maximum(least[:, None] - lengths, -1000)).sum(axis=1)
         size = np.maximum(np.diff(offsets), 1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                *carried,
-                pa.array(names[np.where(known, best, len(trees.languages))], pa.string()),
-                pa.array(np.where(known, share, 0.0)),
-                pa.array(least / size),
-                pa.array(np.diff(offsets)),
-            ],
-            names=[*batch.schema.names[:-2], "lang_pred", "score", "bits_per_byte", "n_bytes"],
-        )
+        told = {
+            "lang_pred": pa.array(names[np.where(known, best, len(trees.languages))], pa.string()),
+            "score": pa.array(np.where(known, share, 0.0)),
+            "bits_per_byte": pa.array(least / size),
+            "n_bytes": pa.array(np.diff(offsets)),
+        }
+        yield pa.StructArray.from_arrays(list(told.values()), names=list(told))
 
 
 def identify(docs: DataFrame, trees: Trees, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -249,25 +297,26 @@ def identify(docs: DataFrame, trees: Trees, text_col: str = "text", keep: Sequen
 
     ``und`` with score 0 for a null text, one without a letter, or if no language was learned. ``score`` is the
     language's share of the probability of the text; ``bits_per_byte`` the length of its shortest code, below 8
-    for anything that some language explains better than no model. Ties go to the language first in order. A text that is
-    kept passes through Python once, within the row.
+    for anything that some language explains better than no model. Ties go to the language first in order. Only the text goes to
+    Python, and only the figures come back; the row stays with Spark.
     """
     keep = docs.columns if keep is None else list(keep)
     row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("_"))
     text = F.col(f"`{text_col}`")
-    rows = docs.select(
-        row.alias("row"),
-        (F.lit(keep.index(text_col)) if text_col in keep else F.coalesce(text, F.lit(""))).alias("text"),
-        F.coalesce(text.rlike("\\p{L}"), F.lit(False)).alias("letters"),
-    )
     if not trees.languages:
         size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
         return docs.select(
             row.alias("row"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(8.0).alias("bits_per_byte"), size.alias("n_bytes")
         )
-    held = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, bits_per_byte double, n_bytes long"
-    return rows.mapInArrow(B.tidy(lambda it: _scores(it, held.value)), schema)
+    held = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by ``train``
+
+    def told(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return B.tidy(lambda it: _scores(it, held.value))(batches)
+
+    scored = F.arrow_udf(told, "lang_pred string, score double, bits_per_byte double, n_bytes long")
+    # not deterministic, so that a filter on the figures does not have them made a second time
+    figures = scored.asNondeterministic()(F.coalesce(text, F.lit("")), F.coalesce(text.rlike("\\p{L}"), F.lit(False)))
+    return docs.select(row.alias("row"), figures.alias("_told")).select("row", "_told.*")
 
 
 def in_learned_language(docs: DataFrame, trees: Trees, text_col: str = "text", max_bits: float | None = None) -> DataFrame:

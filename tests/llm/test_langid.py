@@ -112,3 +112,42 @@ def test_texts_in_languages_not_learned_go(spark):
     own = docs.where("lang is not null")
     assert langid.in_learned_language(own, trees, max_bits=limit).count() >= 0.995 * own.count()
     assert langid.most_bits(trees, docs.where("false")) is None
+
+
+def _many(spark, n):
+    """More texts of a language than a sample takes, the last ones of words that no other has."""
+    rows = [(i, cases.prose(i, 6) if i < n - 60 else f"zqx{i % 7}kw wqj{i % 5}zx xx{i % 11}yq", "en") for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows
+
+
+def test_trees_are_counted_over_all_texts(spark):
+    docs, rows = _many(spark, 3 * langid.SAMPLE_ROWS)
+    want = brute.Ppm([t for _, t, _ in rows], langid.ORDER, langid.LEAST)
+    probe = ["zqx3kw wqj2zx xx4yq", cases.prose(5, 6), "zzqx"]
+    for held in (langid.HELD_GRAMS, 50):  # also where a task adds up and sends its counts several times
+        langid.HELD_GRAMS, kept = held, langid.HELD_GRAMS
+        try:
+            got = langid.train(docs).code_lengths(*buffers.string_bytes(pa.array(probe)))[:, 0]
+        finally:
+            langid.HELD_GRAMS = kept
+        assert got == pytest.approx([want.bits(t) for t in probe], rel=1e-5)
+
+
+def test_the_limit_is_taken_over_all_labelled_texts(spark):
+    docs, _ = _many(spark, 3 * langid.SAMPLE_ROWS)
+    trees = langid.train(docs.where("doc_id < 500"))
+    bits = [r[0] for r in langid.identify(docs, trees, keep=()).where("lang_pred <> 'und'").select("bits_per_byte").collect()]
+    assert len(bits) == docs.count()
+    assert langid.most_bits(trees, docs) == pytest.approx(np.quantile(bits, langid.QUANTILE) * langid.MARGIN, rel=1e-9)
+
+
+def test_a_bound_on_the_trees_leaves_every_byte_counted(spark):
+    docs, _ = _many(spark, 300)
+    full = docs.select("lang", "text").mapInArrow(langid._gram_counts, "lang string, gram long, count long")
+    counts = full.groupBy("lang", "gram").agg({"count": "sum"}).withColumnRenamed("sum(count)", "count")
+    fewer = langid._fewer(counts, 400).toPandas()
+    whole = counts.toPandas()
+    assert len(whole) > 400 >= len(fewer)
+    last = lambda x: x.groupby(x["gram"] & 0xFF)["count"].sum().to_dict()
+    assert last(fewer) == last(whole)
+    assert langid._fewer(counts, len(whole)).count() == len(whole)
