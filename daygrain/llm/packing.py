@@ -161,34 +161,38 @@ _tables: dict[str, WordTable] = {}
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     table = _tables.get(path) or _tables.setdefault(path, WordTable(path))
-    for batch in batches:
-        data, offsets = B.string_bytes(batch.column(1))
-        texts = batch.column(1)
-        for i, j in B.row_chunks(offsets):
-            strings = texts[i:j].to_pylist()
-            odd = {k: x for k, x in enumerate(strings) if table.unusual.search(x)}
-            if odd:
-                part = pa.array(["" if k in odd else x for k, x in enumerate(strings)], pa.large_string())
-                ids, counts = table.encode(*B.string_bytes(part))
-                lists = np.split(ids, np.cumsum(counts)[:-1])
-                for k, x in odd.items():
-                    lists[k] = np.array(table.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32)
-                ids, counts = np.concatenate(lists), np.array([len(x) for x in lists])
-            else:
-                ids, counts = table.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            ids = np.insert(ids, np.cumsum(counts), END).astype("<u4")
-            counts = counts + 1
-            cuts = -(-counts // capacity)
-            row = np.repeat(np.arange(j - i), cuts)
-            start = (np.arange(len(row)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * capacity
-            length = np.minimum(capacity, counts[row] - start)
-            edges = np.zeros(len(row) + 1, np.int32)
-            np.cumsum(length * 4, out=edges[1:])
-            binary = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row + i)), pa.array(start), pa.array(length), binary, pa.array(counts[row])],
-                names=["doc_id", "start", "length", "ids", "doc_tokens"],
-            )
+    try:
+        for batch in batches:
+            data, offsets = B.string_bytes(batch.column(1))
+            texts = batch.column(1)
+            for i, j in B.row_chunks(offsets):
+                strings = texts[i:j].to_pylist()
+                odd = {k: x for k, x in enumerate(strings) if table.unusual.search(x)}
+                if odd:
+                    part = pa.array(["" if k in odd else x for k, x in enumerate(strings)], pa.large_string())
+                    ids, counts = table.encode(*B.string_bytes(part))
+                    lists = np.split(ids, np.cumsum(counts)[:-1])
+                    for k, x in odd.items():
+                        lists[k] = np.array(table.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32)
+                    ids, counts = np.concatenate(lists), np.array([len(x) for x in lists])
+                else:
+                    ids, counts = table.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                ids = np.insert(ids, np.cumsum(counts), END).astype("<u4")
+                counts = counts + 1
+                cuts = -(-counts // capacity)
+                row = np.repeat(np.arange(j - i), cuts)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * capacity
+                length = np.minimum(capacity, counts[row] - start)
+                edges = np.zeros(len(row) + 1, np.int32)
+                np.cumsum(length * 4, out=edges[1:])
+                binary = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row + i)), pa.array(start), pa.array(length), binary, pa.array(counts[row])],
+                    names=["doc_id", "start", "length", "ids", "doc_tokens"],
+                )
+    finally:
+        table.clear()  # the process goes on to other tasks, and its memory is theirs
+
 
 def token_pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
