@@ -94,16 +94,6 @@ def _inside(present: DataFrame, cells: DataFrame, keys: Sequence[str], value: st
     return present.join(F.broadcast(right) if few else right, reduce(and_, condition)).drop(*[f"_r_{k}" for k in keys])
 
 
-def _steps_below(borders: Column, value: Column, most: int) -> Column:
-    """The number of borders below the value, by binary search in steps."""
-    at, step = F.lit(0), 1 << (most.bit_length() - 1)
-    while step:
-        ahead = at + F.lit(step)
-        at = F.when(F.try_element_at(borders, ahead) < value, ahead).otherwise(at)
-        step //= 2
-    return at
-
-
 def locate(
     present: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column], cell_rows: int, cuts: int, max_hot: int
 ) -> tuple[DataFrame, int]:
@@ -148,12 +138,14 @@ def locate(
         # stored, because a sketch may differ between runs and every use must see the same borders
         lined = reliable(cut.join(borders, "_id").select(*cell, "_borders"))
         d = F.col(value).cast("double")
-        below = _steps_below(F.col("_borders"), d, cuts)
         at_border = F.coalesce(F.try_element_at("_borders", F.col("_below") + 1) == d, F.lit(False))
+        placed, step = _inside(present, lined, keys, value, few).withColumn("_below", F.lit(0)), 1 << (cuts.bit_length() - 1)
+        while step:  # the number of borders below the value, by binary search: a column a step, as one expression it would double with each
+            ahead = F.col("_below") + F.lit(step)
+            placed = placed.withColumn("_below", F.when(F.try_element_at("_borders", ahead) < d, ahead).otherwise(F.col("_below")))
+            step //= 2
         sliced = (
-            _inside(present, lined, keys, value, few)
-            .withColumn("_below", below)
-            .withColumn("_at", at_border)
+            placed.withColumn("_at", at_border)
             .groupBy("_id", "_below", "_at")
             .agg(F.count("*").alias("_c"), F.min(value).alias("_least"), F.max(value).alias("_most"))
         )
@@ -188,7 +180,8 @@ def ranked_values(
     A rank outside the group has no value. Groups without values, or with all ranks outside, have no row.
     """
     keys = list(keys)
-    present = rows.where(F.col(value).isNotNull()).select(*keys, value)
+    # stored: it is read several times a round, and the plan behind it may be costly
+    present = reliable(rows.where(F.col(value).isNotNull()).select(*keys, value))
     cells, _ = locate(present, keys, value, ranks, cell_rows, cuts, max_hot)
     settled = F.col("_value").isNotNull()
     last = cells.where(~settled).select(*keys, "_id", "_low", "_high", "_point", "_start").distinct()
@@ -273,4 +266,4 @@ def exact_percentile_of_table(df: DataFrame, value: str, probs: Mapping[str, flo
     """
     rows = df.select(F.lit(0).alias("_all"), F.col(value).cast("double").alias("_v"))
     found = _sliced_percentiles(rows, ["_all"], "_v", probs, cell_rows=hot_rows, **limits)
-    return found.agg(*[F.max(name).alias(name) for name in probs])
+    return reliable(found.agg(*[F.max(name).alias(name) for name in probs]))

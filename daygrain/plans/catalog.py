@@ -569,7 +569,7 @@ def top_k_per_group(t):
 
 @query
 def best_scenario(t):
-    scores = scenario.scenario_scores(t.stored_day, fixed_scorer)
+    scores = reliable(scenario.scenario_scores(t.stored_day, fixed_scorer))
     best = ranking.best_scenario(scenario.scenario_summary(scores))
     return best.select("scenario", "avg_risk_reduction", "high_risk_road_days_reduced")
 
@@ -872,7 +872,7 @@ def scenario_scores(t):
 
 @query
 def scenario_summary(t):
-    return scenario.scenario_summary(scenario.scenario_scores(t.stored_day, fixed_scorer))
+    return scenario.scenario_summary(reliable(scenario.scenario_scores(t.stored_day, fixed_scorer)))
 
 
 @query
@@ -883,7 +883,7 @@ def scenario_opportunities(t):
 
 @query
 def scenario_region_impact(t):
-    return scenario.scenario_region_impact(scenario.scenario_scores(t.stored_day, fixed_scorer))
+    return scenario.scenario_region_impact(reliable(scenario.scenario_scores(t.stored_day, fixed_scorer)))
 
 
 @query

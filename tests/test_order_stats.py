@@ -153,3 +153,32 @@ def test_long_values_beyond_doubles(spark):
     row = ranked_values(df, ["g"], "v", ranks, cell_rows=20, cuts=8).first()
     values = sorted(v for (v,) in rows)
     assert (row["x"], row["y"], row["none"], row["over"]) == (values[1000], values[5], None, None)
+
+
+def test_the_plan_behind_the_values_runs_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    df = spark.range(4000).selectExpr("id % 3 AS g", "cast((id * 7919) % 4001 AS double) AS v").mapInPandas(counted, "g long, v double")
+    found = ranked_values(df, ["g"], "v", {"x": F.lit(700)}, cell_rows=20, cuts=8).collect()
+    values = [sorted((i * 7919) % 4001 for i in range(4000) if i % 3 == g)[700] for g in range(3)]
+    assert {r["g"]: r["x"] for r in found} == dict(enumerate(map(float, values)))
+    assert read.value == 4000
+
+
+def test_the_percentile_of_a_table_is_not_searched_again(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    df = spark.range(1000).selectExpr("cast(id AS double) AS v").mapInPandas(counted, "v double")
+    median = exact_percentile_of_table(df, "v", {"m": 0.5}, hot_rows=50, cuts=8)
+    assert [median.first()["m"] for _ in range(3)] == [499.5] * 3
+    assert read.value == 1000
