@@ -132,6 +132,10 @@ def content_digest(df: DataFrame, name: str) -> DataFrame:
         return F.concat(F.lit(f"{c}="), F.coalesce(value.cast("string"), F.lit("~")))
 
     row = F.md5(F.concat_ws("|", *[shown(c, kind) for c, kind in sorted(df.dtypes)]))
-    number = F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(20,0)")
-    digest = F.coalesce(F.sum(number), F.lit(0)).cast("string")
-    return df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), digest.alias("digest"))
+    number = F.conv(F.substring(row, 1, 12), 16, 10).cast("bigint")
+    # summed as two halves of 24 bits, which fit whole numbers for 2^39 rows; a decimal a row takes longer than the MD5
+    upper, lower = F.sum(F.shiftright("_number", 24)), F.sum(F.col("_number").bitwiseAND(F.lit((1 << 24) - 1)))
+    both = upper.cast("decimal(20,0)") * F.lit(1 << 24).cast("decimal(8,0)") + lower.cast("decimal(20,0)")
+    digest = F.coalesce(both, F.lit(0)).cast("string")
+    numbers = df.select(number.alias("_number"))
+    return numbers.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), digest.alias("digest"))
