@@ -4,8 +4,8 @@
 for ordinary groups, so those use it. A group above a row limit is instead narrowed down in rounds: a sketch of
 the group's own values gives borders, slice totals (combined before the shuffle) locate the slice
 that holds the wanted rank, and a slice that is still above the limit is cut again by its own borders. Each border is a
-slice of its own, so a value that repeats without end is found as such. At last the rows of slices within the limit are
-shuffled and ordered. The result is exact whatever the borders are.
+slice of its own, so a value that repeats without end is found as such. A round leaves only the rows of slices that are still
+open, and at last those are shuffled and ordered. The result is exact whatever the borders are.
 """
 
 from __future__ import annotations
@@ -34,10 +34,15 @@ def find_hot(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame |
 
     One counting job that reads only the key columns. The few rows are stored so that plans using them stay short.
     """
+    return _hot_groups(rows, keys, hot_rows)[0]
+
+
+def _hot_groups(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, int, int]:
+    """``find_hot``, the number of its rows and that of all groups."""
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
-    if (sizes.agg(F.max("_size")).first()[0] or 0) <= hot_rows:
-        return None
-    return reliable(sizes.where(F.col("_size") > hot_rows))
+    shape = sizes.agg(F.count_if(F.col("_size") > hot_rows).alias("hot"), F.count("*").alias("all")).first()
+    hot = reliable(sizes.where(F.col("_size") > hot_rows)) if shape["hot"] else None
+    return hot, shape["hot"], shape["all"]
 
 
 def slice_borders(df: DataFrame, value: str, slices: int = SLICES) -> list[float]:
@@ -103,6 +108,18 @@ def locate(
     A cell is an open interval of values, or one value (``_point``), with the number of values before it (``_start``). ``_value``
     is set where all values of the cell are equal; other cells have ``cell_rows`` rows at most.
     """
+    return _narrow(present, keys, value, ranks, cell_rows, cuts, max_hot)[:2]
+
+
+def _open(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The cells, each once, whose rows have to be ordered or cut."""
+    return cells.where(F.col("_value").isNull()).select(*keys, "_id", "_low", "_high", "_point", "_start").distinct()
+
+
+def _narrow(
+    present: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column], cell_rows: int, cuts: int, max_hot: int
+) -> tuple[DataFrame, int, DataFrame]:
+    """``locate``, and those of the rows that lie in cells without ``_value``."""
     wanted = F.inline(F.array(*[F.struct(F.lit(name).alias("_name"), rank.cast("long").alias("_rank")) for name, rank in ranks.items()]))
     groups = present.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(value).alias("_least"), F.max(value).alias("_most"))
     numbered = groups.withColumn("_id", F.monotonically_increasing_id().cast("string"))
@@ -121,7 +138,7 @@ def locate(
         cut = cells.where(too_large).select(*cell).distinct()
         count = cut.count()
         if not count:
-            return cells, done
+            return cells, done, present
         few = count <= max_hot
         marks = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
         part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("_part")
@@ -163,6 +180,9 @@ def locate(
         changed = ("_id", "_low", "_high", "_point", "_start", "_size", "_value")
         moved = moved.select(*keys, "_n", "_name", "_rank", *[F.col(f"_new{c}").alias(c) for c in changed])
         cells = reliable(cells.where(~too_large).unionByName(moved))
+        # the next round and the ordering at the end read the few rows in question, not the whole table again
+        still = _open(cells, keys)
+        present = reliable(_inside(present, still, keys, value, still.count() <= max_hot).select(*keys, value))
     raise RuntimeError("slices did not get smaller")
 
 
@@ -182,9 +202,9 @@ def ranked_values(
     keys = list(keys)
     # stored: it is read several times a round, and the plan behind it may be costly
     present = reliable(rows.where(F.col(value).isNotNull()).select(*keys, value))
-    cells, _ = locate(present, keys, value, ranks, cell_rows, cuts, max_hot)
+    cells, _, present = _narrow(present, keys, value, ranks, cell_rows, cuts, max_hot)
     settled = F.col("_value").isNotNull()
-    last = cells.where(~settled).select(*keys, "_id", "_low", "_high", "_point", "_start").distinct()
+    last = _open(cells, keys)
     few = last.count() <= max_hot
     in_cell = W.partitionBy("_id").orderBy(value)
     placed = (
@@ -239,23 +259,22 @@ def exact_percentiles(
     group = list(keys) or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(0))
     rows = rows.withColumn("_v", F.col(value).cast("double"))
-    hot = find_hot(rows, group, hot_rows)
-    few = hot is None or hot.count() <= max_hot
-
-    ordinary = rows if hot is None else _match(rows, hot, group, "left_anti", few)
-    result = ordinary.groupBy(*group).agg(
-        *aggs, *[F.percentile("_v", float(p)).alias(name) for name, p in probs.items()]
-    )
+    hot, n_hot, n_groups = _hot_groups(rows, group, hot_rows)
+    few = n_hot <= max_hot
+    result = None
+    if n_hot < n_groups or not n_groups:
+        ordinary = rows if hot is None else _match(rows, hot, group, "left_anti", few)
+        result = ordinary.groupBy(*group).agg(*aggs, *[F.percentile("_v", float(p)).alias(name) for name, p in probs.items()])
     if hot is not None:
-        hot_part = _match(rows, hot, group, "left_semi", few)
+        hot_part = rows if result is None else _match(rows, hot, group, "left_semi", few)
         sliced = _sliced_percentiles(hot_part, group, "_v", probs, cell_rows=hot_rows, cuts=cuts, max_hot=max_hot)
         # one row per hot group, matched with null keys equal
-        others = hot_part.groupBy(*group).agg(F.count("*").alias("_size"), *aggs)
-        names = [c for c in others.columns if c not in group and c != "_size"]
+        others = hot_part.groupBy(*group).agg(*aggs) if aggs else hot.select(*group)
+        names = [c for c in others.columns if c not in group]
         pairs = sliced.select(*[F.col(k).alias(f"_r_{k}") for k in group], *probs)
         same = [others[key].eqNullSafe(pairs[f"_r_{key}"]) for key in group]
         sliced = others.join(pairs, reduce(and_, same), "left").select(*group, *names, *probs)
-        result = result.unionByName(sliced)
+        result = sliced if result is None else result.unionByName(sliced)
     return result if keys else result.drop("_all")
 
 

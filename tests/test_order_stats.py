@@ -182,3 +182,21 @@ def test_the_percentile_of_a_table_is_not_searched_again(spark):
     median = exact_percentile_of_table(df, "v", {"m": 0.5}, hot_rows=50, cuts=8)
     assert [median.first()["m"] for _ in range(3)] == [499.5] * 3
     assert read.value == 1000
+
+
+def test_rounds_leave_only_the_rows_in_question(spark):
+    from daygrain.functions.order_stats import _narrow
+
+    df = spark.range(6000).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 6000).cast("double").alias("v"))
+    ranks = {"x": F.lit(10), "y": F.floor((F.col("_n") - 1) * 0.9)}
+    cells, rounds, left = _narrow(df, ["k"], "v", ranks, 100, 8, 10**6)
+    assert rounds >= 2 and left.count() == cells.select("k", "_id", "_size").distinct().agg(F.sum("_size")).first()[0] <= 400
+
+
+def test_no_pass_for_ordinary_groups_where_all_are_hot(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+    hot = exact_percentiles(df, ["k"], "v", {"m": 0.5}, [F.count("*").alias("n")], hot_rows=100, cuts=8)
+    assert "percentile" not in hot._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["k"], r["n"], r["m"]) for r in hot.collect()) == [(0, 1000, 1498.5), (1, 1000, 1499.5), (2, 1000, 1500.5)]
+    bare = exact_percentiles(df.withColumn("v", F.when(F.col("k") > 0, F.col("v"))), ["k"], "v", {"m": 0.5}, hot_rows=100, cuts=8)
+    assert sorted((r["k"], r["m"]) for r in bare.collect()) == [(0, None), (1, 1499.5), (2, 1500.5)]
