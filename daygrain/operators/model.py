@@ -5,10 +5,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import (
+    ElementwiseProduct,
+    OneHotEncoder,
+    OneHotEncoderModel,
+    StandardScaler,
+    StandardScalerModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
@@ -30,6 +41,7 @@ BAND_LABELS = ("Low", "Medium", "High", "Critical")
 TEST_SHARE = 0.25
 MIN_DATES = 8
 AUC_SLICES = 256
+MAX_LISTED = 512  # categories of a column that a plain expression may list
 
 TEMPORAL = "Temporal holdout"
 STRATIFIED = "Stratified random split"
@@ -250,11 +262,69 @@ def train_risk_model(
 
 
 def score_risk(model: PipelineModel, df: DataFrame, col: str = RISK) -> DataFrame:
-    """Append the probability of the positive class."""
+    """Append the probability of the positive class.
+
+    Models of ``train_risk_model`` are written out as one plain expression: the stages of a pipeline hand a vector from one
+    function to the next for each row. Others are applied as they are.
+    """
+    risk = risk_column(model)
+    if risk is not None:
+        return df.select("*", risk.alias(col))
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(col))
 
 
+def risk_column(model: PipelineModel) -> Column | None:
+    """The probability of the positive class as an expression over the feature columns, in the model's own order of steps.
+
+    None for stages other than those of ``encode_features``, more than two classes or a column of very many categories.
+    A number that is null or NaN is an error, an unseen category counts nothing, as in the model.
+    """
+    vectors: dict[str, list[Column | tuple[Column, Sequence[str], int]]] = {}  # numbers, or (category, labels, width)
+    indexed: dict[str, tuple[Column, Sequence[str]]] = {}
+    *stages, last = model.stages
+    for stage in stages:
+        if isinstance(stage, VectorAssembler) and stage.getHandleInvalid() == "error":
+            plain = [c for c in stage.getInputCols() if c not in vectors]
+            vectors |= {c: [F.col(f"`{c}`").cast("double")] for c in plain}
+            vectors[stage.getOutputCol()] = [part for c in stage.getInputCols() for part in vectors[c]]
+        elif isinstance(stage, StandardScalerModel) and stage.getWithMean() and stage.getWithStd():
+            shapes = zip(vectors[stage.getInputCol()], stage.mean.toArray(), stage.std.toArray(), strict=True)
+            scaled = [(x - F.lit(float(m))) * F.lit(1.0 / float(d) if d else 0.0) for x, m, d in shapes]
+            vectors[stage.getOutputCol()] = scaled
+        elif isinstance(stage, ElementwiseProduct):
+            factors = zip(vectors[stage.getInputCol()], stage.getScalingVec().toArray(), strict=True)
+            vectors[stage.getOutputCol()] = [x * F.lit(float(f)) for x, f in factors]
+        elif isinstance(stage, StringIndexerModel) and stage.getHandleInvalid() == "keep":
+            for source, to, labels in zip(stage.getInputCols(), stage.getOutputCols(), stage.labelsArray, strict=True):
+                indexed[to] = (F.col(f"`{source}`").cast("string"), labels)
+        elif isinstance(stage, OneHotEncoderModel) and stage.getDropLast():
+            for source, to, size in zip(stage.getInputCols(), stage.getOutputCols(), stage.categorySizes, strict=True):
+                vectors[to] = [(*indexed[source], size - 1)]
+        else:
+            return None
+    if not isinstance(last, LogisticRegressionModel) or last.numClasses != 2:
+        return None
+    coefficients, parts, at = last.coefficients.toArray(), [F.lit(0.0)], 0
+    for part in vectors[last.getFeaturesCol()]:
+        if isinstance(part, Column):
+            parts.append(part * F.lit(float(coefficients[at])))
+            at += 1
+            continue
+        category, labels, width = part
+        if len(labels) > MAX_LISTED:
+            return None
+        pairs = [F.lit(v) for i, label in enumerate(labels[:width]) for v in (label, float(coefficients[at + i]))]
+        if pairs:
+            parts.append(F.coalesce(F.try_element_at(F.create_map(*pairs), category), F.lit(0.0)))
+        at += width
+    margin = reduce(add, parts) + F.lit(float(last.intercept))
+    risk = F.lit(1.0) - F.lit(1.0) / (F.lit(1.0) + F.exp(margin))
+    # one test of the sum instead of one a feature keeps the compiled method small
+    gap = F.coalesce(F.isnan(margin) | margin.isNull(), F.lit(True))
+    return F.when(gap, F.raise_error(F.lit("a feature to score is null or NaN")).cast("double")).otherwise(risk)
+
+
 def choose_threshold(
     scored: DataFrame,
     target: str = TARGET,

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from daygrain.operators import model as M
@@ -228,3 +229,28 @@ def test_equal_rows_are_split_exactly(spark):
     plan = taken._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(has_fatality" not in plan and "hashpartitioning(_h" not in plan
 
+
+
+def test_scores_as_one_expression(spark, days):
+    fitted = M.train_risk_model(days.where("region <> 'N'"))
+    risk = M.risk_column(fitted)
+    assert risk is not None
+    plan = M.score_risk(fitted, days)._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" not in plan  # no vector passes from function to function
+    both = fitted.transform(M.score_risk(fitted, days)).withColumn("own", vector_to_array("probability")[1])
+    assert both.agg(F.max(F.abs(F.col("own") - F.col(M.RISK)))).first()[0] < 1e-12
+    unseen = days.where("region = 'N'")
+    assert unseen.count() and M.score_risk(fitted, unseen).where(f"{M.RISK} is null").count() == 0
+    for gap in ("null", "'NaN'"):
+        with pytest.raises(Exception):  # noqa: B017
+            M.score_risk(fitted, days.withColumn("mean_speed", F.expr(f"cast({gap} as double)"))).agg(F.sum(M.RISK)).collect()
+
+
+def test_scores_of_other_models(spark, days):
+    wide = days.withColumn("region", F.concat_ws(" ", "region", "entity_id", "date"))
+    assert wide.select("region").distinct().count() > M.MAX_LISTED
+    fitted = M.train_risk_model(wide, max_iter=2)
+    assert M.risk_column(fitted) is None
+    own = vector_to_array("probability")[1]
+    both = fitted.transform(M.score_risk(fitted, wide)).withColumn("off", F.abs(own - F.col(M.RISK)))
+    assert both.agg(F.max("off")).first()[0] < 1e-12
